@@ -1,0 +1,16 @@
+"""In-order decision of a small, counted rest (runs inside one task)."""
+
+
+def greedy(batches, n_scope):
+    """Keep a row iff neither key was seen on a kept row of its scope."""
+    ids, hashes = set(), set()
+    for batch in batches:
+        keep = []
+        for row in batch.itertuples(index=False, name=None):
+            scope, id_key, hash_key = row[:n_scope], row[-2], row[-1]
+            new = (scope, id_key) not in ids and (scope, hash_key) not in hashes
+            if new:
+                ids.add((scope, id_key))
+                hashes.add((scope, hash_key))
+            keep.append(new)
+        yield batch[keep]
