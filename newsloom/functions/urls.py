@@ -177,6 +177,11 @@ def authority_of(url: Column) -> Column:
     return _part(url, 2)
 
 
+def first_segment(url: Column) -> Column:
+    """First path segment of an absolute URL, else empty."""
+    return F.regexp_extract(url, r"^(?:[^:/?#]+:)?//[^/?#]*/([^/?#]+)", 1)
+
+
 def host_name(url: Column) -> Column:
     """Authority without any ``www.``; empty for a relative URL."""
     return F.replace(authority_of(url), F.lit("www."), F.lit(""))

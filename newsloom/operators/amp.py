@@ -20,7 +20,7 @@ def amp_texts(targets: DataFrame, pages: DataFrame) -> DataFrame:
     narrow = at.drop("html").join(targets, "amp_href", "left_semi")
     newest = stage(newest_per_url(narrow, "amp_href"), "amp-pages")
     found = narrow_to(at.select("amp_href", "page_id", "html"), newest.select("page_id"), "page_id")
-    return clean_paragraphs(dom_nodes(found), "three", "amp_text").select("amp_href", "amp_text")
+    return clean_paragraphs(dom_nodes(found), "three", "twin_text").select("amp_href", "twin_text")
 
 
 def with_amp_body(
@@ -43,7 +43,7 @@ def with_amp_body(
     texts = amp_texts(needing.select("amp_href").distinct(), pages)
     joined = spread_join(needing, texts, ["amp_href"], "left", [id_col], hot_rows=hot_rows)
     longer = F.when(
-        F.length("amp_text") > F.length(text_col), F.col("amp_text")
+        F.length("twin_text") > F.length(text_col), F.col("twin_text")
     ).otherwise(F.col(text_col))
     replaced = joined.withColumn(text_col, longer).select(*rows.columns)
     return rows.filter(~short).unionByName(replaced)

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import content_hash, strip_space
-from newsloom.functions.urls import source_name
+from newsloom.functions.urls import first_segment, source_name
 from newsloom.operators.body import article_body
 from newsloom.operators.dom import dom_nodes
 from newsloom.operators.metadata import with_metadata
@@ -90,7 +90,7 @@ def as_store_rows(
     profile: str = "default",
 ) -> DataFrame:
     if category is None:
-        category = F.regexp_extract("norm_url", r"^(?:[^:/?#]+:)?//[^/?#]*/([^/?#]+)", 1)
+        category = first_segment(F.col("norm_url"))
     return rows.select(
         "id_article",
         "title",

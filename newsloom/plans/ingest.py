@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.urls import normalized_url, with_source_name
+from newsloom.functions.urls import first_segment, normalized_url, with_source_name
 from newsloom.operators.dedup import dedup_outcomes, kept_keys, without_stored
 from newsloom.operators.joins import BROADCAST_ROWS, HOT_ROWS, spread_join
 from newsloom.operators.paragraphs import SELECTORS
@@ -163,3 +163,25 @@ def crawl(
         F.coalesce("reject_reason", "outcome").alias("outcome"),
     )
     return Run(accepted, outcomes)
+
+
+def page_outcomes(rows: DataFrame, profile: str = "default", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Outcome of every extracted page (a staged ``page_articles`` table).
+
+    Without feeds the page id is the order and the first path segment of the
+    address is the category.
+    """
+    named = rows.select(
+        F.lit(profile).alias("profile"),
+        first_segment(F.col("norm_url")).alias("category"),
+        F.col("page_id").alias("ord"),
+        F.col("id_article").alias("id"),
+        F.col("content_hash").alias("hash"),
+        "reject_reason",
+    )
+    good = named.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    kept = stage(kept_keys(good, _SCOPE, hot_rows), "accepted")
+    columns = ["profile", "category", "ord", "outcome"]
+    decided = dedup_outcomes(good, kept, _SCOPE, hot_rows).select(*columns)
+    refused = named.filter(F.col("reject_reason").isNotNull())
+    return decided.unionByName(refused.withColumnRenamed("reject_reason", "outcome").select(*columns))

@@ -129,11 +129,11 @@ def _atom_link(item: Column) -> Column:
     main = F.filter(
         item["link"], lambda x: x["_rel"].isNull() | (x["_rel"] == "alternate")
     )
-    return F.get(main, F.lit(0))["_href"]
+    return F.nullif(F.get(main, F.lit(0))["_href"], F.lit(""))
 
 
 def entry_links(xml: Column, cap: Column | int) -> Column:
-    """Links of the first ``cap`` entries in document order; NULL where missing.
+    """Links of the first ``cap`` entries in document order; NULL where missing or empty.
 
     The cut is made on the array, before any row is produced.
     """
