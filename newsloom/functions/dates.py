@@ -12,101 +12,91 @@ from newsloom.functions.text import let, strip_space
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH = (
     r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
-    r"|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)\.?"
+    r"|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
 _WEEKDAY = r"(?:(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?\.?,?\s+)?"
-_ZONE = r"(z|utc|gmt|[a-z]{3,4}|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d)?)?"
+_THEN = r"(?:,?\s+(?:at\s+)?|$)"
 _CLOCK = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*(am|pm)?"
+_ZONE = r"(z|utc|gmt|[a-z]{3,4}|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d)?)?"
 
-# Every form names its groups in its own order; see _FORMS.
-_ISO = rf"(?i)^(\d{{4}})[-/](\d{{1,2}})[-/](\d{{1,2}})(?:(?:t|\s+){_CLOCK})?\s*{_ZONE}$"
-_COMPACT = rf"(?i)^(\d{{4}})(\d{{2}})(\d{{2}})(?:t(\d{{2}})(\d{{2}})(\d{{2}})?()())?\s*{_ZONE}$"
-_DAY_FIRST = rf"(?i)^{_WEEKDAY}(\d{{1,2}})\s+{_MONTH},?\s+(\d{{4}})(?:,?\s+(?:at\s+)?{_CLOCK})?\s*{_ZONE}$"
-_MONTH_FIRST = rf"(?i)^{_WEEKDAY}{_MONTH}\s+(\d{{1,2}}),?\s+(\d{{4}})(?:,?\s+(?:at\s+)?{_CLOCK})?\s*{_ZONE}$"
-
-# pattern -> group numbers of year, month, day; the clock is always 4..8, zone 9
-_FORMS = (
-    (_ISO, 1, 2, 3),
-    (_COMPACT, 1, 2, 3),
-    (_DAY_FIRST, 3, 2, 1),
-    (_MONTH_FIRST, 3, 1, 2),
+# Other forms are first put into year-month-day order; at most one applies.
+_REORDER = (
+    (rf"(?i)^{_WEEKDAY}(\d{{1,2}})\s+{_MONTH}\.?,?\s+(\d{{4}}){_THEN}", "$3-$2-$1 "),
+    (rf"(?i)^{_WEEKDAY}{_MONTH}\.?\s+(\d{{1,2}}),?\s+(\d{{4}}){_THEN}", "$3-$1-$2 "),
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+    (r"(?i)^([\d-]{10})t(\d{2})(\d{2})(\d{2})?(?!\d)", "$1 $2:$3:$4"),
 )
+_READ = rf"(?i)^(\d{{4}})[-/](\d{{1,2}}|{_MONTH})[-/](\d{{1,2}})(?:(?:t|\s+){_CLOCK})?:?\s*{_ZONE}$"
+_YEAR, _MON, _DAY, _HOUR, _MINUTE, _SECOND, _FRACTION, _HALF, _OFFSET = 1, 2, 4, 5, 6, 7, 8, 9, 10
 
 
 def _two(digits: Column) -> Column:
     return F.lpad(digits, 2, "0")
 
 
-def _form(text: Column, pattern: str, year: int, month: int, day: int) -> Column:
-    def g(i: int) -> Column:
-        return F.regexp_extract(text, pattern, i)
+def _or_zero(digits: Column) -> Column:
+    return F.when(digits == "", F.lit("00")).otherwise(digits)
 
-    half = F.lower(g(8))
-    hour_read = F.when(g(4) == "", F.lit(0)).otherwise(g(4).try_cast("int"))
-    hour = (
-        F.when(half == "", hour_read)
-        .when(~hour_read.between(1, 12), F.lit(99))
-        .otherwise(hour_read % 12 + F.when(half == "pm", 12).otherwise(0))
-    )
-    mon = g(month)
-    month_no = F.when(mon.rlike(r"^\d+$"), mon.try_cast("int")).otherwise(
-        F.floor((F.position(F.lower(F.substring(mon, 1, 3)), F.lit(_MONTHS)) + 2) / 3).cast("int")
+
+def _month(text: Column) -> Column:
+    named = F.position(F.lower(F.substring(text, 1, 3)), F.lit(_MONTHS))
+    return F.coalesce(text.try_cast("int"), F.ceil(named / 3).cast("int"))
+
+
+def _hour(hour: Column, half: Column) -> Column:
+    """Hour of the day; 99 for a twelve-hour clock out of range."""
+    return (
+        F.when(half == "", hour)
+        .when(~hour.between(1, 12), F.lit(99))
+        .otherwise(hour % 12 + F.when(half == "pm", 12).otherwise(0))
     )
-    ymd = F.concat_ws("-", g(year), _two(month_no.cast("string")), _two(g(day)))
-    minute = F.when(g(5) == "", "00").otherwise(g(5))
-    second = F.when(g(6) == "", "00").otherwise(g(6))
-    micro = F.rpad(F.substring(g(7), 1, 6), 6, "0")
-    fraction = F.when(micro.rlike("^0*$"), "").otherwise(F.concat(F.lit("."), micro))
-    zone = F.lower(g(9))
-    offset = (
-        F.when(zone.isin("z", "utc", "gmt"), "+00:00")
-        .when(
-            zone.rlike("^[+-]"),
-            let(
-                F.concat(
-                    F.substring(zone, 1, 3),
-                    F.lit(":"),
-                    F.rpad(F.regexp_replace(F.substring(zone, 4, 3), ":", ""), 2, "0"),
-                ),
-                lambda o: F.when(o == "-00:00", "+00:00").otherwise(o),
-            ),
-        )
+
+
+def _offset(zone: Column) -> Column:
+    """``+hh:mm``; empty for no zone or a zone known by name only."""
+    signed = F.rpad(F.replace(zone, F.lit(":"), F.lit("")), 5, "0")
+    return (
+        F.when(zone.isin("z", "utc", "gmt", "-00", "-0000", "-00:00"), "+00:00")
+        .when(zone.rlike("^[+-]"), F.regexp_replace(signed, r"^(.{3})", "$1:"))
         .otherwise("")
     )
-    valid = (
-        F.try_to_date(ymd, "yyyy-MM-dd").isNotNull()
-        & (g(year) != "0000")
-        & (hour <= 23)
-        & (minute <= "59")
-        & (second <= "59")
-    )
-    return F.when(
-        valid,
-        F.concat(
-            ymd,
-            F.lit("T"),
-            _two(hour.cast("string")),
-            F.lit(":"),
-            minute,
-            F.lit(":"),
-            second,
-            fraction,
-            offset,
-        ),
-    )
+
+
+def _valid(iso: Column) -> Column:
+    """Whether calendar day and clock of a finished text exist."""
+    day = F.try_to_date(F.substring(iso, 1, 10), "yyyy-MM-dd")
+    return day.isNotNull() & iso.rlike(r"^(?!0000).{10}T(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d")
 
 
 def iso_date(text: Column) -> Column:
     """ISO-8601 text; the offset is kept when given. NULL if not readable."""
 
     def read(t: Column) -> Column:
-        out = None
-        for pattern, y, m, d in _FORMS:
-            branch = (t.rlike(pattern), _form(t, pattern, y, m, d))
-            out = F.when(*branch) if out is None else out.when(*branch)
-        return out
+        def g(i: int) -> Column:
+            return F.regexp_extract(t, _READ, i)
+
+        day = F.concat_ws("-", g(_YEAR), _two(_month(g(_MON)).cast("string")), _two(g(_DAY)))
+        micro = F.rpad(F.substring(g(_FRACTION), 1, 6), 6, "0")
+        clock = F.concat(
+            _two(_hour(_or_zero(g(_HOUR)).cast("int"), F.lower(g(_HALF))).cast("string")),
+            F.lit(":"),
+            _or_zero(g(_MINUTE)),
+            F.lit(":"),
+            _or_zero(g(_SECOND)),
+        )
+        out = F.concat(
+            day,
+            F.lit("T"),
+            clock,
+            F.when(micro.rlike("[1-9]"), F.concat(F.lit("."), micro)).otherwise(""),
+            _offset(F.lower(g(_OFFSET))),
+        )
+        return F.when(t.rlike(_READ), let(out, lambda o: F.when(_valid(o), o)))
 
-    return let(strip_space(text), read)
+    ordered = strip_space(text)
+    for pattern, order in _REORDER:
+        ordered = F.regexp_replace(ordered, pattern, order)
+    return let(F.regexp_replace(ordered, r"\s+$", ""), read)
 
 
 def iso_timestamp(iso: Column) -> Column:

@@ -121,10 +121,42 @@ def _authority_is_broken(authority: Column) -> Column:
         F.regexp_extract(authority, _BRACKET_HOST, 1), _DOTTED_TAIL, "0:0"
     )
     bad_host = ~(host.rlike(_IPV6) | host.rlike(_IPV_FUTURE))
-    return (
-        (opened != closed)
-        | (opened & closed & bad_host)
-        | authority.rlike(_DELIMITER_LOOKALIKES)
+    return ((opened | closed) & ((opened != closed) | bad_host)) | authority.rlike(
+        _DELIMITER_LOOKALIKES
+    )
+
+
+def _parts(url: Column) -> Column:
+    return F.struct(
+        F.lower(_part(url, 1)).alias("scheme"),
+        F.lower(_part(url, 2)).alias("authority"),
+        _part(url, 3).alias("path"),
+        _part(url, 4).alias("query"),
+    )
+
+
+def _trimmed_path(path: Column, scheme: Column) -> Column:
+    """Path without trailing slashes; ``;params`` of the last segment stay."""
+    with_params = path.contains(";") & scheme.isin(*_PARAM_SCHEMES)
+    base = F.regexp_extract(path, r"(?s)^(?:.*/)?[^/;]*", 0)
+    params = F.regexp_extract(path, r"(?s)^(?:.*/)?[^/;]*(;[^/]+)\z", 1)
+    slashes = r"/+\z"
+    return F.when(
+        with_params, F.concat(F.regexp_replace(base, slashes, ""), params)
+    ).otherwise(F.regexp_replace(path, slashes, ""))
+
+
+def _assembled(scheme: Column, authority: Column, path: Column) -> Column:
+    rooted = F.when((path != "") & ~path.startswith("/"), F.lit("/")).otherwise("")
+    slashes = path.startswith("//") | (
+        scheme.isin(*_AUTHORITY_SCHEMES) & ((path == "") | path.startswith("/"))
+    )
+    return F.concat(
+        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
+        F.when(authority != "", F.concat(F.lit("//"), authority, rooted))
+        .when(slashes, "//")
+        .otherwise(""),
+        path,
     )
 
 
@@ -132,45 +164,20 @@ def normalized_url(url: Column) -> Column:
     """Normal form of a URL; NULL for a URL whose authority cannot be read."""
 
     def build(u: Column) -> Column:
-        scheme = F.lower(_part(u, 1))
-        authority = _part(u, 2)
-        path = _part(u, 3)
-        query = _part(u, 4)
-        with_params = scheme.isin(*_PARAM_SCHEMES)
-        base = F.when(
-            with_params, F.regexp_extract(path, r"(?s)^(?:.*/)?[^/;]*", 0)
-        ).otherwise(path)
-        params = F.when(
-            with_params, F.regexp_extract(path, r"(?s)^(?:.*/)?[^/;]*;([^/]+)\z", 1)
-        ).otherwise(F.lit(""))
-        trimmed = F.concat(
-            F.regexp_replace(base, r"/+\z", ""),
-            F.when(params != "", F.concat(F.lit(";"), params)).otherwise(F.lit("")),
+        query = let(
+            _clean_query(u["query"]),
+            lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""),
         )
-
-        def assemble(p: Column) -> Column:
-            rooted = F.when((p != "") & ~p.startswith("/"), F.concat(F.lit("/"), p)).otherwise(p)
-            slashes = p.startswith("//") | (
-                scheme.isin(*_AUTHORITY_SCHEMES) & ((p == "") | p.startswith("/"))
-            )
-            return (
-                F.when(authority != "", F.concat(F.lit("//"), F.lower(authority), rooted))
-                .when(slashes, F.concat(F.lit("//"), p))
-                .otherwise(p)
-            )
-
-        cleaned = F.when(query == "", F.lit("")).otherwise(_clean_query(query))
-        out = F.concat(
-            F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
-            let(trimmed, assemble),
-            let(
-                cleaned,
-                lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")),
-            ),
+        address = let(
+            _trimmed_path(u["path"], u["scheme"]),
+            lambda p: _assembled(u["scheme"], u["authority"], p),
+        )
+        return F.when(
+            ~_authority_is_broken(u["authority"]),
+            F.concat(address, F.when(u["query"] == "", "").otherwise(query)),
         )
-        return F.when(~_authority_is_broken(authority), out)
 
-    return let(_scrub(url), build)
+    return let(_parts(_scrub(url)), build)
 
 
 def authority_of(url: Column) -> Column:

@@ -1,5 +1,7 @@
 """Body text from the AMP twin of a page."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +32,13 @@ def with_amp_body(
     id_col: str = "page_id",
     min_chars: int = MIN_BODY_CHARS,
     hot_rows: int = HOT_ROWS,
+    derive: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Replace short texts by a strictly longer text of the AMP twin.
 
     ``rows`` (staged) are split: only rows with a short text and an AMP link
-    take part in the join, and these are narrow by definition.
+    take part in the join, and these are narrow by definition.  ``derive``
+    renews columns that depend on the text.
     """
     short = (F.length(text_col) < min_chars) & F.col("amp_href").isNotNull()
     needing = rows.filter(short)
@@ -45,7 +49,7 @@ def with_amp_body(
     longer = F.when(
         F.length("twin_text") > F.length(text_col), F.col("twin_text")
     ).otherwise(F.col(text_col))
-    replaced = joined.withColumn(text_col, longer).select(*rows.columns)
+    replaced = derive(joined.withColumn(text_col, longer)).select(*rows.columns)
     return rows.filter(~short).unionByName(replaced)
 
 

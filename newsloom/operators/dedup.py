@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators import tail
-from newsloom.operators.joins import HOT_ROWS, spread_join
+from newsloom.operators.joins import HOT_ROWS, hot_keys, spread_join
 from newsloom.sources.staging import stage
 
 cloudpickle.register_pickle_by_value(tail)
@@ -62,14 +62,9 @@ def kept_keys(
         done = kept if done is None else done.unionByName(kept)
         rest = undecided
         for key in ("id", "hash"):
-            rest = spread_join(
-                rest,
-                kept.select(*scope, key),
-                [*scope, key],
-                "left_anti",
-                ["ord"],
-                hot_rows=hot_rows,
-            )
+            on = [*scope, key]
+            hot = hot_keys(undecided, on, hot_rows)
+            rest = spread_join(rest, kept.select(*on), on, "left_anti", ["ord"], hot=hot)
         undecided = stage(rest, "undecided")
         left = undecided.count()
         if left == 0:
@@ -148,17 +143,21 @@ def without_stored(
     scope: Sequence[str] = (),
     spread_by: str = "ord",
     hot_rows: int = HOT_ROWS,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose key is not among the stored keys.
 
-    The store is first reduced to the keys that occur in ``rows``, so a small
+    The store is first reduced to the keys that occur in the batch, so a small
     batch is broadcast against a large store (by Spark's own size check) and
-    the store is not shuffled.  NULL stored keys never match.
+    the store is not shuffled.  NULL stored keys never match.  ``base`` is a
+    staged table that contains ``rows``; key statistics are taken from it.
     """
     on = [*scope, key]
-    wanted = rows.select(*on).distinct()
+    base = rows if base is None else base
+    wanted = base.select(*on).distinct()
     hits = stored.select(*on).dropna(subset=[key]).join(wanted, on, "left_semi").distinct()
-    return spread_join(rows, hits, on, "left_anti", [spread_by], hot_rows=hot_rows)
+    hot = hot_keys(base, on, hot_rows)
+    return spread_join(rows, hits, on, "left_anti", [spread_by], hot=hot)
 
 
 def drop_stored(
@@ -171,8 +170,10 @@ def drop_stored(
     """Articles whose id and content hash are both new to the store.
 
     A legacy store without ``content_hash`` contributes no content keys.
+    ``articles`` should be staged.
     """
-    fresh = without_stored(articles, store, "id_article", scope, spread_by, hot_rows)
-    if "content_hash" not in store.columns:
-        return fresh
-    return without_stored(fresh, store, "content_hash", scope, spread_by, hot_rows)
+    fresh = articles
+    for key in ("id_article", "content_hash"):
+        if key in store.columns:
+            fresh = without_stored(fresh, store, key, scope, spread_by, hot_rows, articles)
+    return fresh

@@ -6,6 +6,7 @@ on that array.
 """
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -19,62 +20,58 @@ from newsloom.schemas import NODE_TYPE
 # Executors get the scanner with the task and need no installed copy of it.
 cloudpickle.register_pickle_by_value(markup)
 
+# Spark cuts the batches it sends by row count only.  The default count suits
+# short rows; pages may have megabytes each, so the count is lowered.
+_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_ROWS_SENT = 128
+
 # Output batches are cut by input size, so that a batch of large pages does not
 # turn into one very large node batch.
 _BATCH_CHARS = 4 << 20
 _BATCH_ROWS = 1024
 
-_NODE_FIELDS = [
-    ("node_id", pa.int32()),
-    ("parent_id", pa.int32()),
-    ("last_id", pa.int32()),
-    ("within", pa.int32()),
-    ("tag", pa.string()),
-    ("attrs", pa.map_(pa.string(), pa.string())),
-    ("text", pa.string()),
-]
+_NODE_TYPES = {
+    "node_id": pa.int32(),
+    "parent_id": pa.int32(),
+    "last_id": pa.int32(),
+    "within": pa.int32(),
+    "tag": pa.string(),
+    "attrs": pa.map_(pa.string(), pa.string()),
+    "text": pa.string(),
+}
 
 
 def _make_tokeniser(html_col: str):
-    scan = markup.scan
-    fields, batch_chars, batch_rows = _NODE_FIELDS, _BATCH_CHARS, _BATCH_ROWS
+    scan, types = markup.scan, _NODE_TYPES
+    batch_chars, batch_rows = _BATCH_CHARS, _BATCH_ROWS
 
     def node_column(pages):
-        ids, parents, lasts, within, tags, texts = [], [], [], [], [], []
-        keys, values, attr_offsets = [], [], [0]
-        row_offsets = [0]
+        ids, lasts, nodes, row_offsets = [], [], [], [0]
         for html in pages:
-            nodes, last = scan(html) if html else ((), ())
-            ids.extend(range(len(last)))
-            lasts.extend(last)
-            for parent, marks, tag, attrs, text in nodes:
-                parents.append(parent)
-                within.append(marks)
-                tags.append(tag)
-                texts.append(text)
-                if attrs:
-                    keys.extend(attrs.keys())
-                    values.extend(attrs.values())
-                attr_offsets.append(len(keys))
+            if html:
+                found, last = scan(html)
+                nodes += found
+                lasts += last
+                ids += range(len(last))
             row_offsets.append(len(ids))
-        types = dict(fields)
-        attrs = pa.MapArray.from_arrays(
-            pa.array(attr_offsets, pa.int32()),
-            pa.array(keys, pa.string()),
-            pa.array(values, pa.string()),
-        )
+        parents, within, tags, attrs, texts = zip(*nodes) if nodes else ((),) * 5
+        filled = [a for a in attrs if a]
+        offsets = accumulate((len(a) if a else 0 for a in attrs), initial=0)
         columns = {
-            "node_id": pa.array(ids, types["node_id"]),
-            "parent_id": pa.array(parents, types["parent_id"]),
-            "last_id": pa.array(lasts, types["last_id"]),
-            "within": pa.array(within, types["within"]),
-            "tag": pa.array(tags, types["tag"]),
-            "attrs": attrs,
-            "text": pa.array(texts, types["text"]),
+            "node_id": ids,
+            "parent_id": parents,
+            "last_id": lasts,
+            "within": within,
+            "tag": tags,
+            "text": texts,
         }
-        structs = pa.StructArray.from_arrays(
-            [columns[name] for name, _ in fields], [name for name, _ in fields]
+        arrays = {name: pa.array(values, types[name]) for name, values in columns.items()}
+        arrays["attrs"] = pa.MapArray.from_arrays(
+            pa.array(offsets, pa.int32()),
+            pa.array([k for a in filled for k in a], pa.string()),
+            pa.array([v for a in filled for v in a.values()], pa.string()),
         )
+        structs = pa.StructArray.from_arrays([arrays[name] for name in types], list(types))
         return pa.ListArray.from_arrays(pa.array(row_offsets, pa.int32()), structs)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,6 +98,9 @@ def _make_tokeniser(html_col: str):
 
 def dom_nodes(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Replace ``html`` by ``nodes``; all other columns pass through."""
+    conf = pages.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS_KEY)) <= _ROWS_SENT:
+        conf.set(_ROWS_KEY, str(_ROWS_SENT))
     others = [f for f in pages.schema.fields if f.name != html_col]
     schema = T.StructType([*others, T.StructField("nodes", NODE_TYPE)])
     return pages.mapInArrow(_make_tokeniser(html_col), schema)

@@ -80,20 +80,20 @@ def with_metadata(nodes_df: DataFrame, url_col: str = "url") -> DataFrame:
         "image",
         tag_list(attribute(F.col("keywords"), "content")).alias("tags"),
         iso_date(F.col("date_text")).alias("published_date"),
-        F.col("canonical_href"),
-        normalized_url(F.coalesce("canonical_href", "request_url")).alias("canonical_norm"),
-        normalized_url(F.col("request_url")).alias("norm_url"),
+        F.transform(
+            F.array(F.coalesce("canonical_href", "request_url"), "request_url"), normalized_url
+        ).alias("norms"),
         "amp_href",
         "ld_json",
     )
     # An unreadable canonical address fails the page; it does not fall back.
-    url = F.when(
-        F.col("canonical_norm").isNotNull(),
-        F.coalesce(_filled(F.col("canonical_norm")), F.col("norm_url")),
-    )
+    canonical, requested = F.col("norms")[0], F.col("norms")[1]
     return (
-        shaped.withColumn("url", url)
-        .drop("canonical_norm", "canonical_href")
+        shaped.withColumn("norm_url", requested)
+        .withColumn(
+            "url", F.when(canonical.isNotNull(), F.coalesce(_filled(canonical), requested))
+        )
+        .drop("norms")
         .withColumn("id_article", article_id(F.col("url")))
         .withColumn("published_ts", iso_timestamp(F.col("published_date")))
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import let, strip_space
+from newsloom.functions.text import let
 from newsloom.operators import markup
 from newsloom.operators.dom import attribute, has, visible_pieces
 from newsloom.schemas import MIN_PARAGRAPH_CHARS
@@ -72,12 +72,15 @@ def with_paragraphs(
 
 
 def clean_join(paragraphs: Column) -> Column:
-    """Drop short paragraphs and page furniture; join the rest by blank lines."""
+    """Drop short paragraphs and page furniture; join the rest by blank lines.
+
+    Text pieces are stripped when they are read, so the result needs no trim.
+    """
     kept = F.filter(
         paragraphs,
         lambda p: (F.length(p["text"]) >= MIN_PARAGRAPH_CHARS) & ~p["furniture"],
     )
-    return strip_space(F.array_join(F.transform(kept, lambda p: p["text"]), "\n\n"))
+    return F.array_join(F.transform(kept, lambda p: p["text"]), "\n\n")
 
 
 def clean_paragraphs(

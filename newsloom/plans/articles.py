@@ -3,12 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import content_hash, strip_space
+from newsloom.functions.text import content_hash
 from newsloom.functions.urls import first_segment, source_name
-from newsloom.operators.body import article_body
+from newsloom.operators.amp import with_amp_body
+from newsloom.operators.body import page_body
 from newsloom.operators.dom import dom_nodes
 from newsloom.operators.metadata import with_metadata
 from newsloom.schemas import MIN_BODY_CHARS, THIN_CHARS
+from newsloom.sources.staging import stage
 
 
 def page_articles(
@@ -33,30 +35,21 @@ def page_articles(
     else:
         meta = meta.withColumn("selector_policy", F.explode(F.array(*map(F.lit, policies))))
         policy = F.col("selector_policy")
+
+    def derive(df: DataFrame) -> DataFrame:
+        reason = (
+            F.when(F.col("norm_url").isNull(), "bad_link")
+            .when(F.col("url").isNull(), "bad_canonical")
+            .when(F.length("content") < thin_chars, "thin")
+        )
+        return df.withColumn(
+            "content_hash", content_hash(F.col("title"), F.col("content"))
+        ).withColumn("reject_reason", reason)
+
+    body = page_body(meta, content_policy, policy, min_chars, "content")
+    own = stage(derive(body.drop("request_url")), "pages")
     lookup = pages if amp_pages is None else amp_pages
-    bodies = article_body(meta, lookup, content_policy, policy, min_chars)
-    content = strip_space(F.col("body"))
-    reason = (
-        F.when(F.col("norm_url").isNull(), "bad_link")
-        .when(F.col("url").isNull(), "bad_canonical")
-        .when(F.length(content) < thin_chars, "thin")
-    )
-    return bodies.select(
-        "page_id",
-        "selector_policy",
-        "norm_url",
-        "id_article",
-        "title",
-        "tags",
-        content.alias("content"),
-        "url",
-        "author",
-        "image",
-        "published_date",
-        content_hash(F.col("title"), F.col("body")).alias("content_hash"),
-        "published_ts",
-        reason.alias("reject_reason"),
-    )
+    return with_amp_body(own, lookup, "content", min_chars=min_chars, derive=derive).drop("amp_href")
 
 
 def extract_articles(

@@ -42,6 +42,7 @@ def decide(keys: DataFrame, store: DataFrame, hot_rows: int = HOT_ROWS) -> Decis
         "profile", F.col("id_article").alias("id"), F.col("content_hash").alias("hash")
     )
     new_ids = stage(without_stored(keys, stored, "id", _SCOPE, hot_rows=hot_rows), "new-ids")
+    # new_ids is staged, so it also serves for its own key statistics.
     fresh = without_stored(new_ids, stored, "hash", _SCOPE, hot_rows=hot_rows)
     kept = stage(kept_keys(fresh, _SCOPE, hot_rows), "accepted")
     known = keys.join(new_ids.select("profile", "ord"), ["profile", "ord"], "left_anti")
@@ -123,12 +124,10 @@ def crawl(
     wanted = stage(
         linked.filter(F.col("page_id").isNotNull()).select("page_id").distinct(), "wanted"
     )
+    in_use = [p for p in SELECTORS if not feeds.filter(F.col("selector_policy") == p).isEmpty()]
     articles = stage(
         page_articles(
-            _pages_to_parse(pages, wanted),
-            list(SELECTORS),
-            content_policy,
-            amp_pages=pages,
+            _pages_to_parse(pages, wanted), in_use or list(SELECTORS), content_policy, amp_pages=pages
         ),
         "articles",
     )
