@@ -38,7 +38,7 @@ def with_amp_body(
 
     ``rows`` (staged) are split: only rows with a short text and an AMP link
     take part in the join, and these are narrow by definition.  ``derive``
-    renews columns that depend on the text.
+    renews columns that depend on the text.  The result is staged as well.
     """
     short = (F.length(text_col) < min_chars) & F.col("amp_href").isNotNull()
     needing = rows.filter(short)
@@ -49,7 +49,7 @@ def with_amp_body(
     longer = F.when(
         F.length("twin_text") > F.length(text_col), F.col("twin_text")
     ).otherwise(F.col(text_col))
-    replaced = derive(joined.withColumn(text_col, longer)).select(*rows.columns)
+    replaced = stage(derive(joined.withColumn(text_col, longer)).select(*rows.columns), "amp-rows")
     return rows.filter(~short).unionByName(replaced)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators import tail
-from newsloom.operators.joins import HOT_ROWS, hot_keys, spread_join
+from newsloom.operators.joins import HOT_ROWS, checked_broadcast, spread_join
 from newsloom.sources.staging import stage
 
 cloudpickle.register_pickle_by_value(tail)
@@ -46,7 +46,7 @@ def kept_keys(
     hot_rows: int = HOT_ROWS,
     tail_rows: int = TAIL_ROWS,
 ) -> DataFrame:
-    """Kept rows of a narrow table with the columns ``*scope, ord, id, hash``.
+    """Kept rows (staged) of a narrow table with the columns ``*scope, ord, id, hash``.
 
     ``ord`` must be unique within the scope and id and hash must not be NULL.
     """
@@ -63,14 +63,15 @@ def kept_keys(
         rest = undecided
         for key in ("id", "hash"):
             on = [*scope, key]
-            hot = hot_keys(undecided, on, hot_rows)
-            rest = spread_join(rest, kept.select(*on), on, "left_anti", ["ord"], hot=hot)
+            rest = spread_join(
+                rest, kept.select(*on), on, "left_anti", ["ord"], undecided, hot_rows
+            )
         undecided = stage(rest, "undecided")
         left = undecided.count()
         if left == 0:
             return done
         if left <= tail_rows:
-            return done.unionByName(_finish(undecided, scope))
+            return done.unionByName(stage(_finish(undecided, scope), "kept"))
 
 
 def _narrow(df, order, id_col, hash_col, scope):
@@ -122,9 +123,7 @@ def dedup_outcomes(
     """
     scope = list(scope)
     owners = kept.select(*scope, "id", F.col("ord").alias("_owner"))
-    labelled = spread_join(
-        keys, owners, [*scope, "id"], "left", ["ord"], hot_rows=hot_rows
-    )
+    labelled = spread_join(keys, owners, [*scope, "id"], "left", ["ord"], hot_rows=hot_rows)
     marked = labelled.join(
         kept.select(*scope, "ord", F.lit(True).alias("_kept")), [*scope, "ord"], "left"
     )
@@ -147,17 +146,16 @@ def without_stored(
 ) -> DataFrame:
     """Rows whose key is not among the stored keys.
 
-    The store is first reduced to the keys that occur in the batch, so a small
-    batch is broadcast against a large store (by Spark's own size check) and
-    the store is not shuffled.  NULL stored keys never match.  ``base`` is a
-    staged table that contains ``rows``; key statistics are taken from it.
+    The store is first reduced to the keys that occur in the batch: a batch of
+    checked size is broadcast, so that a large store is read but not shuffled.
+    NULL stored keys never match.  ``base`` (default: ``rows``) is a staged
+    table that contains ``rows``; sizes and key statistics are taken from it.
     """
     on = [*scope, key]
     base = rows if base is None else base
-    wanted = base.select(*on).distinct()
-    hits = stored.select(*on).dropna(subset=[key]).join(wanted, on, "left_semi").distinct()
-    hot = hot_keys(base, on, hot_rows)
-    return spread_join(rows, hits, on, "left_anti", [spread_by], hot=hot)
+    wanted = checked_broadcast(base.select(*on).distinct(), base)
+    hits = stored.select(*on).dropna(subset=[key]).join(wanted, on, "left_semi")
+    return spread_join(rows, hits, on, "left_anti", [spread_by], base, hot_rows)
 
 
 def drop_stored(

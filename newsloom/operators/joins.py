@@ -29,18 +29,23 @@ def spread_join(
     on: list[str],
     how: str,
     spread_by: list[str | Column],
+    base: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` (hot keys allowed) with ``right`` (one row per key).
 
     Rows of a hot key are dealt to several pieces by ``spread_by``; the one
     right row of that key is repeated per piece, all other keys stay in one.
-    The right side grows by at most N / hot_rows rows.  ``left`` is read twice,
-    so it should be a plain scan or a staged table.
+    The right side grows by at most N / hot_rows rows.
+
+    ``base`` (default: ``left``) is a staged table that contains the rows of
+    ``left``.  It is counted first: no key of a table of up to ``hot_rows`` rows
+    can be hot, and the join is then a plain one.
     """
-    if hot is None:
-        hot = hot_keys(left, on, hot_rows)
+    base = left if base is None else base
+    if base.count() <= hot_rows:
+        return left.join(right, on, how)
+    hot = hot_keys(base, on, hot_rows)
     hot = F.broadcast(hot)
     lefts = (
         left.withColumn("_k", F.xxhash64(*on))
@@ -66,8 +71,13 @@ def spread_join(
     return lefts.join(rights, [*on, "_piece"], how).drop("_piece")
 
 
-# Keys up to this number are broadcast: at most some 100 MB of 64-bit ids.
-BROADCAST_ROWS = 2_000_000
+# Key rows up to this number are broadcast: some 100 MB of ids or hashes.
+BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(keys: DataFrame, base: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``keys`` for broadcast if the staged table they come from is small."""
+    return F.broadcast(keys) if base.count() <= max_rows else keys
 
 
 def narrow_to(wide: DataFrame, keys: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -76,6 +86,4 @@ def narrow_to(wide: DataFrame, keys: DataFrame, key: str, max_rows: int = BROADC
     The keys are counted first.  A bounded number is broadcast, so the wide
     rows stay where they are; beyond that the join shuffles.
     """
-    if keys.count() <= max_rows:
-        keys = F.broadcast(keys)
-    return wide.join(keys, key, "left_semi")
+    return wide.join(checked_broadcast(keys, keys, max_rows), key, "left_semi")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.urls import first_segment, normalized_url, with_source_name
 from newsloom.operators.dedup import dedup_outcomes, kept_keys, without_stored
-from newsloom.operators.joins import BROADCAST_ROWS, HOT_ROWS, spread_join
+from newsloom.operators.joins import BROADCAST_ROWS, HOT_ROWS, narrow_to, spread_join
 from newsloom.operators.paragraphs import SELECTORS
 from newsloom.plans.articles import page_articles
 from newsloom.sources.feeds import feed_entries, with_link_outcome
@@ -26,46 +26,55 @@ def entry_order(feed_ord: Column, entry_ord: Column) -> Column:
     return F.shiftleft(feed_ord.cast("long"), 40).bitwiseOR(entry_ord.cast("long"))
 
 
-class Decision(NamedTuple):
-    """Narrow result of one run: kept keys, and the outcome of every key."""
-
-    kept: DataFrame
-    outcomes: DataFrame
+def _stored_keys(store: DataFrame) -> DataFrame:
+    return existing_keys(store).select(
+        "profile", F.col("id_article").alias("id"), F.col("content_hash").alias("hash")
+    )
 
 
-def decide(keys: DataFrame, store: DataFrame, hot_rows: int = HOT_ROWS) -> Decision:
-    """Which of the staged keys (profile, ord, id, hash) are new.
+def accept(keys: DataFrame, store: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Which of the staged keys (profile, ord, id, hash) are new; staged.
 
     Stored keys go first: a row the store already has never blocks another one.
     """
-    stored = existing_keys(store).select(
-        "profile", F.col("id_article").alias("id"), F.col("content_hash").alias("hash")
+    stored = _stored_keys(store)
+    fresh = keys
+    for key in ("id", "hash"):
+        fresh = without_stored(fresh, stored, key, _SCOPE, hot_rows=hot_rows, base=keys)
+    return kept_keys(fresh, _SCOPE, hot_rows)
+
+
+def key_outcomes(
+    keys: DataFrame, kept: DataFrame, store: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Outcome of every key, given the kept ones and the store before the run.
+
+    An id that is stored, or was kept earlier, makes a ``dup_id``.
+    """
+    new_ids = stage(
+        without_stored(keys, _stored_keys(store), "id", _SCOPE, hot_rows=hot_rows), "new-ids"
     )
-    new_ids = stage(without_stored(keys, stored, "id", _SCOPE, hot_rows=hot_rows), "new-ids")
-    # new_ids is staged, so it also serves for its own key statistics.
-    fresh = without_stored(new_ids, stored, "hash", _SCOPE, hot_rows=hot_rows)
-    kept = stage(kept_keys(fresh, _SCOPE, hot_rows), "accepted")
     known = keys.join(new_ids.select("profile", "ord"), ["profile", "ord"], "left_anti")
-    outcomes = dedup_outcomes(new_ids, kept, _SCOPE, hot_rows).unionByName(
+    return dedup_outcomes(new_ids, kept, _SCOPE, hot_rows).unionByName(
         known.withColumn("outcome", F.lit("dup_id"))
     )
-    return Decision(kept, outcomes)
 
 
-def ingest(articles: DataFrame, path: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def ingest(
+    articles: DataFrame, path: str, hot_rows: int = HOT_ROWS, staged: bool = False
+) -> DataFrame:
     """Append the articles that are new by both keys; returns the appended rows.
 
     Keys are decided on narrow columns; bodies are read once more, for the
-    accepted rows only.
+    accepted rows only.  ``articles`` is written to a staged table first, unless
+    it is one already (``staged``), as the result of ``extract_articles`` is.
     """
-    rows = stage(
-        articles.withColumn("ord", entry_order(F.col("feed_ord"), F.col("entry_ord"))), "batch"
-    )
+    rows = articles if staged else stage(articles, "batch")
+    rows = rows.withColumn("ord", entry_order(F.col("feed_ord"), F.col("entry_ord")))
     keys = rows.select(
         "profile", "ord", F.col("id_article").alias("id"), F.col("content_hash").alias("hash")
     )
-    store = open_store(articles.sparkSession, path)
-    kept = decide(keys, store, hot_rows).kept
+    kept = accept(keys, open_store(articles.sparkSession, path), hot_rows)
     accepted = rows.join(kept.select("profile", "ord"), ["profile", "ord"], "left_semi").drop("ord")
     append_articles(accepted, path)
     return accepted
@@ -83,9 +92,8 @@ def entry_pages(entries: DataFrame, pages: DataFrame, hot_rows: int = HOT_ROWS)
         loaded_pages(pages).drop("html").withColumn("norm_url", normalized_url(F.col("url"))),
         "norm_url",
     )
-    joined = spread_join(
-        links, landed, ["norm_url"], "left", ["feed_ord", "entry_ord"], hot_rows=hot_rows
-    )
+    spread_by = ["feed_ord", "entry_ord"]
+    joined = spread_join(links, landed, ["norm_url"], "left", spread_by, hot_rows=hot_rows)
     reason = F.coalesce("reject_reason", F.when(F.col("page_id").isNull(), "no_page"))
     return joined.withColumn("reject_reason", reason)
 
@@ -99,7 +107,7 @@ def _pages_to_parse(pages: DataFrame, wanted: DataFrame) -> DataFrame:
     """
     if wanted.count() > BROADCAST_ROWS:
         return pages
-    return pages.join(F.broadcast(wanted), "page_id", "left_semi")
+    return narrow_to(pages, wanted, "page_id")
 
 
 class Run(NamedTuple):
@@ -125,11 +133,8 @@ def crawl(
         linked.filter(F.col("page_id").isNotNull()).select("page_id").distinct(), "wanted"
     )
     in_use = [p for p in SELECTORS if not feeds.filter(F.col("selector_policy") == p).isEmpty()]
-    articles = stage(
-        page_articles(
-            _pages_to_parse(pages, wanted), in_use or list(SELECTORS), content_policy, amp_pages=pages
-        ),
-        "articles",
+    articles = page_articles(
+        _pages_to_parse(pages, wanted), in_use or list(SELECTORS), content_policy, amp_pages=pages
     )
     at = ["page_id", "selector_policy"]
     verdicts = articles.select(
@@ -145,14 +150,16 @@ def crawl(
         "seen",
     )
     keys = seen.filter(F.col("reject_reason").isNull()).select("profile", "ord", "id", "hash")
-    decision = decide(keys, open_store(pages.sparkSession, store_path), hot_rows)
-    won = seen.join(decision.kept.select("profile", "ord"), ["profile", "ord"], "left_semi").select(
+    store = open_store(pages.sparkSession, store_path)
+    kept = accept(keys, store, hot_rows)
+    # Decided against the store as it is now, so written before the append.
+    named = stage(key_outcomes(keys, kept, store, hot_rows).select("profile", "ord", "outcome"), "named")
+    won = seen.join(kept.select("profile", "ord"), ["profile", "ord"], "left_semi").select(
         "profile", "feed_ord", "entry_ord", "category", "source_policy", "source_value", *at
     )
     # An accepted id is unique within its profile, so no page is a hot key here.
     accepted = stage(with_source_name(won.join(articles, at)), "accepted-rows")
     append_articles(accepted, store_path)
-    named = decision.outcomes.select("profile", "ord", "outcome")
     outcomes = seen.join(named, ["profile", "ord"], "left").select(
         "profile",
         "feed_ord",
@@ -179,7 +186,7 @@ def page_outcomes(rows: DataFrame, profile: str = "default", hot_rows: int = HOT
         "reject_reason",
     )
     good = named.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    kept = stage(kept_keys(good, _SCOPE, hot_rows), "accepted")
+    kept = kept_keys(good, _SCOPE, hot_rows)
     columns = ["profile", "category", "ord", "outcome"]
     decided = dedup_outcomes(good, kept, _SCOPE, hot_rows).select(*columns)
     refused = named.filter(F.col("reject_reason").isNotNull())

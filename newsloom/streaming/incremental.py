@@ -55,10 +55,11 @@ def ingest_stream(
             loaded_pages(batch), amp_pages=loaded_pages(landed), **extract_options
         )
 
-    make = extract or default_extract
-
     def accept(batch: DataFrame, _batch_id: int) -> None:
-        ingest(make(batch), store)
+        if extract is None:
+            ingest(default_extract(batch), store, staged=True)
+        else:
+            ingest(extract(batch), store)
 
     return (
         reader.parquet(pages_dir)
