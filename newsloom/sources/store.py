@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from newsloom.schemas import ARTICLE_COLUMNS, ARTICLE_SCHEMA, STORE_SCHEMA
 
 _CSV = {"header": True, "quote": '"', "escape": '"'}
+_SLICES = 64
+# A file with line breaks in its values is read by one task, so files stay small.
+_CSV_ROWS_PER_FILE = 100_000
 
 
 def open_store(spark: SparkSession, path: str) -> DataFrame:
@@ -34,10 +37,17 @@ def existing_keys(store: DataFrame) -> DataFrame:
 
 
 def append_articles(articles: DataFrame, path: str) -> None:
-    """Append in one atomic commit; columns are brought into the store's order."""
+    """Append in one atomic commit; columns are brought into the store's order.
+
+    Rows are rebalanced by profile and a slice of the id: small parts are merged
+    into files of a sensible size, and a profile that holds most of the rows is
+    dealt to many tasks.
+    """
     rows = articles.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORE_SCHEMA.fields]
     )
+    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64("id_article"), F.lit(_SLICES)))
+    rows = sliced.hint("rebalance", F.col("profile"), F.col("_slice")).drop("_slice")
     rows.write.mode("append").partitionBy("profile").parquet(path)
 
 
@@ -48,6 +58,7 @@ def export_csv(store: DataFrame, path: str) -> None:
         .write.options(
             **_CSV,
             emptyValue="",
+            maxRecordsPerFile=_CSV_ROWS_PER_FILE,
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
         )
