@@ -27,7 +27,11 @@ def _bodies(script: Column) -> Column:
         strings = F.filter(bodies, lambda b: F.schema_of_variant(b) == "STRING")
         return F.transform(strings, lambda b: F.try_variant_get(b, "$", "string"))
 
-    return let(F.try_parse_json(script), read)
+    # The parser stops after the first value.  A second element is appended, and
+    # both must come back: text after the value then makes the script invalid.
+    closed = F.try_parse_json(F.concat(F.lit("["), script, F.lit(",0]")))
+    values = F.try_variant_get(closed, "$", "array<variant>")
+    return let(let(values, lambda v: F.when(F.size(v) == 2, F.get(v, F.lit(0)))), read)
 
 
 def longest_body(scripts: Column, start: Column, min_chars: int = MIN_BODY_CHARS) -> Column:

@@ -9,6 +9,7 @@ enclose a node (the node itself not counted).
 """
 
 import re
+from collections import defaultdict
 from html import unescape
 
 IN_ARTICLE = 1
@@ -119,6 +120,7 @@ def scan(html):
     nodes = []
     last = []
     stack = []  # (node, tag, marks for children)
+    opened = defaultdict(int)  # tag -> how many are on the stack
     pending = []
 
     def flush():
@@ -131,14 +133,15 @@ def scan(html):
 
     def cut(depth):
         end = len(nodes) - 1
-        for node, _, _ in stack[depth:]:
+        for node, tag, _ in stack[depth:]:
             last[node] = end
+            opened[tag] -= 1
         del stack[depth:]
 
     def implied_ends(tag):
         ended = _ENDS_SIBLING.get(tag, ())
         ends_p = tag in _ENDS_PARAGRAPH
-        if not (ended or ends_p):
+        if not (ends_p and opened["p"]) and not any(opened[t] for t in ended):
             return
         depth = None
         for i in range(len(stack) - 1, -1, -1):
@@ -184,8 +187,11 @@ def scan(html):
                 pos = size if close is None else (html.find(">", stop) + 1 or size)
                 continue
             stack.append((node, tag, marks))
+            opened[tag] += 1
         elif end_tag:
             end_tag = end_tag.lower()
+            if not opened[end_tag]:
+                continue
             rank = _RANK.get(end_tag, _DEFAULT_RANK)
             for i in range(len(stack) - 1, -1, -1):
                 open_tag = stack[i][1]

@@ -70,12 +70,13 @@ def test_jsonld(spark):
                 script(article("a" * 799)) + script(article("b" * 900)),
                 script([article("a" * 800), article("b" * 900)]),
                 script(article("same")) + script(article("emas")),
+                *[script(json.dumps(article("bad")) + rest) for rest in (";", "]", "}", ',{"a":1}', " x", "//c")],
                 script("[1, \"x\", null]") + script("null") + script("") + script(article("ok")),
             )
         ),
         "jsonld_text",
     )
-    assert got == ["one", "longer", "", "", "padded", "a" * 800, "b" * 900, "b" * 900, "same", "ok"]
+    assert got == ["one", "longer", "", "", "padded", "a" * 800, "b" * 900, "b" * 900, "same", *[""] * 6, "ok"]
 
 
 def bodies(spark, *htmls, urls=None, content_policy="selectors", **options):

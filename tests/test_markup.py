@@ -71,5 +71,8 @@ def test_enclosing_marks_are_inherited():
 
 
 def test_hostile_input_takes_linear_time():
-    for unit in ("<a ", "<a x='", "<!--", "<p><b>", "</p>", "&", "<<", "<a b=", "</"):
-        markup.scan(unit * 20000)
+    n = 20000
+    for unit in ("<a ", "<a x='", "<!--", "<p><b>", "</p>", "&", "<<", "<a b=", "</", "<div>", "<li>"):
+        markup.scan(unit * n)
+    markup.scan("<b>" * n + "<p></p>" * n)
+    markup.scan("<b>" * n + "</i>" * n)
