@@ -72,13 +72,14 @@ _RANK = {
 }
 _DEFAULT_RANK = 100
 
-_NAME = r"[^\s/>][^\s/>=]*+"
-_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>]*+)"""
+# A tag that is never closed ends before the next "<"; that keeps matching linear.
+_NAME = r"[^\s/<>][^\s/<>=]*+"
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s<>]*+)"""
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*)"
-    r"|<[!?][^>]*>"
-    r"|</([a-zA-Z][^\s/>]*+)[^>]*>"
-    rf"|<([a-zA-Z][^\s/>]*+)((?:[\s/]*+{_NAME}(?:\s*+=\s*+{_VALUE})?+)*+)([\s/]*+)>",
+    r"|<[!?][^>]*+>?"
+    r"|</([a-zA-Z][^\s/<>]*+)[^<>]*+>?"
+    rf"|<([a-zA-Z][^\s/<>]*+)((?:[\s/]*+{_NAME}(?:\s*+=\s*+{_VALUE})?+)*+)([\s/]*+)(>|(?=<)|\Z)",
     re.S,
 )
 _ATTRS = re.compile(rf"[\s/]*+({_NAME})(?:\s*+=\s*+({_VALUE}))?+")
@@ -174,7 +175,7 @@ def scan(html):
             node = len(nodes)
             nodes.append((parent, marks, tag, attrs, None))
             last.append(node)
-            if tag in _VOID or m.group(4).endswith("/"):
+            if tag in _VOID or m.group(4).endswith("/") or not m.group(5):
                 continue
             marks |= _marks(tag, attrs)
             if tag in _RAW_TAGS:

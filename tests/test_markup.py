@@ -45,6 +45,13 @@ def test_attributes():
     }
 
 
+def test_tags_that_are_never_closed():
+    assert outline('<a href="x" <b>t</b></a <i>u</i>') == [
+        ("a", -1, 0), ("b", -1, 2), ("t", 1, 2), ("i", -1, 4), ("u", 3, 4),
+    ]
+    assert outline("x<p class=y") == [("x", -1, 0), ("p", -1, 1)]
+
+
 def test_raw_text():
     nodes, _ = markup.scan("<script type=x>var t='</p>&amp;';</SCRIPT >a<style>b")
     assert [(n[2], n[4]) for n in nodes] == [
@@ -72,7 +79,7 @@ def test_enclosing_marks_are_inherited():
 
 def test_hostile_input_takes_linear_time():
     n = 20000
-    for unit in ("<a ", "<a x='", "<!--", "<p><b>", "</p>", "&", "<<", "<a b=", "</", "<div>", "<li>"):
+    for unit in ("<a", "</a", "<!", "</a b", "<a b='\"", '<a b="', "<a ", "<a x='", "<!--", "<p><b>", "</p>", "&", "<<", "<a b=", "</", "<div>", "<li>"):
         markup.scan(unit * n)
     markup.scan("<b>" * n + "<p></p>" * n)
     markup.scan("<b>" * n + "</i>" * n)
