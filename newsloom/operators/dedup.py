@@ -48,10 +48,13 @@ def kept_keys(
 ) -> DataFrame:
     """Kept rows (staged) of a narrow table with the columns ``*scope, ord, id, hash``.
 
-    ``ord`` must be unique within the scope and id and hash must not be NULL.
+    ``ord`` must be unique within the scope.  NULL keys are refused: they would
+    never match, so no round could decide their rows.
     """
     scope = list(scope)
     undecided = stage(keys.select(*scope, "ord", "id", "hash"), "keys")
+    if not undecided.filter(F.greatest(*map(F.isnull, (*scope, "ord", "id", "hash")))).isEmpty():
+        raise ValueError("order, scope and both keys must not be NULL")
     done = None
     while True:
         first_by_id = undecided.groupBy(*scope, "id").agg(F.min("ord").alias("ord"))

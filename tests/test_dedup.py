@@ -66,6 +66,12 @@ def test_long_chain_of_conflicts(spark):
     assert kept(spark, long) == sequential(long)
 
 
+@pytest.mark.parametrize("row", [(1, None, "x"), (1, "a", None), (None, "a", "x")])
+def test_null_keys_are_refused(spark, row):
+    with pytest.raises(ValueError):
+        kept(spark, [row, (2, "b", "y")])
+
+
 def test_scope_and_column_orders(spark):
     rows = [("p", 0, 1, "a", "x"), ("q", 0, 1, "a", "x"), ("q", 1, 0, "a", "z"), ("p", 0, 0, "b", "x")]
     df = spark.createDataFrame(
