@@ -1,7 +1,9 @@
-"""Byte-level BPE with the tokenizers library, each distinct stretch of text encoded once."""
+"""Encoding with the tokenizers library, each distinct stretch of text encoded once."""
 
 import os
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 
@@ -9,7 +11,15 @@ from newsloom.llm.words import ranges, slices, span_hashes
 
 #: First bytes of characters beyond ASCII that can be white space.
 MAYBE_BLANK_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
-KEPT_STRETCHES = 1_000_000
+KEPT_STRETCHES = 2_000_000
+#: Stretches that are encoded together; and the longest one that is.
+JOINED_BYTES, LONGEST_JOINED = 1 << 16, 256
+
+_LETTER = np.array([chr(b).isalpha() and b < 0x80 for b in range(256)])
+_SIGN = np.array([0x20 < b < 0x7F and not chr(b).isalnum() and b != 0x27 for b in range(256)])
+#: Bytes that a stretch may have behind its first for being encoded together with others.
+_PLAIN = np.array([0x20 < b < 0x7F or 0x80 <= b < 0xC2 or 0xC3 <= b < 0xE0 or b > 0xE3 for b in range(256)])
+_TABLE_BITS = 20
 
 
 def stretch_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -17,7 +27,8 @@ def stretch_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
     A pre-token has at most one blank, at its start, and a single line feed between
     other characters is a pre-token of its own. So a cut before such a blank, before
-    such a line feed and after it never falls into a pre-token. Other white space, and
+    such a line feed and after it never falls into a pre-token, nor does one between a
+    letter and an ASCII sign other than the apostrophe. Other white space, and
     characters that may be white space, are not cut at.
     """
     n = len(data)
@@ -37,19 +48,23 @@ def stretch_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     mid = mid[~first[mid] & ~first[mid + 1]]
     cut[mid] = True
     cut[mid[data[mid] == 0x0A] + 1] = True
+    letter = _LETTER[data]
+    sign = _SIGN[data]
+    wide = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)  # two-byte letters
+    begins, ends = letter.copy(), letter.copy()
+    begins[:-1] |= wide
+    ends[1:] |= wide
+    cut[1:n] |= (ends[:-1] & sign[1:]) | (sign[:-1] & begins[1:])
     return np.flatnonzero(cut[:n])
 
 
-class WordEncoder:
+class StretchEncoder:
     """Token ids of texts; remembers the ids of stretches, up to a fixed number."""
 
-    def __init__(self, path: str, threads: int = 1):
-        os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
-        os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
-        from tokenizers import Tokenizer
+    #: The id of a line feed, or -1 if it may be joined with others.
+    line_id = -1
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+    def __init__(self):
         self.forget()
 
     def forget(self) -> None:
@@ -57,42 +72,136 @@ class WordEncoder:
         self.at = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        # Where a key's high bits lead, for a first look; keys that share a cell replace each other.
+        self.cells = np.zeros(1 << _TABLE_BITS, np.int64)
+        # The first keys in order; later ones are few and are ordered on each use.
+        self.order = np.zeros(0, np.int64)
+        self.ranked = np.zeros(0, np.uint64)
+
+    def prepare(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return data, offsets
+
+    def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where stretches begin; every text begins one."""
+        raise NotImplementedError
+
+    def encode_texts(self, texts: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
+    def _stretches(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and each stretch's number of ids.
+
+        Plain stretches are joined by line feeds, which are tokens of their own there.
+        """
+        odd = np.concatenate([[0], np.cumsum(~_PLAIN[data])])
+        plain = (odd[ends] == odd[np.minimum(starts + 1, ends)]) & (ends - starts <= LONGEST_JOINED)
+        plain &= self.line_id >= 0
+        plain &= _PLAIN[data[starts]] | (data[starts] == 0x20) & (ends - starts > 1)
+        length = np.zeros(len(starts), np.int64)
+        ids = []
+        joined = np.flatnonzero(plain)
+        if len(joined):
+            a, size = starts[joined], ends[joined] - starts[joined] + 1
+            upto = np.cumsum(size)
+            text = np.full(int(upto[-1]), 0x0A, np.uint8)
+            inside = np.ones(len(text), bool)
+            inside[upto - 1] = False
+            text[inside] = data[ranges(a, size - 1)]
+            cuts = np.unique(np.searchsorted(upto, np.arange(JOINED_BYTES, upto[-1] + JOINED_BYTES, JOINED_BYTES)))
+            bounds = [0, *upto[np.minimum(cuts, len(upto) - 1)].tolist()]
+            parts = [text[x:y].tobytes().decode() for x, y in zip(bounds[:-1], bounds[1:]) if y > x]
+            found = np.concatenate([np.array(x, np.uint32) for x in self.encode_texts(parts)])
+            lines = np.flatnonzero(found == self.line_id)
+            if len(lines) != len(joined):
+                raise RuntimeError("a line feed is not a token of its own in this model")
+            length[joined] = np.diff(lines, prepend=-1) - 1
+            ids.append(found[found != self.line_id])
+        single = np.flatnonzero(~plain)
+        if len(single):
+            found = self.encode_texts([data[x:y].tobytes().decode() for x, y in zip(starts[single], ends[single])])
+            length[single] = [len(x) for x in found]
+            ids += [np.array(x, np.uint32) for x in found]
+        order = np.concatenate([joined, single])
+        at = np.empty(len(starts), np.int64)
+        at[order] = np.cumsum(length[order]) - length[order]
+        all_ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        return all_ids[ranges(at, length)], length
+
+    def _place(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where the stretches stand in the memory; unknown ones are learnt."""
+        cell = (hashes >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+        place = self.cells[cell]
+        if len(self.keys):
+            missed = np.flatnonzero(self.keys[place] != hashes)
+        else:
+            missed = np.arange(len(hashes))
+        if not len(missed):
+            return place
+        keys, first, which = np.unique(hashes[missed], return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > KEPT_STRETCHES and len(self.keys):
+            self.forget()
+            return self._place(hashes, data, starts, ends)
+        found = np.full(len(keys), -1)
+        if len(self.keys) - len(self.order) > max(50_000, len(self.order) // 3):
+            self.order = np.argsort(self.keys)
+            self.ranked = self.keys[self.order]
+        done = len(self.order)
+        late = done + np.argsort(self.keys[done:])
+        for order, ranked in ((self.order, self.ranked), (late, self.keys[late])):
+            if len(order):
+                rank = np.minimum(np.searchsorted(ranked, keys), len(order) - 1)
+                hit = ranked[rank] == keys
+                found[hit] = order[rank[hit]]
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            at = missed[first[new]]
+            ids, length = self._stretches(data, starts[at], ends[at])
+            found[new] = len(self.keys) + np.arange(len(new))
+            self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(length) - length])
+            self.ids = np.concatenate([self.ids, ids])
+            self.keys = np.concatenate([self.keys, keys[new]])
+            self.length = np.concatenate([self.length, length])
+        self.cells[(keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = found
+        place[missed] = found[which]
+        return place
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        length = np.fromiter(map(len, found), np.int64, len(found))
-        new = np.fromiter((i for ids in found for i in ids), np.uint32, int(length.sum()))
-        at = len(self.ids) + np.cumsum(length) - length
-        self.ids = np.concatenate([self.ids, new])
-        keys, at, length = (
-            np.concatenate(x) for x in ((self.keys, keys), (self.at, at), (self.length, length))
-        )
-        order = np.argsort(keys)
-        self.keys, self.at, self.length = keys[order], at[order], length[order]
-
-    def encode(self, texts: pa.Array, end: int):
-        """(first row, ids, ids of each row) of slices; ``end`` is put after each row's ids."""
+    def encode(self, texts: pa.Array, end: int | None = None):
+        """(first row, ids, ids of each row) of slices; ``end``, if given, is put after each row's ids."""
         for row, data, offsets in slices(texts):
-            starts = stretch_starts(data, offsets)
-            ends = np.append(starts[1:], len(data))
-            hashes = span_hashes(data, starts, ends)
-            keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-            if len(self.keys) + len(keys) > KEPT_STRETCHES:
-                self.forget()
-            place = np.searchsorted(self.keys, keys)
-            new = np.ones(len(keys), bool)
-            inside = place < len(self.keys)
-            new[inside] = self.keys[place[inside]] != keys[inside]
-            if new.any():
-                at = first[new]
-                self._learn(
-                    keys[new],
-                    [data[a:b].tobytes().decode() for a, b in zip(starts[at], ends[at])],
-                )
-                place = np.searchsorted(self.keys, keys)
-            length = self.length[place][which]
-            out = self.ids[ranges(self.at[place][which], length)]
-            sums = np.concatenate([[0], np.cumsum(length)])
+            data, offsets = self.prepare(data, offsets)
+            starts = self.starts(data, offsets)
+            ends = np.append(starts[1:], len(data))[: len(starts)]
+            place = self._place(span_hashes(data, starts, ends), data, starts, ends)
+            length = self.length[place]
+            out = self.ids[ranges(self.at[place], length)]
+            sums = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
             upto = sums[np.searchsorted(starts, offsets)]
-            out = np.insert(out, upto[1:], np.uint32(end))
-            yield row, out, np.diff(upto) + 1
+            if end is None:
+                yield row, out, np.diff(upto)
+            else:
+                yield row, np.insert(out, upto[1:], np.uint32(end)), np.diff(upto) + 1
+
+
+class WordEncoder(StretchEncoder):
+    """A byte-level BPE model file of the tokenizers library."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        (self.line_id,) = self.encode_texts(["\n"])[0]
+
+    def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return stretch_starts(data, offsets)
+
+    def encode_texts(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One for each Python worker, so that its tasks share what it has learnt."""
+    return WordEncoder(path)

@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsloom.llm.bpe_words import WordEncoder
+from newsloom.llm.bpe_words import word_encoder
 from newsloom.llm.words import ranges
 from newsloom.sources.staging import staging_path
 
 MARK = b"RPG2"
-BLOCK_IDS = 2 << 20
-ROUNDS = 5
+BLOCK_IDS = 4 << 20
+ROUNDS = 4
 RULES_PER_ROUND = 2048
 LEAST_USES = 12
 _CELLS = 20
@@ -46,8 +46,9 @@ def re_pair(ids, lengths, base, rounds=ROUNDS, per_round=RULES_PER_ROUND, least=
             break
         cell = (seq[:-1] * np.uint32(0x9E3779B1) ^ seq[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - _CELLS)
         # Counts of cells are upper bounds; only pairs in full cells are counted one by one.
-        full = np.bincount(cell[~last[:-1]], minlength=1 << _CELLS)
-        bound = max(least, int(np.partition(full, -per_round)[-per_round]))
+        full = np.bincount(cell, minlength=1 << _CELLS)
+        many = np.sort(full[full >= least])
+        bound = int(many[-per_round]) if len(many) > per_round else least
         at = np.flatnonzero((full >= bound)[cell] & ~last[:-1])
         pairs = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
         kinds, which, uses = np.unique(pairs, return_inverse=True, return_counts=True)
@@ -150,7 +151,7 @@ def write_token_files(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordEncoder(tokenizer)
+        coder = word_encoder(tokenizer)
         base = coder.tokenizer.get_vocab_size(with_added_tokens=True)
         shard = TaskContext.get().partitionId()
         block, held, names, sizes, total = 0, [], [], [], 0
