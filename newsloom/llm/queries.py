@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import line_dedup, sharding, token_files
+from newsloom.llm import line_dedup, quality_classifier, quality_rules, sentence_pieces, sharding, site_style, token_files, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,30 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a capture, against dated entries made from all pages."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filters.judge_captures(url_filters.captures_of(pages), url_filters.entries_of(pages))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentence_pieces.encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", "ids", "decoded", "round_trip", "differing")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, probability of the best grade and decision for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = quality_classifier.rate_documents(docs, table(spark, sf_dir, "labels"))
+    return rated.select("doc_id", "expected_grade", "p_good", "kept")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
 
@@ -27,10 +51,23 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_url_filters": op2_url_filters,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_quality_rules": op6_quality_rules,
     "op8_sharding": op8_sharding,
     "op9_token_output": op9_token_output,
+    "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLE: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": line_dedup.ORACLE_SQL,
+    "op2_url_filters": url_filters.ORACLE_SQL,
+    "op6_quality_rules": quality_rules.ORACLE_SQL,
+}
