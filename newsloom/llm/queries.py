@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import line_dedup, quality_classifier, quality_rules, sentence_pieces, sharding, site_style, token_files, url_filters
+from newsloom.llm import decontamination, line_dedup, quality_classifier, quality_rules, sentence_pieces, sharding, site_style, token_files, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,12 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids", "decoded", "round_trip", "differing")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in any document."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.find_leaks(docs, items)
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade, probability of the best grade and decision for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_url_filters": op2_url_filters,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_decontamination": op4_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
     "op8_sharding": op8_sharding,
