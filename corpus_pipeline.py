@@ -2,21 +2,54 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsloom.llm import line_dedup
+from newsloom.llm import decontamination, line_dedup, ngram_join, quality_classifier, sentence_pieces
 from newsloom.sources.staging import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps; it is fitted on the labels of ``docs``."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier.rate_documents(docs, labels).filter("kept").select(docs.columns)
+
+
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go; every document stays."""
-    return line_dedup.drop_frequent_lines(docs, "source").select(docs.columns)
+    """Boilerplate lines go, and n_chars follows; every document stays."""
+    cut = line_dedup.drop_frequent_lines(docs, "source")
+    length = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", length.cast("bigint")).select(docs.columns)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return ngram_join.one_of_each(docs)
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its ids, and whether they decode to its text."""
+    coded = sentence_pieces.encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(*docs.columns, "n_tokens", "ids", "round_trip")
 
 
-STAGES: list[tuple[str, Stage]] = [("lines", clean_lines)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_documents),
+    ("lines", clean_lines),
+    ("near-copies", distinct_documents),
+    ("leaks", without_leaks),
+    ("tokens", token_ids),
+]
 
+#: The classifier and the tokenizer can't be put in SQL.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import decontamination, line_dedup, quality_classifier, quality_rules, sentence_pieces, sharding, site_style, token_files, url_filters
+from newsloom.llm import decontamination, line_dedup, ngram_join, quality_classifier, quality_rules, sentence_pieces, sharding, site_style, token_files, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_sharding": op8_sharding,
     "op9_token_output": op9_token_output,
     "op10_html_extraction": op10_html_extraction,
