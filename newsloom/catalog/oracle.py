@@ -38,7 +38,7 @@ def _id(url: str) -> str:
 
 
 def _hash(title: str, content: str) -> str:
-    return f"sha1({title} || '|' || substring({content}, 1, 4000))"
+    return f"sha1({title} || '|' || {content})"
 
 
 def _pieces(html: str, glue: str) -> str:
@@ -154,7 +154,7 @@ entries AS (
                CASE WHEN doc_id % 9 = 4 THEN doc_id - 1 ELSE doc_id END AS target,
                row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1 AS entry_ord
         FROM documents)
-  WHERE feed_ord % 10 <> 9)
+  WHERE feed_ord % 10 <> 8)
 """
 
 # Newest loaded landing per entry target, and its article.
@@ -172,11 +172,21 @@ visited AS (
               WHEN length(l.content) < 200 THEN 'thin' END AS reason,
          lpad(e.feed_ord::VARCHAR, 9, '0') || '-' || lpad(e.entry_ord::VARCHAR, 9, '0') AS ord
   FROM entries e LEFT JOIN landed l USING (target)
-  WHERE e.entry_ord < 60 AND e.link <> ''),
+  WHERE e.link <> ''),
 {_walk(f'''SELECT ord, profile || {_id('url')} AS id, profile || {_hash('title', 'content')} AS hash
            FROM visited WHERE reason IS NULL''')}
 """
 
+# Configured feeds that give no entry.
+_FAILED = """
+SELECT CASE feed_ord % 3 WHEN 0 THEN 'constant' WHEN 1 THEN 'host' ELSE 'label' END AS profile, feed_ord,
+       'c' || (feed_ord % 4) AS category, outcome
+FROM (SELECT DISTINCT (doc_id // 100)::INTEGER AS feed_ord, 'bad_feed' AS outcome FROM documents
+      WHERE doc_id // 100 % 10 = 8
+      UNION ALL SELECT DISTINCT (doc_id // 100)::INTEGER + 500000, 'no_feed' FROM documents
+      WHERE doc_id // 100 % 10 = 0)
+"""
+
 _STORED = f"""
 rows AS (
   SELECT doc_id, lang, source, text, {_id("'https://news.example.com/' || (doc_id // 3)")} AS id_article,
@@ -195,6 +205,18 @@ SELECT e.id_article, e.title, NULL::VARCHAR AS tags, e.content, e.url, e.categor
        NULL::VARCHAR AS author, NULL::VARCHAR AS image, NULL::VARCHAR AS published_date,
        e.content_hash
 FROM extracted e JOIN decided d ON d.ord = e.page_id WHERE d.kept""",
+    "articles_full": f"""
+WITH RECURSIVE {_PAGES},
+whole AS (
+  SELECT page_id, url, id_article, title, category, content, {_hash('title', 'content')} AS content_hash
+  FROM (SELECT e.* EXCLUDE (content, content_hash),
+               CASE WHEN length(main) < 800 AND length(content) > length(main) THEN content ELSE main END AS content
+        FROM extracted e JOIN (SELECT page_id, {_pieces("regexp_extract(html, '<article>(.*?)</article>', 1, 's')", ' ')} AS main
+                               FROM pages) USING (page_id))),
+{_walk("SELECT page_id AS ord, id_article AS id, content_hash AS hash FROM whole WHERE length(content) >= 200")}
+SELECT id_article, title, NULL::VARCHAR AS tags, content, url, category, {_FIRST_LABEL} AS source,
+       NULL::VARCHAR AS author, NULL::VARCHAR AS image, NULL::VARCHAR AS published_date, content_hash
+FROM (SELECT *, regexp_extract(url, '//([^/?#]*)', 1) AS host FROM whole) JOIN decided ON ord = page_id WHERE kept""",
     "normalize_url": f"SELECT page_id, {_norm('url')} AS norm_url FROM pages",
     "normalize_url_encoded": """
 SELECT doc_id, 'http://user@x.example.com:80/' || lang || '?b=' || source || '&text='
@@ -212,6 +234,11 @@ FROM (SELECT page_id, lower(regexp_extract(url, '//([^/?#]*)', 1)) AS host FROM
     "pages_ok": """
 SELECT page_id, url FROM pages
 WHERE NOT contains(url, 'utm_source') AND (contains(url, '?page=') OR NOT ends_with(url, '/'))""",
+    "articles_loaded": f"""
+WITH {_PAGES}
+SELECT e.page_id AS entry_ord, id_article, content_hash FROM extracted e JOIN pages p USING (page_id)
+WHERE length(content) >= 200 AND NOT contains(p.url, 'utm_source')
+  AND (contains(p.url, '?page=') OR NOT ends_with(p.url, '/'))""",
     "dom_nodes": """
 SELECT page_id, length(regexp_extract_all(html, '<h1[ >]')) AS n_h1,
        length(regexp_extract_all(html, '<p[ >]')) AS n_p,
@@ -224,12 +251,19 @@ WITH {_PAGES}
 SELECT page_id, pos - 1 AS pos, ps[pos] AS text
 FROM (SELECT page_id, ps, unnest(range(1, length(ps) + 1)) AS pos FROM texts)""",
     "clean_paragraphs": f"WITH {_PAGES} SELECT page_id, content FROM extracted",
+    "main_content": f"""
+SELECT page_id, {_pieces("regexp_extract(html, '<article>(.*?)</article>', 1, 's')", ' ')} AS main_text FROM pages""",
     "not_thin": f"""
 WITH {_PAGES} SELECT page_id, length(content) AS n_chars FROM extracted WHERE length(content) >= 200""",
     "dedup_articles": f"""
 WITH RECURSIVE {_PAGES}, {_walk(_GOOD_PAGES)}
 SELECT e.page_id AS entry_ord, e.id_article, e.content_hash
 FROM extracted e JOIN decided d ON d.ord = e.page_id WHERE d.kept""",
+    "dedup_repeated": f"""
+WITH RECURSIVE {_STORED},
+{_walk("SELECT DISTINCT lpad((doc_id // 2)::VARCHAR, 12, '0') || id_article || content_hash AS ord, id_article AS id, content_hash AS hash FROM rows")}
+SELECT DISTINCT doc_id // 2 AS entry_ord, id_article, content_hash
+FROM rows JOIN decided ON ord = lpad((doc_id // 2)::VARCHAR, 12, '0') || id_article || content_hash WHERE kept""",
     "dedup_profiles": f"""
 WITH RECURSIVE {_STORED},
 {_walk("SELECT doc_id AS ord, source || id_article AS id, source || content_hash AS hash FROM rows")}
@@ -241,7 +275,10 @@ SELECT 'default' AS profile, e.category, coalesce(d.outcome, 'thin') AS outcome,
 FROM extracted e LEFT JOIN decided d ON d.ord = e.page_id GROUP BY ALL""",
     "feed_entries": f"""
 WITH {_ENTRIES}
-SELECT profile, feed_ord, entry_ord, category, link FROM entries WHERE entry_ord < 60 AND link <> ''""",
+SELECT profile, feed_ord, entry_ord, category, link FROM entries WHERE link <> ''""",
+    "feed_landings": f"""
+WITH {_ENTRIES}
+SELECT profile, feed_ord, entry_ord, category, link FROM entries WHERE link <> ''""",
     "entries_capped": f"""
 WITH {_ENTRIES}
 SELECT profile, feed_ord, entry_ord, nullif(link, '') AS link FROM entries WHERE entry_ord < 25""",
@@ -350,10 +387,13 @@ SELECT {_id('url')} AS id_article, title, tags, content, url, category,
 FROM visited JOIN decided USING (ord) WHERE kept""",
     "crawl_report": f"""
 WITH RECURSIVE {_CRAWL}
-SELECT profile, category, coalesce(reason, outcome) AS outcome, count(*) AS n
-FROM visited LEFT JOIN decided USING (ord) GROUP BY ALL""",
+SELECT profile, category, outcome, count(*) AS n
+FROM (SELECT profile, category, coalesce(reason, outcome) AS outcome FROM visited LEFT JOIN decided USING (ord)
+      UNION ALL SELECT profile, category, outcome FROM ({_FAILED}))
+GROUP BY ALL""",
     "rejects": f"""
 WITH RECURSIVE {_CRAWL}
 SELECT profile, feed_ord, entry_ord, coalesce(reason, outcome) AS outcome
-FROM visited LEFT JOIN decided USING (ord) WHERE NOT coalesce(kept, false)""",
+FROM visited LEFT JOIN decided USING (ord) WHERE NOT coalesce(kept, false)
+UNION ALL SELECT profile, feed_ord, NULL, outcome FROM ({_FAILED})""",
 }

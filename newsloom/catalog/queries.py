@@ -63,17 +63,29 @@ def article_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pages_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_status(pages: DataFrame) -> DataFrame:
     """Pages with a load status taken from their address."""
     status = (
         F.when(F.col("url").contains("utm_source"), 404)
         .when(F.col("url").contains("?page="), 301)
         .when(F.col("url").endswith("/"), 500)
     )
-    landed = render.pages(spark, sf_dir).select("page_id", "url", status.alias("status"))
+    return pages.withColumn("status", status)
+
+
+def pages_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = _with_status(render.pages(spark, sf_dir).select("page_id", "url"))
     return loaded_pages(landed).select("page_id", "url")
 
 
+def articles_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles of the pages that loaded, the status being left to the extraction."""
+    landed = _with_status(render.pages(spark, sf_dir))
+    return extract_articles(landed, content_policy="selectors").select(
+        "entry_ord", "id_article", "content_hash"
+    )
+
+
 def _page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dom_nodes_of(render.pages(spark, sf_dir))
 
@@ -197,6 +209,15 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("profile", "feed_ord", "entry_ord", "category", "link")
 
 
+def feed_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feed landed twice, first with half of its entries; the newest landing counts."""
+    docs = render.documents(spark, sf_dir)
+    half = render.render_feeds(docs.filter("doc_id % 2 = 0")).withColumn("fetched_at", F.lit(1))
+    whole = render.render_feeds(docs).withColumn("fetched_at", F.lit(2))
+    found = feed_source.feed_entries(half.unionByName(whole), render.render_feed_config(docs))
+    return found.select("profile", "feed_ord", "entry_ord", "category", "link")
+
+
 def entries_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions that survive the cut, with or without a link."""
     docs = render.documents(spark, sf_dir)
@@ -218,7 +239,7 @@ def _entry_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entries_capped_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    capped = feed_source.cap_entries(_entry_table(spark, sf_dir))
+    capped = feed_source.cap_entries(_entry_table(spark, sf_dir), 60)
     return capped.select("profile", "entry_ord", "link")
 
 
@@ -332,6 +353,15 @@ def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_store(spark, path).select("profile", "entry_ord", "id_article", "content_hash")
 
 
+def dedup_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row twice, and neighbouring rows at one position."""
+    rows = render.document_articles(render.documents(spark, sf_dir)).withColumn(
+        "entry_ord", F.floor(F.col("entry_ord") / 2)
+    )
+    kept = dedup_two_key(rows.unionByName(rows), "entry_ord")
+    return kept.select("entry_ord", "id_article", "content_hash")
+
+
 def dedup_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = render.document_articles(render.documents(spark, sf_dir), F.col("source"))
     kept = dedup_two_key(rows, ["feed_ord", "entry_ord"], scope=["profile"])
@@ -377,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "content_hash": content_hash_pages,
     "content_hash_documents": content_hash_documents,
     "pages_ok": pages_ok,
+    "articles_loaded": articles_loaded,
     "dom_nodes": dom_nodes,
     "titles": titles,
     "paragraphs": paragraphs,
@@ -384,10 +415,12 @@ QUERIES: dict[str, Query] = {
     "not_thin": not_thin,
     "dedup_articles": dedup_articles,
     "dedup_profiles": dedup_profiles,
+    "dedup_repeated": dedup_repeated,
     "run_report": run_report,
     "main_content": main_content,
     "articles_full": articles_full,
     "feed_entries": feed_entries,
+    "feed_landings": feed_landings,
     "entries_capped": entries_capped,
     "entries_capped_table": entries_capped_table,
     "entries_linked": entries_linked,

@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import article_id, content_hash
-from newsloom.schemas import MAX_PER_FEED
 from newsloom.sources.pages import spread
 
 # Feeds are runs of this many neighbouring documents, so a feed document is
 # bounded whatever the size of the table.
 FEED_RUN = 100
+# Added to a feed's number for a feed without a document.
+NOT_LANDED = 500_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +267,7 @@ def feed_url(ordinal: Column) -> Column:
 
 
 def render_feeds(docs: DataFrame) -> DataFrame:
-    """Feed documents: RSS and Atom in turn, every tenth one malformed."""
+    """Feed documents: RSS and Atom in turn; of ten, one is malformed and one is no feed."""
     link = escaped(entry_link())
     description = F.concat(F.lit("<description>"), escaped(F.col("text")), F.lit("</description>"))
     rss = F.concat(
@@ -287,7 +288,8 @@ def render_feeds(docs: DataFrame) -> DataFrame:
         .withColumn("body", F.array_join(F.transform("items", lambda i: i["item"]), ""))
     )
     xml = (
-        F.when(F.col("f") % 10 == 9, F.concat(F.lit("<rss><channel><item>"), F.col("body")))
+        F.when(F.col("f") % 10 == 8, F.concat(F.lit("no feed: "), F.replace("body", F.lit("<"), F.lit(" "))))
+        .when(F.col("f") % 10 == 9, F.concat(F.lit("<rss><channel><item>"), F.col("body")))
         .when(
             F.col("f") % 2 == 0,
             F.concat(
@@ -306,8 +308,14 @@ def render_feeds(docs: DataFrame) -> DataFrame:
 
 
 def render_feed_config(docs: DataFrame) -> DataFrame:
-    """One configuration row per rendered feed; three profiles, one per policy."""
+    """Configured feeds in three profiles, one per policy.
+
+    One row for each rendered feed, and for every tenth another feed that has
+    not landed.
+    """
     f = F.col("feed_ord")
+    numbers = docs.select(feed_ordinal().alias("feed_ord")).distinct()
+    missing = numbers.filter(f % 10 == 0).select((f + NOT_LANDED).alias("feed_ord"))
 
     def by_profile(*values: str | None) -> Column:
         out = F.lit(None).cast("string")
@@ -316,14 +324,13 @@ def render_feed_config(docs: DataFrame) -> DataFrame:
         return out
 
     return (
-        docs.select(feed_ordinal().alias("feed_ord"))
-        .distinct()
+        numbers.unionByName(missing)
         .select(
             by_profile("constant", "host", "label").alias("profile"),
             "feed_ord",
             F.concat(F.lit("c"), (f % 4).cast("string")).alias("category"),
             feed_url(f).alias("feed_url"),
-            F.lit(MAX_PER_FEED).alias("max_per_feed"),
+            F.lit(None).cast("int").alias("max_per_feed"),
             by_profile("constant", "host", "first_label").alias("source_policy"),
             by_profile("Wire", None, None).alias("source_value"),
             by_profile("four", "four", "three").alias("selector_policy"),

@@ -21,6 +21,12 @@ _ZONE = r"(z|utc|gmt|[a-z]{3,4}|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d)?)?"
 
 # Other forms are first put into year-month-day order; at most one applies.
 _REORDER = (
+    (rf"(?i)^{_WEEKDAY}{_MONTH}\s+(\d{{1,2}})\s+{_CLOCK}(?:\s+(z|utc|gmt|[a-z]{{3,4}}))?\s+(\d{{4}})$", "$9-$1-$2 $3:$4:$5$8"),
+    (rf"(?i)^({_WEEKDAY}(?:{_MONTH}\s+)?\d{{1,2}})(?:st|nd|rd|th)\b", "$1"),
+    (r"^(\d{4})\.(\d{1,2})\.(\d{1,2})(?!\d)", "$1-$2-$3"),
+    (r"^(1[3-9]|2\d|3[01])/(\d{1,2})/(\d{4})(?!\d)", "$3-$2-$1"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)", "$3-$1-$2"),
+    (r"(?i)^([\d-]{10})t(\d{2})$", "$1 $2:00"),
     (rf"(?i)^{_WEEKDAY}(\d{{1,2}})\s+{_MONTH}\.?,?\s+(\d{{4}}){_THEN}", "$3-$2-$1 "),
     (rf"(?i)^{_WEEKDAY}{_MONTH}\.?\s+(\d{{1,2}}),?\s+(\d{{4}}){_THEN}", "$3-$1-$2 "),
     (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),

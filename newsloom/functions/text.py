@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.schemas import HASH_PREFIX_CHARS, ID_CHARS
+from newsloom.schemas import ID_CHARS
 
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
 
@@ -33,7 +33,11 @@ def article_id(url: Column) -> Column:
     return F.substring(F.sha1(url), 1, ID_CHARS)
 
 
-def content_hash(title: Column, content: Column) -> Column:
-    """SHA-1 over the title and the leading part of the body."""
-    lead = F.substring(content, 1, HASH_PREFIX_CHARS)
-    return F.sha1(F.concat(F.coalesce(title, F.lit("")), F.lit("|"), lead))
+def content_hash(title: Column, content: Column, hash_chars: int | None = None) -> Column:
+    """SHA-1 over the title and the whole body.
+
+    ``hash_chars`` cuts the body; only for stores whose hashes were made that way
+    (with 4000 characters).
+    """
+    body = content if hash_chars is None else F.substring(content, 1, hash_chars)
+    return F.sha1(F.concat(F.coalesce(title, F.lit("")), F.lit("|"), body))

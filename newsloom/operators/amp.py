@@ -9,16 +9,16 @@ from newsloom.operators.dom import dom_nodes
 from newsloom.operators.joins import HOT_ROWS, narrow_to, spread_join
 from newsloom.operators.paragraphs import clean_paragraphs
 from newsloom.schemas import MIN_BODY_CHARS
-from newsloom.sources.pages import newest_per_url
+from newsloom.sources.pages import loaded_pages, newest_per_url
 from newsloom.sources.staging import stage
 
 
 def amp_texts(targets: DataFrame, pages: DataFrame) -> DataFrame:
-    """Cleaned paragraphs of the landed pages at the addresses ``targets.amp_href``.
+    """Cleaned paragraphs of the loaded pages at the addresses ``targets.amp_href``.
 
     Addresses are compared as they are, without normalisation.
     """
-    at = pages.withColumnRenamed("url", "amp_href")
+    at = loaded_pages(pages).withColumnRenamed("url", "amp_href")
     narrow = at.drop("html").join(targets, "amp_href", "left_semi")
     newest = stage(newest_per_url(narrow, "amp_href"), "amp-pages")
     found = narrow_to(at.select("amp_href", "page_id", "html"), newest.select("page_id"), "page_id")

@@ -11,57 +11,39 @@ on average", 2012).
 All rounds run on the narrow table (scope, order, id, hash).
 """
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.operators import tail
 from newsloom.operators.joins import HOT_ROWS, checked_broadcast, spread_join
 from newsloom.sources.staging import stage
 
-cloudpickle.register_pickle_by_value(tail)
-
-# Undecided rows up to this number are finished in one task, in order.  They
-# are counted first; more than that always goes through another round.
-TAIL_ROWS = 50_000
-
-
-def _finish(rest: DataFrame, scope: list[str]) -> DataFrame:
-    """Decide a counted, small number of rows in order within one task."""
-    greedy, n_scope = tail.greedy, len(scope)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return greedy(batches, n_scope)
-
-    ordered = rest.select(*scope, "ord", "id", "hash").repartition(1)
-    return ordered.sortWithinPartitions(*scope, "ord").mapInPandas(run, ordered.schema)
-
 
 def kept_keys(
     keys: DataFrame,
     scope: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
-    tail_rows: int = TAIL_ROWS,
 ) -> DataFrame:
     """Kept rows (staged) of a narrow table with the columns ``*scope, ord, id, hash``.
 
-    ``ord`` must be unique within the scope.  NULL keys are refused: they would
-    never match, so no round could decide their rows.
+    Rows of one ``ord`` are taken in the order of id and hash, and equal rows
+    count once.  NULL keys are refused: they would never match, so no round
+    could decide their rows.  A chain of conflicts that alternates in row order
+    takes a round for every few of its rows.
     """
     scope = list(scope)
-    undecided = stage(keys.select(*scope, "ord", "id", "hash"), "keys")
-    if not undecided.filter(F.greatest(*map(F.isnull, (*scope, "ord", "id", "hash")))).isEmpty():
+    triple = [*scope, "ord", "id", "hash"]
+    undecided = stage(keys.select(*triple).distinct(), "keys")
+    if not undecided.filter(F.greatest(*map(F.isnull, triple))).isEmpty():
         raise ValueError("order, scope and both keys must not be NULL")
     done = None
     while True:
-        first_by_id = undecided.groupBy(*scope, "id").agg(F.min("ord").alias("ord"))
-        first_by_hash = undecided.groupBy(*scope, "hash").agg(F.min("ord").alias("ord"))
-        # ord is unique, so a row is first for both keys iff both minima name it.
-        both = first_by_id.join(first_by_hash, [*scope, "ord"])
-        kept = stage(both.select(*scope, "ord", "id", "hash"), "kept")
+        by_id = undecided.groupBy(*scope, "id").agg(F.min(F.struct("ord", "hash")).alias("first"))
+        by_hash = undecided.groupBy(*scope, "hash").agg(F.min(F.struct("ord", "id")).alias("first"))
+        first_by_id = by_id.select(*scope, "first.ord", "id", "first.hash")
+        first_by_hash = by_hash.select(*scope, "first.ord", "first.id", "hash")
+        kept = stage(first_by_id.join(first_by_hash, triple).select(*triple), "kept")
         done = kept if done is None else done.unionByName(kept)
         rest = undecided
         for key in ("id", "hash"):
@@ -70,11 +52,8 @@ def kept_keys(
                 rest, kept.select(*on), on, "left_anti", ["ord"], undecided, hot_rows
             )
         undecided = stage(rest, "undecided")
-        left = undecided.count()
-        if left == 0:
+        if undecided.isEmpty():
             return done
-        if left <= tail_rows:
-            return done.unionByName(stage(_finish(undecided, scope), "kept"))
 
 
 def _narrow(df, order, id_col, hash_col, scope):
@@ -94,23 +73,35 @@ def dedup_two_key(
     hash_col: str = "content_hash",
     scope: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
-    tail_rows: int = TAIL_ROWS,
 ) -> DataFrame:
     """Rows of ``df`` kept by the two-key rule, keys looked at per ``scope``.
 
-    ``order`` must identify a row within its scope.  ``df`` is read twice (keys
-    first, then the kept rows), so pass a staged table if it is costly.
+    Rows that agree in order and both keys count once, and one of them is kept.
+    ``df`` is read twice (keys first, then the kept rows), so pass a staged
+    table if it is costly.
     """
     order = [order] if isinstance(order, str) else list(order)
     scope = list(scope)
-    kept = kept_keys(
-        _narrow(df, order, id_col, hash_col, scope), scope, hot_rows, tail_rows
+    narrow = _narrow(df, order, id_col, hash_col, scope)
+    kept = kept_keys(narrow, scope, hot_rows)
+    position = (
+        [F.col("ord").alias(order[0])]
+        if len(order) == 1
+        else [F.col("ord")[c].alias(c) for c in order]
     )
-    if len(order) == 1:
-        ids = kept.select(*scope, F.col("ord").alias(order[0]))
-    else:
-        ids = kept.select(*scope, *[F.col("ord")[c].alias(c) for c in order])
-    return df.join(ids, [*scope, *order], "left_semi")
+    names = kept.select(*scope, *position, F.col("id").alias(id_col), F.col("hash").alias(hash_col))
+    return one_of_equals(df, names)
+
+
+def one_of_equals(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """``rows`` named by ``names``, whose rows are distinct; of several rows with one name, one."""
+    found = rows.join(names, names.columns, "left_semi")
+    repeated = found.groupBy(*names.columns).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    if repeated.isEmpty():
+        return found
+    again = stage(repeated.drop("_n"), "repeated")
+    once = found.join(again, names.columns, "left_semi").dropDuplicates(names.columns)
+    return found.join(again, names.columns, "left_anti").unionByName(once)
 
 
 def dedup_outcomes(
@@ -127,12 +118,11 @@ def dedup_outcomes(
     scope = list(scope)
     owners = kept.select(*scope, "id", F.col("ord").alias("_owner"))
     labelled = spread_join(keys, owners, [*scope, "id"], "left", ["ord"], hot_rows=hot_rows)
-    marked = labelled.join(
-        kept.select(*scope, "ord", F.lit(True).alias("_kept")), [*scope, "ord"], "left"
-    )
+    triple = [*scope, "ord", "id", "hash"]
+    marked = labelled.join(kept.select(*triple, F.lit(True).alias("_kept")), triple, "left")
     outcome = (
         F.when(F.col("_kept"), "accepted")
-        .when(F.col("_owner") < F.col("ord"), "dup_id")
+        .when(F.col("_owner") <= F.col("ord"), "dup_id")
         .otherwise("dup_hash")
     )
     return marked.withColumn("outcome", outcome).drop("_owner", "_kept")

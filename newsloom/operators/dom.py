@@ -20,11 +20,6 @@ from newsloom.schemas import NODE_TYPE
 # Executors get the scanner with the task and need no installed copy of it.
 cloudpickle.register_pickle_by_value(markup)
 
-# Spark cuts the batches it sends by row count only.  The default count suits
-# short rows; pages may have megabytes each, so the count is lowered.
-_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_ROWS_SENT = 128
-
 # Output batches are cut by input size, so that a batch of large pages does not
 # turn into one very large node batch.
 _BATCH_CHARS = 4 << 20
@@ -97,10 +92,10 @@ def _make_tokeniser(html_col: str):
 
 
 def dom_nodes(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """Replace ``html`` by ``nodes``; all other columns pass through."""
-    conf = pages.sparkSession.conf
-    if not 0 < int(conf.get(_ROWS_KEY)) <= _ROWS_SENT:
-        conf.set(_ROWS_KEY, str(_ROWS_SENT))
+    """Replace ``html`` by ``nodes``; all other columns pass through.
+
+    Spark bounds the batches it sends by spark.sql.execution.arrow.maxBytesPerBatch.
+    """
     others = [f for f in pages.schema.fields if f.name != html_col]
     schema = T.StructType([*others, T.StructField("nodes", NODE_TYPE)])
     return pages.mapInArrow(_make_tokeniser(html_col), schema)

@@ -142,8 +142,21 @@ def best_container(nodes: Column) -> Column:
     )
 
 
+def _whole_text(nodes: Column) -> Column:
+    """Visible text of the body, for pages in which no paragraph scores."""
+    body = F.get(F.filter(nodes, lambda n: n["tag"] == "body"), F.lit(0))
+    inside = F.coalesce(let(body, lambda b: F.when(b.isNotNull(), below(nodes, b))), nodes)
+    kept = F.filter(
+        inside,
+        lambda n: (n["tag"] == markup.TEXT)
+        & ~has(n["within"], markup.IN_FURNITURE | markup.IN_HIDDEN)
+        & F.coalesce(F.get(nodes, n["parent_id"])["tag"] != "title", F.lit(True)),
+    )
+    return F.array_join(F.transform(kept, lambda n: n["text"]), " ")
+
+
 def main_text(nodes: Column) -> Column:
-    """Visible text of the best container; empty when there is none."""
+    """Visible text of the best container, else of the whole body."""
 
     def read(container: Column) -> Column:
         kept = F.filter(
@@ -153,7 +166,8 @@ def main_text(nodes: Column) -> Column:
         )
         return F.array_join(F.transform(kept, lambda n: n["text"]), " ")
 
-    return F.coalesce(let(F.get(nodes, best_container(nodes)), read), F.lit(""))
+    best = let(F.get(nodes, best_container(nodes)), read)
+    return F.coalesce(best, _whole_text(nodes))
 
 
 def main_content(nodes_df: DataFrame, out: str = "main_text") -> DataFrame:

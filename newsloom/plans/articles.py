@@ -10,6 +10,7 @@ from newsloom.operators.body import page_body
 from newsloom.operators.dom import dom_nodes
 from newsloom.operators.metadata import with_metadata
 from newsloom.schemas import MIN_BODY_CHARS, THIN_CHARS
+from newsloom.sources.pages import loaded_pages
 from newsloom.sources.staging import stage
 
 
@@ -23,11 +24,11 @@ def page_articles(
 ) -> DataFrame:
     """One row per page (and selector policy) with a ``reject_reason`` or NULL.
 
-    The pages are parsed once, when this is called, into a staged table without
+    Failed loads (by ``status``, if there is one) give no row.  The pages are parsed once, when this is called, into a staged table without
     markup.  AMP twins are looked up in ``amp_pages``, by default ``pages``.
     """
     policies = [selector_policy] if isinstance(selector_policy, str) else selector_policy
-    wanted = pages.select("page_id", "url", "html")
+    wanted = loaded_pages(pages).select("page_id", "url", "html")
     meta = with_metadata(dom_nodes(wanted))
     if len(policies) == 1:
         meta = meta.withColumn("selector_policy", F.lit(policies[0]))

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.urls import first_segment, normalized_url, with_source_name
-from newsloom.operators.dedup import dedup_outcomes, kept_keys, without_stored
-from newsloom.operators.joins import BROADCAST_ROWS, HOT_ROWS, narrow_to, spread_join
+from newsloom.operators.dedup import dedup_outcomes, kept_keys, one_of_equals, without_stored
+from newsloom.operators.joins import HOT_ROWS, narrow_to, spread_join
 from newsloom.operators.paragraphs import SELECTORS
 from newsloom.plans.articles import page_articles
-from newsloom.sources.feeds import feed_entries, with_link_outcome
+from newsloom.sources.feeds import failed_feeds, feed_entries, with_link_outcome
 from newsloom.sources.pages import loaded_pages, newest_per_url
 from newsloom.sources.staging import stage
 from newsloom.sources.store import append_articles, existing_keys, open_store
@@ -21,9 +21,16 @@ _SCOPE = ["profile"]
 def entry_order(feed_ord: Column, entry_ord: Column) -> Column:
     """Feed and position as one number, so that minima stay in hash aggregates.
 
-    Positions within a feed stay below 2**40; with feed 0 any id will do.
+    Positions within a feed are 0 or more and below 2**40, and feeds below 2**22;
+    anything else raises.  With feed 0, that of rows without feeds, any id will do.
     """
-    return F.shiftleft(feed_ord.cast("long"), 40).bitwiseOR(entry_ord.cast("long"))
+    feed, entry = feed_ord.cast("long"), entry_ord.cast("long")
+    fits = feed.between(1, 2**22 - 1) & entry.between(0, 2**40 - 1)
+    return (
+        F.when((feed == 0) | feed.isNull() | entry.isNull(), F.coalesce(entry + feed, entry))
+        .when(fits, F.shiftleft(feed, 40).bitwiseOR(entry))
+        .otherwise(F.raise_error(F.lit("a feed's number or an entry's position is out of range")).cast("long"))
+    )
 
 
 def _stored_keys(store: DataFrame) -> DataFrame:
@@ -75,7 +82,10 @@ def ingest(
         "profile", "ord", F.col("id_article").alias("id"), F.col("content_hash").alias("hash")
     )
     kept = accept(keys, open_store(articles.sparkSession, path), hot_rows)
-    accepted = rows.join(kept.select("profile", "ord"), ["profile", "ord"], "left_semi").drop("ord")
+    names = kept.select(
+        "profile", "ord", F.col("id").alias("id_article"), F.col("hash").alias("content_hash")
+    )
+    accepted = one_of_equals(rows, names).drop("ord")
     append_articles(accepted, path)
     return accepted
 
@@ -98,20 +108,8 @@ def entry_pages(entries: DataFrame, pages: DataFrame, hot_rows: int = HOT_ROWS)
     return joined.withColumn("reject_reason", reason)
 
 
-def _pages_to_parse(pages: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Only the wanted pages while their number is bounded, else all of them.
-
-    Beyond the bound most pages are wanted anyway, and parsing in place is
-    cheaper than moving the markup for a join; the later join on ``page_id``
-    decides either way.
-    """
-    if wanted.count() > BROADCAST_ROWS:
-        return pages
-    return narrow_to(pages, wanted, "page_id")
-
-
 class Run(NamedTuple):
-    """Result of a feed run: accepted store rows, and one outcome per entry."""
+    """Result of a feed run: accepted store rows, and one outcome per entry and per failed feed."""
 
     accepted: DataFrame
     outcomes: DataFrame
@@ -134,7 +132,7 @@ def crawl(
     )
     in_use = [p for p in SELECTORS if not feeds.filter(F.col("selector_policy") == p).isEmpty()]
     articles = page_articles(
-        _pages_to_parse(pages, wanted), in_use or list(SELECTORS), content_policy, amp_pages=pages
+        narrow_to(pages, wanted, "page_id"), in_use or list(SELECTORS), content_policy, amp_pages=pages
     )
     at = ["page_id", "selector_policy"]
     verdicts = articles.select(
@@ -168,7 +166,15 @@ def crawl(
         "link",
         F.coalesce("reject_reason", "outcome").alias("outcome"),
     )
-    return Run(accepted, outcomes)
+    failed = failed_feeds(feed_docs, feeds).select(
+        "profile",
+        "feed_ord",
+        F.lit(None).cast("long").alias("entry_ord"),
+        "category",
+        F.lit(None).cast("string").alias("link"),
+        "outcome",
+    )
+    return Run(accepted, outcomes.unionByName(failed))
 
 
 def page_outcomes(rows: DataFrame, profile: str = "default", hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -59,10 +59,8 @@ NODE_TYPE = T.ArrayType(
     )
 )
 
-# Thresholds of the body cascade and of the identity keys.
+# Thresholds of the body cascade and the length of an id.
 MIN_BODY_CHARS = 800
 THIN_CHARS = 200
 MIN_PARAGRAPH_CHARS = 3
-HASH_PREFIX_CHARS = 4000
 ID_CHARS = 12
-MAX_PER_FEED = 60

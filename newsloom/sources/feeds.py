@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from newsloom.functions.text import let
 from newsloom.functions.urls import normalized_url
-from newsloom.schemas import FEED_SCHEMA, MAX_PER_FEED
+from newsloom.schemas import FEED_SCHEMA
 
 # Per profile the source policy, the source value, the selector
 # policy and the feeds in order (a story in two feeds belongs to the first).
@@ -101,7 +101,10 @@ _LINK = T.StructType(
         T.StructField("_VALUE", T.StringType()),
     ]
 )
-_ITEM = T.StructType([T.StructField("link", T.ArrayType(_LINK))])
+_GUID = T.StructType(
+    [T.StructField("_isPermaLink", T.StringType()), T.StructField("_VALUE", T.StringType())]
+)
+_ITEM = T.StructType([T.StructField("link", T.ArrayType(_LINK)), T.StructField("guid", _GUID)])
 # One schema reads RSS (channel/item, or item next to the channel) and Atom (entry).
 _FEED_XML = T.StructType(
     [
@@ -112,9 +115,12 @@ _FEED_XML = T.StructType(
 )
 
 
-def feed_config(spark: SparkSession, profiles: dict = PROFILES) -> DataFrame:
+def feed_config(
+    spark: SparkSession, profiles: dict = PROFILES, max_per_feed: int | None = None
+) -> DataFrame:
+    """One row per configured feed; NULL in ``max_per_feed`` takes every entry."""
     rows = [
-        (profile, ordinal, category, url, MAX_PER_FEED, policy, value, selector)
+        (profile, ordinal, category, url, max_per_feed, policy, value, selector)
         for profile, (policy, value, selector, feeds) in profiles.items()
         for ordinal, (category, url) in enumerate(feeds)
     ]
@@ -125,6 +131,13 @@ def _rss_link(item: Column) -> Column:
     return F.get(F.filter(item["link"], lambda x: x["_VALUE"].isNotNull()), F.lit(0))["_VALUE"]
 
 
+def _permalink(item: Column) -> Column:
+    """The guid, which is the item's address unless it says otherwise."""
+    guid = item["guid"]
+    kept = F.lower(F.coalesce(guid["_isPermaLink"], F.lit("true"))) != "false"
+    return F.when(kept, F.nullif(guid["_VALUE"], F.lit("")))
+
+
 def _atom_link(item: Column) -> Column:
     main = F.filter(
         item["link"], lambda x: x["_rel"].isNull() | (x["_rel"] == "alternate")
@@ -132,50 +145,116 @@ def _atom_link(item: Column) -> Column:
     return F.nullif(F.get(main, F.lit(0))["_href"], F.lit(""))
 
 
-def entry_links(xml: Column, cap: Column | int) -> Column:
+def _whole_length(cap: Column | int) -> Column:
+    limit = F.lit(cap) if isinstance(cap, int) else cap
+    return F.coalesce(limit.cast("int"), F.lit(2**31 - 1))
+
+
+def _any_link(item: Column) -> Column:
+    return F.coalesce(_rss_link(item), _atom_link(item), _permalink(item))
+
+
+def _salvaged(xml: Column) -> Column:
+    """Closed items of a document that is not well-formed as a whole, read one by one."""
+    name = F.when(F.contains(xml, F.lit("</item>")), "item").otherwise("entry")
+
+    def closed(name: Column) -> Column:
+        end = F.concat(F.lit("</"), name, F.lit(">"))
+        parts = F.split(xml, F.concat(F.lit("<"), name, F.lit(r"(?=[\s>])")))
+        bodies = F.filter(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), lambda p: F.contains(p, end))
+        return F.transform(
+            bodies,
+            lambda p: F.from_xml(
+                F.concat(F.lit("<"), name, F.call_function("substring_index", p, end, F.lit(1)), end), _ITEM, {"mode": "PERMISSIVE"}
+            ),
+        )
+
+    return let(name, closed)
+
+
+def entry_links(xml: Column, cap: Column | int | None = None) -> Column:
     """Links of the first ``cap`` entries in document order; NULL where missing or empty.
 
-    The cut is made on the array, before any row is produced.
+    NULL for a document in which no entry can be read.  The cut is made on the
+    array, before any row is produced; without ``cap`` there is none.  Of a
+    document that is not well-formed the closed items are read; one that cannot
+    be read itself has no link.
     """
+    length = _whole_length(F.lit(None) if cap is None else cap)
 
     def read(doc: Column) -> Column:
         rss = F.coalesce(doc["channel"]["item"], doc["item"])
-        return F.coalesce(
-            F.transform(F.slice(rss, 1, cap), lambda i: F.coalesce(_rss_link(i), _atom_link(i))),
-            F.transform(F.slice(doc["entry"], 1, cap), _atom_link),
+        whole = F.coalesce(
+            F.transform(F.slice(rss, 1, length), _any_link),
+            F.transform(F.slice(doc["entry"], 1, length), _atom_link),
         )
+        return F.coalesce(whole, let(_salvaged(xml), some))
+
+    def some(items: Column) -> Column:
+        return F.when(F.size(items) > 0, F.transform(F.slice(items, 1, length), _any_link))
 
     return let(F.from_xml(xml, _FEED_XML, {"mode": "PERMISSIVE"}), read)
 
 
-def all_feed_entries(feed_docs: DataFrame, feeds: DataFrame, cap: int | None = None) -> DataFrame:
-    """Entries of all configured feeds, capped per feed, with or without a link.
+def newest_feeds(feed_docs: DataFrame) -> DataFrame:
+    """One document per feed: the latest landing; without ``fetched_at``, or on a tie, the greater text."""
+    stamp = F.col("fetched_at") if "fetched_at" in feed_docs.columns else F.lit(0)
+    newest = F.max(F.struct(stamp.alias("at"), F.col("xml").alias("xml")))
+    return feed_docs.groupBy("feed_url").agg(newest["xml"].alias("xml"))
+
+
+_ENTRY = ("category", "source_policy", "source_value", "selector_policy")
+
+
+def _with_links(feed_docs: DataFrame, feeds: DataFrame, cap: int | None) -> DataFrame:
+    """Configured feeds with their ``links``; ``landed`` tells whether there is a document.
 
     ``feeds`` is left to Spark's own size check: the configuration table is a
-    local relation of known size and is broadcast.
+    local relation of known size.
     """
+    newest = newest_feeds(feed_docs).withColumn("landed", F.lit(True))
+    joined = feeds.join(newest, "feed_url", "left")
     limit = F.col("max_per_feed") if cap is None else F.lit(cap)
-    joined = feed_docs.join(feeds, "feed_url")
-    return joined.select(
-        "profile",
-        "feed_ord",
-        "category",
-        "source_policy",
-        "source_value",
-        "selector_policy",
-        F.posexplode(entry_links(F.col("xml"), limit)).alias("pos", "link"),
-    ).select(
-        "profile",
-        "feed_ord",
-        F.col("pos").cast("long").alias("entry_ord"),
-        "category",
-        "link",
-        "source_policy",
-        "source_value",
-        "selector_policy",
+    return joined.withColumn("links", entry_links(F.col("xml"), limit)).drop("xml")
+
+
+def all_feed_entries(feed_docs: DataFrame, feeds: DataFrame, cap: int | None = None) -> DataFrame:
+    """Entries of all configured feeds, capped per feed if asked for, with or without a link.
+
+    A feed that landed several times is read as it landed last.
+    """
+    return (
+        _with_links(feed_docs, feeds, cap)
+        .select("profile", "feed_ord", *_ENTRY, F.posexplode("links").alias("pos", "link"))
+        .select(
+            "profile", "feed_ord", F.col("pos").cast("long").alias("entry_ord"), "category", "link", *_ENTRY[1:]
+        )
     )
 
 
+def failed_feeds(feed_docs: DataFrame, feeds: DataFrame) -> DataFrame:
+    """Configured feeds that give no entry: ``no_feed`` (not landed) or ``bad_feed`` (not readable).
+
+    A feed that can be read and is empty is neither.
+    """
+    reason = F.when(F.col("landed").isNull(), "no_feed").when(
+        F.col("links").isNull() & ~F.col("is_feed"), "bad_feed"
+    )
+    docs = newest_feeds(feed_docs)
+    named = docs.select("feed_url", _is_feed(F.col("xml")).alias("is_feed"))
+    return (
+        _with_links(feed_docs, feeds, None)
+        .join(named, "feed_url", "left")
+        .select("profile", "feed_ord", "category", reason.alias("outcome"))
+        .filter(F.col("outcome").isNotNull())
+    )
+
+
+def _is_feed(xml: Column) -> Column:
+    """Whether a document without entries is a feed all the same."""
+    return F.coalesce(xml.rlike(r"(?is)<(rss|feed|rdf)[\s>:].*</(rss|feed|rdf)(:rdf)?>\s*$"), F.lit(False))
+
+
 def linked(entries: DataFrame) -> DataFrame:
     """Drop entries without a link; they have already used up their slot."""
     return entries.filter(F.col("link").isNotNull() & (F.col("link") != ""))
@@ -192,7 +271,7 @@ def feed_entries(feed_docs: DataFrame, feeds: DataFrame, cap: int | None = None)
     return linked(all_feed_entries(feed_docs, feeds, cap))
 
 
-def cap_entries(entries: DataFrame, cap: int = MAX_PER_FEED) -> DataFrame:
+def cap_entries(entries: DataFrame, cap: int) -> DataFrame:
     """First entries per feed of an already exploded table.
 
     Spark cuts each map task's part of a feed to ``cap`` rows before the

@@ -17,7 +17,8 @@ def staging_root(spark: SparkSession) -> str:
     named = spark.conf.get(_DIR_KEY, None) or spark.sparkContext.getConf().get(_DIR_KEY)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {_DIR_KEY} to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="newsloom-")
     spark.conf.set(_DIR_KEY, own)

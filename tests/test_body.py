@@ -133,7 +133,8 @@ def test_main_content(spark):
     links = f"<div>{'<p><a>' + text + '</a></p>'}</div><section><p>{text}</p></section>"
     got = column(main_content(dom_nodes(pages(spark, html, links, "", "<p>short</p>", f"<p>{text}</p>"))), "main_text")
     body = text.strip()
-    assert got == [f"Head {body} {body}", body, "", "", ""]
+    # Without a scored paragraph the whole body counts.
+    assert got == [f"Head {body} {body}", body, "", "short", body]
 
 
 def test_main_content_comes_first_in_the_full_policy(spark):
@@ -157,3 +158,34 @@ def test_thin_pages_and_reject_reasons(spark):
 def test_unknown_policy(spark):
     with pytest.raises(ValueError):
         bodies(spark, "<p>x</p>", content_policy="best")
+
+
+def test_main_content_without_paragraphs(spark):
+    htmls = [
+        "<head><title>t</title></head><body><nav>menu</nav><div>One line<br>and another one, long enough</div></body>",
+        "<div><div>nested text</div><div>more of it</div></div>",
+        "<body><ul><li>first item<li>second item</ul><script>no()</script></body>",
+    ]
+    got = column(main_content(dom_nodes(pages(spark, *htmls))), "main_text")
+    assert got == ["One line and another one, long enough", "nested text more of it", "first item second item"]
+
+
+def test_failed_loads_give_no_article_and_no_twin(spark):
+    from newsloom import extract_articles
+
+    text = "A sentence that is long enough to be kept by every rule there is. " * 5
+    rows = [
+        (1, "http://x/1", f"<article><h1>a</h1><p>{text}</p></article>", 404),
+        (2, "http://x/2", f"<link rel=amphtml href='http://x/amp'><article><h1>b</h1><p>{text}</p></article>", None),
+        (3, "http://x/amp", f"<main><p>{text * 2}</p></main>", 500),
+    ]
+    landed = spark.createDataFrame(rows, "page_id bigint, url string, html string, status int")
+    got = extract_articles(landed, content_policy="selectors").collect()
+    assert [(r.entry_ord, len(r.content)) for r in got] == [(2, len(text.strip()))]
+
+
+def test_the_session_is_left_as_it_is(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    dom_nodes(pages(spark, "<p>x")).collect()
+    assert spark.conf.get(key) == before

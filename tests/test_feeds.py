@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from newsloom import cap_entries, entry_pages, feed_config, feed_entries
 from newsloom.schemas import FEED_SCHEMA
-from newsloom.sources.feeds import all_feed_entries, with_link_outcome
+from newsloom.sources.feeds import all_feed_entries, failed_feeds, with_link_outcome
 from newsloom.sources.pages import newest_per_url, read_pages
 from newsloom.sources.staging import stage
 
@@ -15,7 +15,7 @@ def item(link):
     return "<item><title>t</title></item>" if link is None else f"<item><link>{link}</link></item>"
 
 
-def feeds(spark, *urls, cap=60):
+def feeds(spark, *urls, cap=None):
     rows = [("p", i, f"c{i}", u, cap, "host", None, "four") for i, u in enumerate(urls)]
     return spark.createDataFrame(rows, FEED_SCHEMA)
 
@@ -39,15 +39,47 @@ def test_positions_cap_and_missing_links(spark):
         ],
         "feed_url string, xml string",
     )
-    table = feeds(spark, "u0", "u1", "u2", "u3")
+    table = feeds(spark, "u0", "u1", "u2", "u3", "u4")
     entries = feed_entries(docs, table).orderBy("feed_ord", "entry_ord").collect()
-    assert [e.link for e in entries if e.feed_ord == 0] == [f"http://x/{i}" for i in range(60)]
+    assert [e.link for e in entries if e.feed_ord == 0] == [f"http://x/{i}" for i in range(61)]
+    capped = feed_entries(docs, feeds(spark, "u0", cap=60))
+    assert sorted(e.entry_ord for e in capped.collect()) == list(range(60))
     assert [(e.entry_ord, e.link) for e in entries if e.feed_ord == 1] == [
         (0, "http://x/a"), (3, "http://x/b"), (4, "http://x/c"),
     ]
     assert {e.feed_ord for e in entries} == {0, 1}
     assert [e.entry_ord for e in feed_entries(docs, table, cap=4).filter("feed_ord = 1").collect()] == [0, 3]
     assert all_feed_entries(docs, table).filter("feed_ord = 1").count() == 5
+    failed = {r.feed_ord: r.outcome for r in failed_feeds(docs, table).collect()}
+    assert failed == {2: "bad_feed", 3: "bad_feed", 4: "no_feed"}
+
+
+def test_newest_landing_counts(spark):
+    docs = spark.createDataFrame(
+        [("u0", rss(item("http://x/a"), item("http://x/b")), 1), ("u0", rss(item("http://x/c"), item("http://x/a")), 2)],
+        "feed_url string, xml string, fetched_at int",
+    )
+    got = feed_entries(docs, feeds(spark, "u0")).orderBy("entry_ord").collect()
+    assert [(e.entry_ord, e.link) for e in got] == [(0, "http://x/c"), (1, "http://x/a")]
+    assert [e.link for e in feed_entries(docs.drop("fetched_at"), feeds(spark, "u0")).orderBy("entry_ord").collect()] == [
+        "http://x/c", "http://x/a",
+    ]
+
+
+def test_salvage_and_permalinks(spark):
+    broken = "<rss><channel><item><title>a &nope; b</title><link>http://x/0</link></item>" + item("http://x/1") + "<item><link>http://x/2"
+    guids = rss(
+        "<item><guid>http://x/g</guid></item>", '<item><guid isPermaLink="false">id</guid></item>',
+        '<item><guid isPermaLink="true">http://x/h</guid><link>http://x/l</link></item>',
+    )
+    docs = spark.createDataFrame([("u0", broken), ("u1", guids), ("u2", rss())], "feed_url string, xml string")
+    table = feeds(spark, "u0", "u1", "u2")
+    got = feed_entries(docs, table).orderBy("feed_ord", "entry_ord").collect()
+    assert [(e.feed_ord, e.link) for e in got if e.link != "http://x/0"] == [
+        (0, "http://x/1"), (1, "http://x/g"), (1, "http://x/l"),
+    ]
+    # A feed that can be read and is empty has not failed.
+    assert failed_feeds(docs, table).count() == 0
 
 
 def test_atom_and_rdf(spark):

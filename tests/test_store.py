@@ -60,6 +60,13 @@ def test_entry_order_sorts_by_feed_then_position(spark):
     df = spark.createDataFrame(pairs, "f int, e bigint").select(entry_order(F.col("f"), F.col("e")))
     got = [r[0] for r in df.collect()]
     assert got == sorted(got) and len(set(got)) == len(got)
+    for pair in ((1, 2**40), (1, -1), (2**22, 0), (-1, 5)):
+        bad = spark.createDataFrame([pair], "f int, e bigint").select(entry_order(F.col("f"), F.col("e")))
+        with pytest.raises(Exception, match="out of range"):
+            bad.collect()
+    # Rows without feeds may have any id.
+    free = spark.createDataFrame([(0, -7), (0, 2**50)], "f int, e bigint")
+    assert [r[0] for r in free.select(entry_order(F.col("f"), F.col("e"))).collect()] == [-7, 2**50]
 
 
 def test_csv_roundtrip(spark, tmp_path):

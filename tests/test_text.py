@@ -27,7 +27,7 @@ def test_tag_list(spark):
 def test_keys(spark):
     long = "é" * 5000
     got = applied(spark, [long, ""], lambda v: content_hash(F.lit("t"), v))
-    assert got == [hashlib.sha1(f"t|{x[:4000]}".encode()).hexdigest() for x in (long, "")]
+    assert got == [hashlib.sha1(f"t|{x}".encode()).hexdigest() for x in (long, "")]
     assert applied(spark, ["http://x"], article_id) == [hashlib.sha1(b"http://x").hexdigest()[:12]]
     no_title = applied(spark, ["b"], lambda v: content_hash(F.lit(""), v))
     assert no_title == [hashlib.sha1(b"|b").hexdigest()]
@@ -49,6 +49,15 @@ DATES = [
     ("Dec 1, 2025 at 5:07 PM", "2025-12-01T17:07:00"),
     ("Monday, 29 February 2024", "2024-02-29T00:00:00"),
     ("2025-12-01 10:00:00 EST", "2025-12-01T10:00:00"),
+    ("Mon Dec  1 10:00:00 2025", "2025-12-01T10:00:00"),
+    ("Mon Dec 1 10:00:00 UTC 2025", "2025-12-01T10:00:00+00:00"),
+    ("12/01/2025", "2025-12-01T00:00:00"),
+    ("12/01/2025 10:00", "2025-12-01T10:00:00"),
+    ("31/12/2025", "2025-12-31T00:00:00"),
+    ("2025-12-01T10", "2025-12-01T10:00:00"),
+    ("1st December 2025", "2025-12-01T00:00:00"),
+    ("December 2nd, 2025 10:00", "2025-12-02T10:00:00"),
+    ("2025.12.01", "2025-12-01T00:00:00"),
     ("2025-02-29", None),
     ("2025-13-01", None),
     ("2025-12-01T24:00:00", None),
