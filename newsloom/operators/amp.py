@@ -10,7 +10,7 @@ from newsloom.operators.joins import HOT_ROWS, narrow_to, spread_join
 from newsloom.operators.paragraphs import clean_paragraphs
 from newsloom.schemas import MIN_BODY_CHARS
 from newsloom.sources.pages import loaded_pages, newest_per_url
-from newsloom.sources.staging import stage
+from newsloom.sources.staging import stage_counted
 
 
 def amp_texts(targets: DataFrame, pages: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def amp_texts(targets: DataFrame, pages: DataFrame) -> DataFrame:
     """
     at = loaded_pages(pages).withColumnRenamed("url", "amp_href")
     narrow = at.drop("html").join(targets, "amp_href", "left_semi")
-    newest = stage(newest_per_url(narrow, "amp_href"), "amp-pages")
+    newest = stage_counted(newest_per_url(narrow, "amp_href"), "amp-pages")
     found = narrow_to(at.select("amp_href", "page_id", "html"), newest.select("page_id"), "page_id")
     return clean_paragraphs(dom_nodes(found), "three", "twin_text").select("amp_href", "twin_text")
 
@@ -49,7 +49,7 @@ def with_amp_body(
     longer = F.when(
         F.length("twin_text") > F.length(text_col), F.col("twin_text")
     ).otherwise(F.col(text_col))
-    replaced = stage(derive(joined.withColumn(text_col, longer)).select(*rows.columns), "amp-rows")
+    replaced = stage_counted(derive(joined.withColumn(text_col, longer)).select(*rows.columns), "amp-rows")
     return rows.filter(~short).unionByName(replaced)
 
 
@@ -57,4 +57,4 @@ def amp_body(nodes_df: DataFrame, pages: DataFrame, text_col: str | None = None)
     """Add ``amp_text``: the AMP stage on its own, or on top of ``text_col``."""
     text = F.lit("") if text_col is None else F.col(text_col)
     rows = nodes_df.drop("nodes").withColumn("amp_text", text)
-    return with_amp_body(stage(rows, "amp"), pages, "amp_text")
+    return with_amp_body(stage_counted(rows, "amp"), pages, "amp_text")

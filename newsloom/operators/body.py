@@ -9,7 +9,7 @@ from newsloom.operators.jsonld import longest_body
 from newsloom.operators.main_content import main_text
 from newsloom.operators.paragraphs import clean_join, paragraph_texts
 from newsloom.schemas import MIN_BODY_CHARS
-from newsloom.sources.staging import stage
+from newsloom.sources.staging import stage_counted
 
 # "full" starts with the main block, "selectors" with the selected paragraphs.
 CONTENT_POLICIES = ("full", "selectors")
@@ -56,7 +56,7 @@ def article_body(
     The page's own stages run once and are staged; with ``pages`` given, rows
     that are still short are then looked up by their AMP address.
     """
-    own = stage(page_body(nodes_df, content_policy, selector_policy, min_chars, out), "body")
+    own = stage_counted(page_body(nodes_df, content_policy, selector_policy, min_chars, out), "body")
     if pages is None:
         return own
     return with_amp_body(own, pages, out, min_chars=min_chars)

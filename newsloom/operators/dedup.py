@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.joins import HOT_ROWS, checked_broadcast, spread_join
-from newsloom.sources.staging import stage
+from newsloom.sources.staging import row_count, stage, stage_counted
 
 
 def kept_keys(
@@ -34,7 +34,7 @@ def kept_keys(
     """
     scope = list(scope)
     triple = [*scope, "ord", "id", "hash"]
-    undecided = stage(keys.select(*triple).distinct(), "keys")
+    undecided = stage_counted(keys.select(*triple).distinct(), "keys")
     if not undecided.filter(F.greatest(*map(F.isnull, triple))).isEmpty():
         raise ValueError("order, scope and both keys must not be NULL")
     done = None
@@ -51,8 +51,8 @@ def kept_keys(
             rest = spread_join(
                 rest, kept.select(*on), on, "left_anti", ["ord"], undecided, hot_rows
             )
-        undecided = stage(rest, "undecided")
-        if undecided.isEmpty():
+        undecided = stage_counted(rest, "undecided")
+        if row_count(undecided) == 0:
             return done
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.sources.staging import row_count
+
 # A key with more rows than this is split into pieces of about this many rows.
 # At most N / HOT_ROWS keys can be hot, and only their 64-bit hashes are
 # broadcast: 16 bytes per million left rows.
@@ -43,7 +45,7 @@ def spread_join(
     can be hot, and the join is then a plain one.
     """
     base = left if base is None else base
-    if base.count() <= hot_rows:
+    if row_count(base) <= hot_rows:
         return left.join(right, on, how)
     hot = hot_keys(base, on, hot_rows)
     hot = F.broadcast(hot)
@@ -77,7 +79,7 @@ BROADCAST_ROWS = 1_000_000
 
 def checked_broadcast(keys: DataFrame, base: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``keys`` for broadcast if the staged table they come from is small."""
-    return F.broadcast(keys) if base.count() <= max_rows else keys
+    return F.broadcast(keys) if row_count(base) <= max_rows else keys
 
 
 def narrow_to(wide: DataFrame, keys: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:

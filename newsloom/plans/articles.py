@@ -11,7 +11,7 @@ from newsloom.operators.dom import dom_nodes
 from newsloom.operators.metadata import with_metadata
 from newsloom.schemas import MIN_BODY_CHARS, THIN_CHARS
 from newsloom.sources.pages import loaded_pages
-from newsloom.sources.staging import stage
+from newsloom.sources.staging import stage_counted
 
 
 def page_articles(
@@ -48,7 +48,7 @@ def page_articles(
         ).withColumn("reject_reason", reason)
 
     body = page_body(meta, content_policy, policy, min_chars, "content")
-    own = stage(derive(body.drop("request_url")), "pages")
+    own = stage_counted(derive(body.drop("request_url")), "pages")
     lookup = pages if amp_pages is None else amp_pages
     return with_amp_body(own, lookup, "content", min_chars=min_chars, derive=derive).drop("amp_href")
 

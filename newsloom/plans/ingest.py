@@ -12,7 +12,7 @@ from newsloom.operators.paragraphs import SELECTORS
 from newsloom.plans.articles import page_articles
 from newsloom.sources.feeds import failed_feeds, feed_entries, with_link_outcome
 from newsloom.sources.pages import loaded_pages, newest_per_url
-from newsloom.sources.staging import stage
+from newsloom.sources.staging import same_rows, stage_counted
 from newsloom.sources.store import append_articles, existing_keys, open_store
 
 _SCOPE = ["profile"]
@@ -58,7 +58,7 @@ def key_outcomes(
 
     An id that is stored, or was kept earlier, makes a ``dup_id``.
     """
-    new_ids = stage(
+    new_ids = stage_counted(
         without_stored(keys, _stored_keys(store), "id", _SCOPE, hot_rows=hot_rows), "new-ids"
     )
     known = keys.join(new_ids.select("profile", "ord"), ["profile", "ord"], "left_anti")
@@ -76,11 +76,12 @@ def ingest(
     accepted rows only.  ``articles`` is written to a staged table first, unless
     it is one already (``staged``), as the result of ``extract_articles`` is.
     """
-    rows = articles if staged else stage(articles, "batch")
-    rows = rows.withColumn("ord", entry_order(F.col("feed_ord"), F.col("entry_ord")))
+    staged_rows = articles if staged else stage_counted(articles, "batch")
+    rows = staged_rows.withColumn("ord", entry_order(F.col("feed_ord"), F.col("entry_ord")))
     keys = rows.select(
         "profile", "ord", F.col("id_article").alias("id"), F.col("content_hash").alias("hash")
     )
+    keys = same_rows(keys, staged_rows)
     kept = accept(keys, open_store(articles.sparkSession, path), hot_rows)
     names = kept.select(
         "profile", "ord", F.col("id").alias("id_article"), F.col("hash").alias("content_hash")
@@ -125,9 +126,9 @@ def crawl(
 ) -> Run:
     """A full run: feed documents and landed pages into the store."""
     pages = loaded_pages(pages)
-    entries = stage(with_link_outcome(feed_entries(feed_docs, feeds)), "entries")
-    linked = stage(entry_pages(entries, pages, hot_rows), "linked")
-    wanted = stage(
+    entries = stage_counted(with_link_outcome(feed_entries(feed_docs, feeds)), "entries")
+    linked = stage_counted(entry_pages(entries, pages, hot_rows), "linked")
+    wanted = stage_counted(
         linked.filter(F.col("page_id").isNotNull()).select("page_id").distinct(), "wanted"
     )
     in_use = [p for p in SELECTORS if not feeds.filter(F.col("selector_policy") == p).isEmpty()]
@@ -141,7 +142,7 @@ def crawl(
         F.col("content_hash").alias("hash"),
         F.col("reject_reason").alias("page_reason"),
     )
-    seen = stage(
+    seen = stage_counted(
         spread_join(linked, verdicts, at, "left", ["feed_ord", "entry_ord"], hot_rows=hot_rows)
         .withColumn("reject_reason", F.coalesce("reject_reason", "page_reason"))
         .withColumn("ord", entry_order(F.col("feed_ord"), F.col("entry_ord"))),
@@ -151,12 +152,12 @@ def crawl(
     store = open_store(pages.sparkSession, store_path)
     kept = accept(keys, store, hot_rows)
     # Decided against the store as it is now, so written before the append.
-    named = stage(key_outcomes(keys, kept, store, hot_rows).select("profile", "ord", "outcome"), "named")
+    named = stage_counted(key_outcomes(keys, kept, store, hot_rows).select("profile", "ord", "outcome"), "named")
     won = seen.join(kept.select("profile", "ord"), ["profile", "ord"], "left_semi").select(
         "profile", "feed_ord", "entry_ord", "category", "source_policy", "source_value", *at
     )
     # An accepted id is unique within its profile, so no page is a hot key here.
-    accepted = stage(with_source_name(won.join(articles, at)), "accepted-rows")
+    accepted = stage_counted(with_source_name(won.join(articles, at)), "accepted-rows")
     append_articles(accepted, store_path)
     outcomes = seen.join(named, ["profile", "ord"], "left").select(
         "profile",

@@ -7,7 +7,8 @@ checkpointed plan it is columnar, so later steps read only what they need.
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _DIR_KEY = "spark.checkpoint.dir"
 
@@ -35,3 +36,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, label: str) -> DataFrame:
+    """As ``stage``; the rows are counted as they are written, for ``row_count``."""
+    written = Observation()
+    staged = stage(df.observe(written, F.count(F.lit(1)).alias("n")), label)
+    staged.staged_rows = written.get["n"]
+    return staged
+
+
+def same_rows(df: DataFrame, staged: DataFrame) -> DataFrame:
+    """``df``, a projection of ``staged``, with its row count if that is known."""
+    df.staged_rows = vars(staged).get("staged_rows")
+    return df
+
+
+def row_count(df: DataFrame) -> int:
+    """Rows of a staged table, by what its writer counted if it did."""
+    known = vars(df).get("staged_rows")
+    return df.count() if known is None else known
