@@ -143,8 +143,12 @@ def best_container(nodes: Column) -> Column:
 
 
 def _whole_text(nodes: Column) -> Column:
-    """Visible text of the body, for pages in which no paragraph scores."""
-    body = F.get(F.filter(nodes, lambda n: n["tag"] == "body"), F.lit(0))
+    """Visible text of the article, main part or body, for pages in which no paragraph scores."""
+
+    def first(tag: str) -> Column:
+        return F.get(F.filter(nodes, lambda n: n["tag"] == tag), F.lit(0))
+
+    body = F.coalesce(first("article"), first("main"), first("body"))
     inside = F.coalesce(let(body, lambda b: F.when(b.isNotNull(), below(nodes, b))), nodes)
     kept = F.filter(
         inside,
@@ -156,7 +160,7 @@ def _whole_text(nodes: Column) -> Column:
 
 
 def main_text(nodes: Column) -> Column:
-    """Visible text of the best container, else of the whole body."""
+    """Visible text of the best container, else of the article, main part or body."""
 
     def read(container: Column) -> Column:
         kept = F.filter(
