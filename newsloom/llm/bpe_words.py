@@ -61,6 +61,8 @@ def stretch_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class StretchEncoder:
     """Token ids of texts; remembers the ids of stretches, up to a fixed number."""
 
+    #: Stretches remembered at most.
+    most = KEPT_STRETCHES
     #: The id of a line feed, or -1 if it may be joined with others.
     line_id = -1
 
@@ -138,7 +140,7 @@ class StretchEncoder:
         if not len(missed):
             return place
         keys, first, which = np.unique(hashes[missed], return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > KEPT_STRETCHES and len(self.keys):
+        if len(self.keys) + len(keys) > self.most and len(self.keys):
             self.forget()
             return self._place(hashes, data, starts, ends)
         found = np.full(len(keys), -1)

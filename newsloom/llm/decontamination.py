@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.edit_lsh import Index
 from newsloom.llm.words import slices, span_hashes, spans, word_bytes
+from newsloom.llm.workers import release, with_code
 
 #: Share of an item's words that may be inserted, deleted or replaced.
 EDIT_SHARE = 0.1
@@ -125,9 +126,10 @@ def _with_block(docs: DataFrame, columns: list[str], at: int, index: Index, ids:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(lists, pa.list_(_LEAK))], [*columns, "leaks"]
                 )
+        release()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "leaks"]
-    return docs.mapInArrow(run, ", ".join([*fields, f"leaks {_LEAKS}"]))
+    return with_code(docs).mapInArrow(run, ", ".join([*fields, f"leaks {_LEAKS}"]))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

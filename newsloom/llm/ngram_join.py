@@ -12,8 +12,9 @@ distinct sets, so that copies are one node from the start.
    matches are used first and the dearer ones only where frequent segments take their
    place.
 3. Sets that even so are not covered are mostly made of frequent segments: large groups
-   of near copies. They are held against one member of each frequent segment's group,
-   and against more members only as far as that leaves the group unconnected.
+   of near copies. They are held against one member of each frequent segment's group;
+   those that this leaves unconnected are then held, in blocks, against the whole of
+   the component that they share a frequent segment with.
 
 Every candidate is verified on the whole sets. Links within a component that is already
 connected are not verified one by one.
@@ -28,17 +29,20 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import set_partition as sp
 from newsloom.llm.components import components
-from newsloom.llm.words import hashed_words, mix, slices
+from newsloom.llm.words import hashed_words, mix, ranges, slices
+from newsloom.llm.workers import release, with_code
 from newsloom.sources.staging import stage
 
 WORDS = 5
-#: Text bytes for each bucket of signatures, about a million entries.
-BUCKET_BYTES = 9 << 20
+#: Text bytes for each bucket of signatures, some hundred thousand entries.
+BUCKET_BYTES = 6 << 20
 #: Entries that a task packs at a time.
-CHUNK_ENTRIES = 4_000_000
+CHUNK_ENTRIES = 700_000
 #: Ids (and signatures beside them) that may be broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-PIVOT_ROUNDS = 3
+PIVOT_SIGNATURES = 8
+#: Sets of a task that holds two lots of sets against each other.
+BLOCK_SETS, SLICE_SETS = 1000, 2000
 
 _PAIR, _FREQUENT, _SET = 0, 1, 2
 _OUT = "kind int, a bigint, b bigint, x int, y int, z int"
@@ -96,7 +100,7 @@ class _Sender:
         kinds = np.empty(len(keys), sp.KIND)
         kinds["set"], kinds["band"], kinds["role"] = keys, band, role
         self.sig.append(sig)
-        self.who.append(owner + self.sets)
+        self.who.append((owner + self.sets).astype(np.int32))
         self.kinds.append(kinds)
         self.sets += len(keys)
         self.entries += len(sig)
@@ -190,7 +194,10 @@ def _reduce(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     if not tables:
         ints = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
         return pa.table({n: pa.array([], t) for n, t in zip(("kind", "a", "b", "x", "y", "z"), ints)})
-    return pa.concat_tables(tables)
+    out = pa.concat_tables(tables)
+    del entries, parts, tables, blobs
+    release()
+    return out
 
 
 def _meet(entries: DataFrame, label: str) -> DataFrame:
@@ -239,6 +246,7 @@ def _first_round(docs: DataFrame, buckets: int) -> DataFrame:
                 if sender.entries >= CHUNK_ENTRIES:
                     yield from sender.flush()
         yield from sender.flush()
+        release()
 
     return docs.select("doc_id", "text").mapInArrow(run, "bucket int, kind int, blob binary")
 
@@ -276,6 +284,7 @@ def _second_round(docs: DataFrame, buckets: int) -> DataFrame:
                 if sender.entries >= CHUNK_ENTRIES:
                     yield from sender.flush()
         yield from sender.flush()
+        release()
 
     return docs.select("doc_id", "text", "band", "role", "thin").mapInArrow(run, "bucket int, kind int, blob binary")
 
@@ -301,6 +310,7 @@ def _sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(set_keys(values, sizes).view(np.int64)), pa.array(blobs, pa.binary())], ["key", "elements"]
                 )
+        release()
 
     texts = _only(docs, ids, ids.count()).select("doc_id", "text")
     return stage(texts.mapInArrow(run, "key bigint, elements binary").dropDuplicates(["key"]), "sets")
@@ -320,12 +330,37 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 common = int((s[place] == r).sum())
                 linked.append(100 * common >= 75 * (len(r) + len(s) - common))
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+        release()
 
     a = sets.select(F.col("key").alias("a"), F.col("elements").alias("ea"))
     b = sets.select(F.col("key").alias("b"), F.col("elements").alias("eb"))
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "ea", "eb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _links_across(table: pa.Table) -> pa.Table:
+    """Links of asking sets with the others, one for each of the others and component; by counting common elements."""
+    asks = table.column("asks").to_numpy()
+    keys, roots = table.column("key").to_numpy(), table.column("root").to_numpy()
+    elements = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("elements").combine_chunks()]
+    first, others = np.flatnonzero(asks), np.flatnonzero(~asks)
+    sizes = np.array([len(elements[i]) for i in first], np.int64)
+    values = np.concatenate([elements[i] for i in first]) if len(first) else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(first)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    a, b = [], []
+    for j in others.tolist():
+        own = elements[j]
+        low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+        common = np.bincount(owner[ranges(low, high - low)], minlength=len(first))
+        linked = np.flatnonzero((100 * common >= 75 * (sizes + len(own) - common)) & (roots[first] != roots[j]))
+        if len(linked):
+            _, one = np.unique(roots[first[linked]], return_index=True)
+            a += keys[first[linked[one]]].tolist()
+            b += [int(keys[j])] * len(one)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _near_sizes(a: str, b: str) -> Column:
     return 4 * F.least(a, b) >= 3 * F.greatest(a, b)
 
@@ -351,7 +386,7 @@ class _Join:
     """The steps over the written tables."""
 
     def __init__(self, docs: DataFrame):
-        spark = docs.sparkSession
+        spark = with_code(docs).sparkSession
         self.docs = docs
         size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -400,15 +435,18 @@ class _Join:
 
         Segments that do not match take up as many differences as they have points.
         """
-        pairs = (
-            met.filter(F.col("kind") == _PAIR)
-            .groupBy("a", "b", F.col("x").alias("band"))
-            .agg(F.sum("y").alias("matches"))
-        )
         one = roles.select(F.col("key").alias("a"), "band", F.col("n").alias("na"), F.col("left").alias("la"))
         two = roles.select(F.col("key").alias("b"), "band", F.col("n").alias("nb"), F.col("left").alias("lb"))
+        # Dealt by one side first, so that counting and the first join share a shuffle, and
+        # what no partner of that side could make up for goes before the second.
         return (
-            pairs.join(one, ["a", "band"])
+            met.filter(F.col("kind") == _PAIR)
+            .select("a", "b", F.col("x").alias("band"), F.col("y").alias("times"))
+            .repartition("a", "band")
+            .groupBy("a", "b", "band")
+            .agg(F.sum("times").alias("matches"))
+            .join(one, ["a", "band"])
+            .filter(F.expr(f"{points} * matches >= la - (na + na * 4 div 3) div 7"))
             .join(two, ["b", "band"])
             .filter(_near_sizes("na", "nb"))
             .filter(F.expr(f"{points} * matches >= greatest(la, lb) - (na + nb) div 7"))
@@ -480,58 +518,77 @@ class _Join:
         return self._by_groups(links, uncovered, sets)
 
     def _by_groups(self, links: DataFrame, uncovered: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links among sets that frequent segments alone could show."""
+        sigs = self.frequent.groupBy("key", "band").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
         members = stage(
-            self.frequent.join(uncovered.select("key", "band", "n", "left", "has"), ["key", "band"]), "members"
+            uncovered.join(sigs, ["key", "band"]).select("key", "band", "n", "sigs", F.size("sigs").alias("often")),
+            "members",
         )
         roots = stage(components(links), "roots")
-        tested = None
-        for _ in range(PIVOT_ROUNDS):
-            # The member with the least number of each group and component's side.
-            placed = self._placed(members, roots)
-            pivot = placed.groupBy("sig").agg(F.min(F.struct("key", "n", "root")).alias("p"))
-            pairs = (
-                placed.join(pivot, "sig")
-                .filter((F.col("root") != F.col("p.root")) & _near_sizes("n", "p.n"))
-                .select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"))
-                .distinct()
-            )
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = stage(pairs, "pivot-pairs")
-            if pairs.isEmpty():
-                break
-            tested = pairs if tested is None else stage(tested.union(pairs), "tested")
-            links = stage(links.union(_verify(pairs, sets)), "links")
-            roots = stage(components(links), "roots")
-        # What is left: members outside the largest component of their group.
+        pairs = stage(self._pivot_pairs(self._placed(members, roots)), "pivot-pairs")
+        links = stage(links.union(_verify(pairs, sets)), "links")
+        roots = stage(components(links), "roots")
         placed = stage(self._placed(members, roots), "placed")
-        sides = placed.groupBy("sig", "root").agg(F.count("*").alias("size"))
-        largest = sides.groupBy("sig").agg(
-            F.max(F.struct("size", "root")).alias("l"), F.count("*").alias("sides")
-        ).filter("sides > 1")
-        few = placed.join(largest, "sig").filter(F.col("root") != F.col("l.root"))
-        few = few.select("sig", F.col("key").alias("k1"), F.col("n").alias("n1"), F.col("root").alias("r1"),
-                         (F.col("has") - F.col("left")).alias("f1"))
-        pairs = (
-            few.join(placed, "sig")
-            .filter((F.col("root") != F.col("r1")) & _near_sizes("n", "n1"))
-            .groupBy(F.least("key", "k1").alias("a"), F.greatest("key", "k1").alias("b"))
-            .agg(
-                F.count_distinct("sig").alias("common"),
-                F.max(F.greatest("f1", F.col("has") - F.col("left")) - F.expr("(n + n1) div 7")).alias("least"),
-            )
-            .filter("common >= least")
-            .select("a", "b")
+        return stage(links.union(self._across(placed, sets)), "links")
+
+    @staticmethod
+    def _pivot_pairs(placed: DataFrame) -> DataFrame:
+        """Members with the one of their group that has most frequent segments: the middle of near copies.
+
+        Groups here are those of each member's first few segments in order of hash; what
+        this leaves unconnected is seen to by `_across`.
+        """
+        some = placed.select("key", "n", "often", "root", F.explode(F.slice("sigs", 1, PIVOT_SIGNATURES)).alias("sig"))
+        pivot = some.groupBy("sig").agg(F.max(F.struct("often", "key", "n", "root")).alias("p"))
+        return (
+            some.join(pivot, "sig")
+            .filter((F.col("root") != F.col("p.root")) & _near_sizes("n", "p.n"))
+            .select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"))
+            .distinct()
         )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        return stage(links.union(_verify(pairs, sets)), "links")
 
     @staticmethod
     def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
         known = roots.select(F.col("node").alias("key"), "root")
-        return members.join(known, "key", "left").select(
-            "sig", "key", "n", "has", "left", F.coalesce("root", "key").alias("root")
+        return members.join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+    def _across(self, placed: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between components that share a frequent segment.
+
+        Of each segment's group the members outside its largest component are held,
+        in blocks, against that component's members, in slices, and against each other.
+        A task has one block and one slice, and only links leave it.
+        """
+        spread = placed.select("key", "root", F.explode("sigs").alias("sig"))
+        sides = spread.groupBy("sig", "root").agg(F.count("*").alias("size"))
+        largest = sides.groupBy("sig").agg(
+            F.max(F.struct("size", "root"))["root"].alias("main"), F.count("*").alias("sides")
+        ).filter("sides > 1")
+        asking = stage(
+            spread.join(largest, "sig").filter("root <> main").select("key", "root", "main").distinct(), "asking"
+        )
+        mains = asking.select("main").distinct()
+        every = placed.select("key", "root").distinct()
+        inside = every.join(mains, F.col("root") == F.col("main"), "left_semi").withColumn("main", F.col("root"))
+        asked = asking.unionByName(inside)
+        blocks = asking.groupBy("main").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+        slices_ = asked.groupBy("main").agg(F.ceil(F.count("*") / SLICE_SETS).cast("int").alias("slices"))
+        grid = stage(blocks.join(slices_, "main"), "grid")
+
+        def dealt(rows: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
+            place = F.pmod(F.xxhash64("key"), F.col(f"{own}s")).cast("int")
+            return (
+                rows.join(grid, "main")
+                .withColumn(own, place)
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
+                .select("main", "block", "slice", F.lit(asks).alias("asks"), "key", "root")
+            )
+
+        met = dealt(asking, "block", "slice", True).unionByName(dealt(asked, "slice", "block", False))
+        return (
+            met.join(sets, "key")
+            .groupBy("main", "block", "slice")
+            .applyInArrow(_links_across, "a bigint, b bigint")
         )
 
     def groups(self) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.words import hashed_words, mix, slices
+from newsloom.llm.workers import release, with_code
 
 #: At most so many labelled rows are fitted on.
 FIT_ROWS = 20_000
@@ -25,7 +26,7 @@ _FEATURE = np.uint64((1 << 62) - 1)
 
 def _classes() -> np.ndarray:
     """Per byte: capital, digit, sign, blank."""
-    table = np.zeros((256, 4), np.int64)
+    table = np.zeros((256, 4), np.uint8)
     for k, (a, b) in enumerate(_SHARES):
         table[a:b, k] = 1
     for b in range(0x21, 0x7F):
@@ -39,7 +40,7 @@ _CLASSES = _classes()
 
 def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     upto = np.zeros(len(values) + 1, np.int64)
-    np.cumsum(values, out=upto[1:])
+    np.cumsum(values, out=upto[1:], dtype=np.int64)
     return upto[offsets[1:]] - upto[offsets[:-1]]
 
 
@@ -130,16 +131,13 @@ def fit(rows: np.ndarray, found: np.ndarray, grades: np.ndarray, steps: int = 40
     """Maximum likelihood with a small squared penalty, by Adam over all rows at once.
 
     Thresholds stay in order: their gaps are exponentials. Without rows or with a single
-    grade no feature has a weight, and the thresholds follow the grades' shares.
+    grade no feature has a weight, and the thresholds follow the grades' shares. A row
+    names a feature once.
     """
     n = len(grades)
-    rows, found = distinct(rows, found)
     keys = screened(rows, found, grades) if n else np.zeros(0, np.uint64)
-    place = np.searchsorted(keys, found)
-    inside = np.zeros(len(found), bool)
-    if len(keys):
-        inside = keys[np.minimum(place, len(keys) - 1)] == found
-    rows, place = rows[inside], place[inside]
+    inside = np.isin(found, keys)
+    rows, place = rows[inside], np.searchsorted(keys, found[inside])
     tail = np.array([((grades > k).sum() + 1) / (n + 2) for k in range(GRADES - 1)])
     first = -np.log(tail / (1 - tail))
     gaps = np.log(np.maximum(np.diff(first), 0.05))
@@ -203,13 +201,14 @@ def train(docs: DataFrame, grades: DataFrame, text: str = "text", fit_rows: int
                     [batch.column(0).slice(row, n), batch.column(1).slice(row, n), lists],
                     ["__id", "__grade", "found"],
                 )
+        release()
 
     # At most fit_rows rows of two numbers.
     own = docs.select("doc_id", F.col(text).alias("__text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("__id")
     )
     table = (
-        own.select("__id", "__grade", "__text")
+        with_code(own.select("__id", "__grade", "__text"))
         .mapInArrow(extract, "__id bigint, __grade bigint, found array<bigint>")
         .dropDuplicates(["__id"])
         .toArrow()
@@ -219,9 +218,10 @@ def train(docs: DataFrame, grades: DataFrame, text: str = "text", fit_rows: int
     if isinstance(found, pa.ChunkedArray):
         found = pa.concat_arrays(found.chunks) if found.num_chunks else pa.array([], pa.list_(pa.int64()))
     lengths = np.diff(found.offsets.to_numpy())
-    values = found.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
+    values = found.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
     graded = table.column("__grade").to_numpy().astype(np.int64)
-    return fit(np.repeat(np.arange(len(graded)), lengths), values, graded)
+    del table, found
+    return fit(np.repeat(np.arange(len(graded), dtype=np.int32), lengths), values, graded)
 
 
 _ADDED = ("expected_grade", "p_good", "kept")
@@ -244,9 +244,10 @@ def classify(docs: DataFrame, model: Ordinal, text: str = "text", least_tail: fl
                 part = batch.slice(row, n)
                 added = [pa.array(tails.sum(1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= least_tail)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *added], [*columns, *_ADDED])
+        release()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema]
-    return docs.select(*columns).mapInArrow(
+    return with_code(docs.select(*columns)).mapInArrow(
         run, ", ".join([*fields, "expected_grade double, p_good double, kept boolean"])
     )
 

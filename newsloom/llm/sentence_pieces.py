@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from newsloom.llm.bpe_words import StretchEncoder
+from newsloom.llm.workers import release, with_code
 
 MARKER = "▁"
 #: Fixed numbers of the model format: kinds of pieces and of models.
@@ -151,6 +152,8 @@ class PieceEncoder(StretchEncoder):
     whole text; with a normaliser that changes texts they are not cut.
     """
 
+    most = 250_000
+
     def __init__(self, path: str, threads: int = 2, parity: bool = True):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -253,6 +256,7 @@ def encode_and_decode(
                     pa.array([differing] * n, pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, *added], [*kept, *_ADDED])
+        release()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema]
-    return docs.select(*kept).mapInArrow(run, ", ".join([*fields, _SCHEMA]))
+    return with_code(docs.select(*kept)).mapInArrow(run, ", ".join([*fields, _SCHEMA]))

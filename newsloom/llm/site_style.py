@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.page_blocks import blocks_of
+from newsloom.llm.workers import release, with_code
 from newsloom.sources.staging import stage
 
 #: Share of a block's own content in its importance; the rest is its parent's.
@@ -58,8 +59,9 @@ def parsed_pages(pages: DataFrame, html: str = "html") -> DataFrame:
                     ],
                     [*columns, "__row", "__blocks", "__styles"],
                 )
+        release()
 
-    narrow = pages.select(*columns, html)
+    narrow = with_code(pages.select(*columns, html))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != html]
     return narrow.mapInArrow(run, ", ".join([*fields, _SCHEMA]))
 

@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 
 from newsloom.llm.bpe_words import word_encoder
 from newsloom.llm.words import ranges
+from newsloom.llm.workers import release, with_code
 from newsloom.sources.staging import staging_path
 
 MARK = b"RPG2"
@@ -182,11 +183,13 @@ def write_token_files(
                     block, held, names, sizes, total = block + 1, [], [], [], 0
         if sizes:
             yield flush()
+        held, names, sizes = [], [], []
+        release()
 
     schema = "shard int, block int, doc_ids array<bigint>, lengths array<bigint>, payload binary"
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("__k"))
     ordered = keyed.repartitionByRange("doc_id", "__k").sortWithinPartitions("doc_id", "__k")
-    ordered.select("doc_id", "text").mapInArrow(encode, schema).write.parquet(path)
+    with_code(ordered.select("doc_id", "text")).mapInArrow(encode, schema).write.parquet(path)
 
 
 def read_token_files(blocks: DataFrame) -> DataFrame:
@@ -234,7 +237,7 @@ def read_token_files(blocks: DataFrame) -> DataFrame:
                     ["shard", "block", "doc_id", "__in_block", "n_tokens", "ids_crc32"],
                 )
 
-    rows = blocks.select("shard", "block", "doc_ids", "lengths", "payload").mapInArrow(
+    rows = with_code(blocks.select("shard", "block", "doc_ids", "lengths", "payload")).mapInArrow(
         decode,
         "shard int, block int, doc_id bigint, __in_block bigint, n_tokens bigint, ids_crc32 bigint",
     )

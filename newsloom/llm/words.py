@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: White space that separates words: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -30,15 +30,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@cache
-def _powers(step: int, n: int) -> np.ndarray:
-    out = np.full(n, step, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+_known: dict[int, np.ndarray] = {}
 
 
-def _room(n: int) -> int:
-    return 1 << max(16, n.bit_length())
+def _powers(step: int, n: int) -> np.ndarray:
+    """1, step, step**2 ...; the longest array so far is kept, those of rare long texts are not."""
+    found = _known.get(step)
+    if found is None or len(found) < n:
+        out = np.full(max(n, SLICE_BYTES + 1), step, np.uint64)
+        out[0] = 1
+        found = np.multiply.accumulate(out)
+        if len(found) <= 2 * SLICE_BYTES:
+            _known[step] = found
+    return found[:n]
 
 
 @cache
@@ -102,9 +106,11 @@ def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
     """A 64-bit hash of the bytes of each span."""
-    n = _room(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(byte_values(lower)[data] * _powers(int(_STEP), n)[: len(data)], out=sums[1:])
+    n = len(data)
+    sums = np.zeros(n + 1, np.uint64)
+    values = byte_values(lower)[data]
+    values *= _powers(int(_STEP), n)
+    np.cumsum(values, out=sums[1:])
     return mix((sums[ends] - sums[starts]) * _powers(int(_BACK), n)[starts])
 
 
