@@ -13,7 +13,8 @@ from newsloom.llm.words import ranges, slices, span_hashes
 MAYBE_BLANK_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 KEPT_STRETCHES = 2_000_000
 #: Stretches that are encoded together; and the longest one that is.
-JOINED_BYTES, LONGEST_JOINED = 1 << 16, 256
+JOINED_BYTES, LONGEST_JOINED = 1 << 15, 256
+PARTS_AT_A_TIME = 4
 
 _LETTER = np.array([chr(b).isalpha() and b < 0x80 for b in range(256)])
 _SIGN = np.array([0x20 < b < 0x7F and not chr(b).isalnum() and b != 0x27 for b in range(256)])
@@ -112,7 +113,14 @@ class StretchEncoder:
             cuts = np.unique(np.searchsorted(upto, np.arange(JOINED_BYTES, upto[-1] + JOINED_BYTES, JOINED_BYTES)))
             bounds = [0, *upto[np.minimum(cuts, len(upto) - 1)].tolist()]
             parts = [text[x:y].tobytes().decode() for x, y in zip(bounds[:-1], bounds[1:]) if y > x]
-            found = np.concatenate([np.array(x, np.uint32) for x in self.encode_texts(parts)])
+            # A few at a time: what the library returns for a text is many times its size.
+            found = np.concatenate(
+                [
+                    np.array(x, np.uint32)
+                    for k in range(0, len(parts), PARTS_AT_A_TIME)
+                    for x in self.encode_texts(parts[k : k + PARTS_AT_A_TIME])
+                ]
+            )
             lines = np.flatnonzero(found == self.line_id)
             if len(lines) != len(joined):
                 raise RuntimeError("a line feed is not a token of its own in this model")
