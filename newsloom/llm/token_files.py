@@ -1,10 +1,11 @@
 """Token ids in files compressed by Re-Pair, a grammar for each block of whole documents.
 
 A block is a row of a Parquet table: ``shard, block, doc_ids, lengths, payload``.
-``payload`` is, in little-endian order: the mark ``RPG2``; the numbers of rules and of
+``payload`` is, in little-endian order: the mark ``RPG3``; the numbers of rules and of
 symbols and the first nonterminal (3 x uint32); each rule's left and right side
-(2 x uint32); the number of ids each rule stands for (uint32); the symbols (uint16 while
-all fit, else uint32). No rule crosses the end of a document, so each document is a
+(2 x uint32); the number of ids each rule stands for (uint32); the low halves of the
+symbols (uint16) and, unless all fit, their high halves (uint8, or uint16 if there are
+2^24 symbols or more). No rule crosses the end of a document, so each document is a
 range of symbols and is read without its neighbours.
 """
 
@@ -19,59 +20,83 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from newsloom.llm.bpe_words import word_encoder
-from newsloom.llm.words import ranges
+from newsloom.llm.words import mix, ranges
 from newsloom.llm.workers import release, with_code
 from newsloom.sources.staging import staging_path
 
-MARK = b"RPG2"
+MARK = b"RPG3"
 BLOCK_IDS = 4 << 20
-ROUNDS = 4
-RULES_PER_ROUND = 2048
 LEAST_USES = 12
 _CELLS = 20
+#: Turns in which a round settles overlaps; what is open then waits for the next round.
+_TURNS = 4
 
 
-def re_pair(ids, lengths, base, rounds=ROUNDS, per_round=RULES_PER_ROUND, least=LEAST_USES):
+def re_pair(ids, lengths, base, least=LEAST_USES):
     """(left, right) sides of rules and the symbols, documents kept apart.
 
-    Each round replaces the most frequent pairs of neighbours, all at once and from the
-    left: of pairs that overlap the earlier one is replaced. The rounds end when no pair
-    is found ``least`` times.
+    Each round replaces all pairs of neighbours found ``least`` times: of pairs that
+    overlap the more frequent one, and of a run of one symbol every second. A pair that
+    this leaves with fewer uses waits for the next round. The most frequent pair always
+    goes, so the rounds end when no pair is found ``least`` times, and only then.
     """
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(lengths) - 1] = True
-    left, right = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        cell = (seq[:-1] * np.uint32(0x9E3779B1) ^ seq[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - _CELLS)
+    left, right, rules = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)], 0
+    # Whether a symbol and the next can be a frequent pair: one is new, or the pair was frequent before.
+    fresh = np.ones(len(seq), bool)
+    while len(seq) > 1:
+        at = np.flatnonzero(fresh[:-1] & ~last[:-1])
+        cell = (seq[at] * np.uint32(0x9E3779B1) ^ seq[at + 1] * np.uint32(0x85EBCA77)) >> np.uint32(32 - _CELLS)
         # Counts of cells are upper bounds; only pairs in full cells are counted one by one.
-        full = np.bincount(cell, minlength=1 << _CELLS)
-        many = np.sort(full[full >= least])
-        bound = int(many[-per_round]) if len(many) > per_round else least
-        at = np.flatnonzero((full >= bound)[cell] & ~last[:-1])
+        at = at[(np.bincount(cell, minlength=1 << _CELLS) >= least)[cell]]
         pairs = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
         kinds, which, uses = np.unique(pairs, return_inverse=True, return_counts=True)
-        rank = np.argsort(-uses, kind="stable")[:per_round]
-        rank = rank[uses[rank] >= least]
-        if not len(rank):
+        often = np.flatnonzero(uses >= least)
+        if not len(often):
             break
+        rank = np.zeros(len(kinds), np.int64)
+        rank[often[np.lexsort((mix(kinds[often]), uses[often]))]] = np.arange(1, len(often) + 1)
+        some = rank[which] > 0
+        at, which = at[some], which[some]
+        fresh = np.zeros(len(seq), bool)
+        fresh[at] = True
+        own, place = rank[which], np.arange(len(at))
+        head = np.ones(len(at), bool)
+        head[1:] = (np.diff(at) > 1) | (own[1:] != own[:-1])
+        even = (place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0
+        at, which, own = at[even], which[even], own[even]
+        apart = np.diff(at) > 1
+        free, best = np.ones(len(at), bool), np.zeros(len(at), bool)
+        for _ in range(_TURNS):
+            wins = free.copy()
+            wins[1:] &= apart | ~free[:-1] | (own[1:] > own[:-1])
+            wins[:-1] &= apart | ~free[1:] | (own[:-1] > own[1:])
+            best |= wins
+            free &= ~wins
+            free[1:] &= apart | ~wins[:-1]
+            free[:-1] &= apart | ~wins[1:]
+        used = np.bincount(which[best], minlength=len(kinds))
+        twins = kinds >> np.uint64(32) == kinds & np.uint64(0xFFFFFFFF)
+        made = np.flatnonzero(used >= np.where(twins, (least + 1) // 2, least))
         symbol = np.zeros(len(kinds), np.uint32)
-        symbol[rank] = base + sum(map(len, left)) + np.arange(len(rank), dtype=np.uint32)
-        taken = symbol[which] > 0
-        at, symbol = at[taken], symbol[which][taken]
-        head = np.diff(at, prepend=-2) > 1
-        run = np.maximum.accumulate(np.where(head, at, 0))
-        free = (at - run) % 2 == 0
-        at, symbol = at[free], symbol[free]
-        left.append((kinds[rank] >> np.uint64(32)).astype(np.uint32))
-        right.append(kinds[rank].astype(np.uint32))
+        symbol[made] = base + rules + np.arange(len(made), dtype=np.uint32)
+        best &= symbol[which] > 0
+        at, symbol = at[best], symbol[which[best]]
+        left.append((kinds[made] >> np.uint64(32)).astype(np.uint32))
+        right.append(kinds[made].astype(np.uint32))
+        rules += len(made)
         seq[at] = symbol
         last[at] = last[at + 1]
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
+        fresh[at] = True
+        fresh[at[at > 0] - 1] = True
+        # The symbol before may itself be the second half of a pair.
+        second = np.zeros(len(seq), bool)
+        second[at + 1] = True
+        before = at[at > 1] - 1
+        fresh[before[second[before]] - 1] = True
+        seq, last, fresh = seq[~second], last[~second], fresh[~second]
     return np.concatenate(left), np.concatenate(right), seq
 
 
@@ -86,9 +111,17 @@ def pack(ids: np.ndarray, lengths: np.ndarray, base: int) -> bytes:
     left, right, seq = re_pair(ids, lengths, base)
     head = np.array([len(left), len(seq), base], "<u4")
     spans = expansion_lengths(left, right, base).astype("<u4")
-    wide = base + len(left) > 1 << 16
     sides = np.stack([left, right], 1).astype("<u4")
-    return MARK + head.tobytes() + sides.tobytes() + spans.tobytes() + seq.astype("<u4" if wide else "<u2").tobytes()
+    return MARK + head.tobytes() + sides.tobytes() + spans.tobytes() + _halves(seq, base + len(left))
+
+
+def _high_kind(kinds: int) -> str | None:
+    return None if kinds <= 1 << 16 else "u1" if kinds <= 1 << 24 else "<u2"
+
+
+def _halves(seq: np.ndarray, kinds: int) -> bytes:
+    high = _high_kind(kinds)
+    return seq.astype("<u2").tobytes() + ((seq >> np.uint32(16)).astype(high).tobytes() if high else b"")
 
 
 class Block:
@@ -100,8 +133,9 @@ class Block:
         n, symbols, self.base = (int(x) for x in np.frombuffer(payload, "<u4", 3, 4))
         sides = np.frombuffer(payload, "<u4", 2 * n, 16).reshape(n, 2)
         self.spans = np.frombuffer(payload, "<u4", n, 16 + 8 * n).astype(np.int64)
-        kind = "<u4" if self.base + n > 1 << 16 else "<u2"
-        self.symbols = np.frombuffer(payload, kind, symbols, 16 + 12 * n).astype(np.int64)
+        self.symbols = np.frombuffer(payload, "<u2", symbols, 16 + 12 * n).astype(np.int64)
+        if high := _high_kind(self.base + n):
+            self.symbols += np.frombuffer(payload, high, symbols, 16 + 12 * n + 2 * symbols).astype(np.int64) << 16
         self.at = np.cumsum(self.spans) - self.spans
         self.rules = np.zeros(int(self.spans.sum()), np.uint32)
         for i, (a, b) in enumerate(sides.tolist()):

@@ -108,6 +108,23 @@ def test_re_pair_round_trip():
         token_files.Block(b"other bytes and more")
 
 
+def test_re_pair_goes_on_until_no_pair_is_frequent():
+    r = np.random.default_rng(2)
+    passage = r.integers(0, 50_000, 700)
+    parts = [np.concatenate([r.integers(0, 300, 40), passage, r.integers(0, 300, 40)]) for _ in range(200)]
+    parts += [np.full(3000, 7), np.tile([1, 2, 3], 500), np.arange(20_000)] + [np.arange(20_000, 21_000)] * 12
+    ids, lengths = np.concatenate(parts).astype(np.uint32), np.array([len(x) for x in parts])
+    left, right, seq = token_files.re_pair(ids, lengths, 60_000)
+    block = token_files.Block(token_files.pack(ids, lengths, 60_000))
+    assert (block.ids() == ids).all()
+    # Symbols of one document, then the next: no frequent pair is left inside any.
+    ends = np.cumsum(block.lengths())
+    inside = ~np.isin(ends[:-1], np.cumsum(lengths))
+    pairs = (seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:])[inside]
+    assert np.unique(pairs, return_counts=True)[1].max() < token_files.LEAST_USES
+    assert token_files.expansion_lengths(left, right, 60_000).max() >= 700
+
+
 def test_token_files(spark, tmp_path):
     rows = [(100 - i, t, "own") for i, t in enumerate(TEXTS)] + [(7, "same", "own"), (7, "same", "own"), (None, "no id", "own")]
     rows += [(1000 + i, "many words " * 60_000 + str(i), "own") for i in range(4)]
