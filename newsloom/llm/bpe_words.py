@@ -1,6 +1,7 @@
 """Encoding with the tokenizers library, each distinct stretch of text encoded once."""
 
 import os
+import re
 
 from functools import lru_cache
 
@@ -193,25 +194,53 @@ class StretchEncoder:
 
 
 class WordEncoder(StretchEncoder):
-    """A byte-level BPE model file of the tokenizers library."""
+    """A byte-level BPE model file of the tokenizers library.
 
-    def __init__(self, path: str):
+    With ``specials`` special tokens that stand in a text are tokens, as the library has
+    it unless told otherwise; else they are spelled out.
+    """
+
+    def __init__(self, path: str, specials: bool = False):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        (self.line_id,) = self.encode_texts(["\n"])[0]
+        self.tokenizer.encode_special_tokens = not specials
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and (specials or not t.special)]
+        contents = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, contents))) if contents else None
+        # Tokens that look at what is around them, or are found in altered text: no cut at all.
+        self.whole = any(t.lstrip or t.rstrip or t.single_word or len(t.content.split()) != 1 for t in added)
+        self.altered = self.tokenizer.normalizer is not None and any(t.normalized for t in added)
+        # Such a token could take the line feeds that would join it with others.
+        self.line_id = -1 if self.whole or self.altered else self.encode_texts(["\n"])[0][0]
 
     def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return stretch_starts(data, offsets)
+        starts = stretch_starts(data, offsets)
+        if self.added is None:
+            return starts
+        text = data.tobytes()
+        if not self.altered and not self.added.search(text):
+            return starts
+        cut = np.zeros(len(data) + 1, bool)
+        cut[starts] = True
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            for m in self.added.finditer(text, a, b):
+                if self.whole:
+                    break
+                # The library looks for added tokens first, and splits what is between them.
+                cut[m.start() : m.end()] = False
+                cut[[m.start(), m.end()]] = True
+            if self.altered or self.whole and self.added.search(text, a, b):
+                cut[a + 1 : b] = False
+        return np.flatnonzero(cut[: len(data)])
 
     def encode_texts(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=1)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, specials: bool = False) -> WordEncoder:
     """One for each Python worker, so that its tasks share what it has learnt."""
-    return WordEncoder(path)
+    return WordEncoder(path, specials)

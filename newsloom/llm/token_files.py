@@ -175,7 +175,12 @@ class Block:
 
 
 def write_token_files(
-    docs: DataFrame, path: str, tokenizer: str, end: int = 0, block_ids: int = BLOCK_IDS
+    docs: DataFrame,
+    path: str,
+    tokenizer: str,
+    end: int = 0,
+    block_ids: int = BLOCK_IDS,
+    specials: bool = False,
 ) -> None:
     """Encode ``text`` of each row and write the blocks, in ascending order of ``doc_id``.
 
@@ -183,10 +188,11 @@ def write_token_files(
     many rows with one id are spread as well. NULL text is the empty text, whose ids
     are ``end`` alone; equal rows are written each; an empty table gives a table of no
     blocks. A shard is one range; a block holds about ``block_ids`` ids, or one document.
+    Special tokens that stand in a text are spelled out unless ``specials`` is set.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = word_encoder(tokenizer)
+        coder = word_encoder(tokenizer, specials)
         base = coder.tokenizer.get_vocab_size(with_added_tokens=True)
         shard = TaskContext.get().partitionId()
         block, held, names, sizes, total = 0, [], [], [], 0
@@ -284,8 +290,11 @@ def read_token_files(blocks: DataFrame) -> DataFrame:
 
 
 def token_files(docs: DataFrame, tokenizer: str, end: int = 0) -> DataFrame:
-    """Write documents as token files below the staging folder and read every one back."""
+    """Write documents as token files below the staging folder and read every one back.
+
+    The ids are those of the library as loaded: special tokens in a text are tokens.
+    """
     spark = docs.sparkSession
     path = staging_path(spark, "token-files")
-    write_token_files(docs, path, tokenizer, end)
+    write_token_files(docs, path, tokenizer, end, specials=True)
     return read_token_files(spark.read.parquet(path))

@@ -8,10 +8,10 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from newsloom.llm import sentence_pieces, token_files
-from newsloom.llm.bpe_words import word_encoder
+from newsloom.llm.bpe_words import WordEncoder, word_encoder
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -48,6 +48,48 @@ def test_stretches_give_the_ids_of_whole_texts(texts):
     coder.forget()
 
 
+SPECIAL_TEXTS = [
+    "a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>b", "<|endoftext|><|endoftext|>\nx", "x\n<|endoftext|>\n\n y",
+    "a  <|endoftext|>  b", "it'<|endoftext|>s", "<|endof", "text|> and", "<<|endoftext|>>", "a<|endoftext|", "|<|endoftext|>é",
+    "漢<|endoftext|> \t<|ENDOFTEXT|>", "many words " * 50_000 + "<|endoftext|> end",
+]
+
+
+def test_special_tokens_in_texts_are_tokens_as_in_the_library(spark, texts, tmp_path):
+    library = Tokenizer.from_file(BPE)
+    r = random.Random(5)
+    mixed = ["".join(r.choice(["<|endoftext|>", t or "", " ", "\n", "x"]) for t in r.sample(texts, 6)) for _ in range(200)]
+    for some in (SPECIAL_TEXTS, texts + SPECIAL_TEXTS + mixed):
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in some]
+        coder = word_encoder(BPE, True)
+        for _ in range(2):
+            got = []
+            for _, ids, lengths in coder.encode(pa.array(some, pa.string())):
+                got += [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
+            assert got == want
+        coder.forget()
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    docs = spark.createDataFrame(list(enumerate(SPECIAL_TEXTS)), "doc_id bigint, text string")
+    start = 0
+    for row in sorted(token_files.token_files(docs, BPE).collect(), key=lambda x: x.start):
+        ids = np.array(library.encode(SPECIAL_TEXTS[row.doc_id], add_special_tokens=False).ids + [0], "<u4")
+        assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+@pytest.mark.parametrize("kind", [{"lstrip": True}, {"rstrip": True}, {"single_word": True}, {"special": False}])
+def test_added_tokens_that_look_around_them(tmp_path, kind):
+    library = Tokenizer.from_file(BPE)
+    library.add_tokens([AddedToken(t, **({"special": True} | kind)) for t in ("[of the]", "[of]")])
+    path = str(tmp_path / "model.json")
+    library.save(path)
+    some = ["a [of the] b", "x[of the]y", "a  [of the]  b<|endoftext|> c", "[of the]", "[of]", "[of]x", "x[of]", "no such token, but more"]
+    got = []
+    for _, ids, lengths in WordEncoder(path, True).encode(pa.array(some, pa.string())):
+        got += [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in some]
+
+
 @pytest.mark.parametrize("parity", [True, False])
 def test_pieces_have_parity_on_whole_texts(texts, parity):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
