@@ -58,7 +58,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = WORDS) -> tuple
     words, at = hashed_words(data, offsets, lower=True, punctuation=True)
     count = np.diff(at)
     whole = np.zeros(len(words), np.uint64)
-    for k in range(n):
+    for k in range(min(n, len(words))):
         whole[: len(words) - k] += words[k:] * _WEIGHTS[k]
     left = np.repeat(at[1:], count) - np.arange(len(words))
     for row in np.flatnonzero((count > 0) & (count < n)).tolist():

@@ -257,3 +257,14 @@ def test_shingles_of_slices(texts):
         values, sizes = ngram_join.shingle_sets(data, offsets)
         assert sizes.tolist() == [len(s) for s in sets_of(dict(enumerate(texts))).values()]
         assert len(values) == sizes.sum()
+
+
+@pytest.mark.parametrize("words", [1, 2, 3, 4, 5, 6])
+def test_shingles_of_a_slice_with_few_words(words):
+    text = " ".join("abcdef"[:words])
+    long = np.frombuffer((text + " g h i j k l").encode(), np.uint8)
+    values, sizes = ngram_join.shingle_sets(long[: len(text)], np.array([0, len(text)]))
+    assert sizes.tolist() == [max(1, words - 4)] == [len(values)]
+    # The same as beside another text.
+    pair, both = ngram_join.shingle_sets(long, np.array([0, len(text), len(long)]))
+    assert both[0] == sizes[0] and (pair[: both[0]] == values).all()
