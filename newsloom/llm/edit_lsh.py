@@ -18,7 +18,10 @@ from newsloom.llm.words import mix, ranges
 
 SAMPLES = 3
 SETS_PER_WALK = 6
-MOST_WALKS = 16
+#: Trial edits of each item, and of each size band at least.
+TRIALS, BAND_TRIALS = 3, 300
+#: Walks in a row that bring up no further trial of a band, after which it is given up with an error.
+IDLE_WALKS = 64
 BAND_RATIO = 1.5
 LEAST_WORDS = 5
 _LOW = np.uint64(0xFFFF)
@@ -53,29 +56,54 @@ class _Set:
 
 
 class Index:
-    """LSH of items (arrays of word hashes); ``share`` of an item's words may be edited."""
+    """LSH of items (arrays of word hashes); ``share`` of an item's words may be edited.
+
+    Each size band gets walks until ``target`` of its own trials are found: items edited
+    as much as allowed, at a start from which `decontamination` can verify them.
+    ``recalls`` has the measured share of each band, ``recall`` the lowest. A band that
+    stays below the target raises RuntimeError.
+    """
 
     def __init__(self, items: list[np.ndarray], share: float, target: float, seed: int = 1):
         self.items = items
         self.edits = [int(share * len(x)) for x in items]
         self.walks: list[list[_Set]] = []
-        self.recall = 1.0
         members = [i for i, x in enumerate(items) if len(x) >= LEAST_WORDS]
         self.bands: dict[int, list[int]] = {}
         for i in members:
             self.bands.setdefault(band_of(len(items[i])), []).append(i)
         random = np.random.default_rng(seed)
-        trial = self._trial(members, random)
-        found = np.zeros(len(members), bool)
-        while members and len(self.walks) < MOST_WALKS:
-            self._add_walk(random)
-            where = {i: k for k, i in enumerate(members)}
-            for item, start in self._by_walk(trial[0], len(self.walks) - 1):
-                near = np.abs(start - trial[1][[where[i] for i in item]]) <= 4 + 2 * max(self.edits)
-                found[[where[i] for i in item[near]]] = True
-            self.recall = float(found.mean())
-            if self.recall >= target:
-                break
+        self.recalls = dict.fromkeys(sorted(self.bands), 0.0)
+        trials = {}
+        for band, own in self.bands.items():
+            tried = own * max(TRIALS, -(-BAND_TRIALS // len(own)))
+            trials[band] = (np.array(tried), *self._trial(tried, random))
+        total = {band: len(t[0]) for band, t in trials.items()}
+        edits, idle = np.array(self.edits), dict.fromkeys(self.bands, 0)
+        while missing := [x for x, recall in self.recalls.items() if recall < target]:
+            self._add_walk(random, missing)
+            for band in missing:
+                tried, text, starts = trials[band]
+                found = np.zeros(len(tried), bool)
+                for item, start in self._by_walk(text, len(self.walks) - 1):
+                    # The trial that stands there or begins next.
+                    for step in (-1, 0):
+                        k = np.clip(np.searchsorted(starts, start) + step, 0, len(starts) - 1)
+                        found[k[(tried[k] == item) & (np.abs(start - starts[k]) <= 4 + 2 * edits[item])]] = True
+                # The next walk is for the trials that are left.
+                left = np.flatnonzero(~found)
+                size = np.diff(starts, append=len(text) + 8)[left]
+                text = text[ranges(starts[left] - 8, size)]
+                trials[band] = (tried[left], text, np.cumsum(size) - size + 8)
+                self.recalls[band] = 1 - len(left) / total[band]
+                idle[band] = 0 if found.any() else idle[band] + 1
+                if idle[band] > IDLE_WALKS and self.recalls[band] < target:
+                    sizes = [len(items[i]) for i in self.bands[band]]
+                    raise RuntimeError(
+                        f"items of {min(sizes)} to {max(sizes)} words are found with a recall of"
+                        f" {self.recalls[band]:.3f} only, below {target}, after {len(self.walks)} walks"
+                    )
+        self.recall = min(self.recalls.values(), default=1.0)
         self._masks: dict[int, dict[int, int]] = {}
         self._pairs = np.zeros(1 << 20, bool)
         for i in members:
@@ -101,10 +129,11 @@ class Index:
             at += 8 + len(words)
         return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array(starts, np.int64)
 
-    def _add_walk(self, random) -> None:
+    def _add_walk(self, random, bands: list[int]) -> None:
         walk = len(self.walks)
         sets = []
-        for band, members in sorted(self.bands.items()):
+        for band in bands:
+            members = self.bands[band]
             most = band_steps(band)
             length = max(len(self.items[i]) for i in members)
             table = np.zeros((len(members), length + most + 1), np.uint64)

@@ -161,6 +161,30 @@ def test_recall_is_measured():
     assert index.recall >= 0.97 and index.edits == [4] * 150
 
 
+def test_every_size_band_has_the_recall():
+    r = np.random.default_rng(4)
+    sizes = [8] * 160 + [20] * 20 + [100] * 20 + [150] * 4
+    items = [r.integers(1 << 62, size=n).astype(np.uint64) for n in sizes]
+    index = edit_lsh.Index(items, 0.1, 0.97)
+    assert index.recall == min(index.recalls.values()) >= 0.97
+    # Edits other than those that the index was made with.
+    for size in (8, 20, 100, 150):
+        own = [i for i, n in enumerate(sizes) if n == size] * (400 // sizes.count(size))
+        text, starts = index._trial(own, r)
+        found = set()
+        for item, start in index.candidates(text):
+            for i, x in zip(item.tolist(), start.tolist()):
+                found |= {k for k in np.flatnonzero(np.abs(starts - x) <= 4 + 2 * index.edits[i]).tolist() if own[k] == i}
+        assert len(found) >= 0.94 * len(own), size
+
+
+def test_a_recall_out_of_reach_is_refused(monkeypatch):
+    monkeypatch.setattr(edit_lsh.Index, "_by_walk", lambda self, words, walk: iter(()))
+    with pytest.raises(RuntimeError, match="8 to 8 words"):
+        edit_lsh.Index([np.arange(8, dtype=np.uint64)], 0.1, 0.97)
+    assert edit_lsh.Index([], 0.1, 0.97).recall == 1.0
+
+
 # --- near copies ----------------------------------------------------------
 
 
