@@ -4,8 +4,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsloom.llm import decontamination, line_dedup, ngram_join, quality_classifier, quality_rules, sentence_pieces, sharding, site_style, token_files, url_filters
+from newsloom.llm import (
+    decontamination, fill_in_middle, line_dedup, ngram_join, quality_classifier, quality_rules, sentence_pieces, sharding,
+    site_style, token_files, top_k, url_filters, vector_codes,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +69,29 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_style.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rows nearest to every fiftieth vector, among all."""
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % top_k.EVERY == 0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every document is cut, with digests of the output and of the text rebuilt from it."""
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_url_filters": op2_url_filters,
@@ -76,10 +103,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_token_output": op9_token_output,
     "op10_html_extraction": op10_html_extraction,
+    "op11_top_k": op11_top_k,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
     "op2_url_filters": url_filters.ORACLE_SQL,
     "op6_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_top_k": top_k.ORACLE_SQL,
+    "op12_vector_codes": vector_codes.ORACLE_SQL,
+    "op13_fill_in_middle": fill_in_middle.ORACLE_SQL,
 }
