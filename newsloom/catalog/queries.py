@@ -10,7 +10,7 @@ from newsloom.functions.text import article_id, content_hash
 from newsloom.functions.urls import normalized_url, with_normalized_url, with_source_name
 from newsloom.operators.amp import amp_body as amp_body_of
 from newsloom.operators.body import article_body as article_body_of
-from newsloom.operators.dedup import dedup_two_key, drop_stored
+from newsloom.operators.dedup import dedup_two_key
 from newsloom.operators.dom import dom_nodes as dom_nodes_of
 from newsloom.operators.jsonld import jsonld_body as jsonld_body_of
 from newsloom.operators.main_content import main_content as main_content_of
@@ -19,7 +19,7 @@ from newsloom.operators.paragraphs import clean_paragraphs as clean_paragraphs_o
 from newsloom.operators.paragraphs import with_paragraphs
 from newsloom.operators.report import run_report as report_of
 from newsloom.plans.articles import extract_articles, page_articles
-from newsloom.plans.ingest import crawl, ingest, page_outcomes
+from newsloom.plans.ingest import crawl, drop_known, ingest, page_outcomes
 from newsloom.plans.ingest import entry_pages as entry_pages_of
 from newsloom.schemas import ARTICLE_COLUMNS
 from newsloom.sources import feeds as feed_source
@@ -297,29 +297,28 @@ def article_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     return article_body_of(meta, landed, "selectors", "three").select("page_id", "body")
 
 
-def _store_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Some sources are stored already, the rest arrive."""
+def _half_stored(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A store that has some sources already, and the articles of the rest."""
     rows = render.document_articles(render.documents(spark, sf_dir))
     stored = F.col("source") < "src15"
     path = staging_path(spark, "store")
     append_articles(rows.filter(stored), path)
-    return open_store(spark, path), stage(rows.filter(~stored), "arrived")
+    return path, rows.filter(~stored)
 
 
 def existing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store, _ = _store_and_batch(spark, sf_dir)
-    return existing_keys_of(store).select("id_article", "content_hash")
+    path, _ = _half_stored(spark, sf_dir)
+    return existing_keys_of(open_store(spark, path)).select("id_article", "content_hash")
 
 
 def new_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store, batch = _store_and_batch(spark, sf_dir)
-    # A legacy store has ids only.
-    return drop_stored(batch, store.select("id_article")).select("entry_ord", "id_article")
+    path, arriving = _half_stored(spark, sf_dir)
+    return drop_known(stage(arriving, "arrived"), path, ("id_article",)).select("entry_ord", "id_article")
 
 
 def new_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store, batch = _store_and_batch(spark, sf_dir)
-    return drop_stored(batch, store).select("entry_ord", "id_article", "content_hash")
+    path, arriving = _half_stored(spark, sf_dir)
+    return drop_known(stage(arriving, "arrived"), path).select("entry_ord", "id_article", "content_hash")
 
 
 def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.dom import dom_nodes
-from newsloom.operators.joins import HOT_ROWS, narrow_to, spread_join
+from newsloom.operators.joins import HOT_ROWS, spread_join
+from newsloom.operators.membership import likely_members
 from newsloom.operators.paragraphs import clean_paragraphs
 from newsloom.schemas import MIN_BODY_CHARS
 from newsloom.sources.pages import loaded_pages, newest_per_url
@@ -16,13 +17,16 @@ from newsloom.sources.staging import stage_counted
 def amp_texts(targets: DataFrame, pages: DataFrame) -> DataFrame:
     """Cleaned paragraphs of the loaded pages at the addresses ``targets.amp_href``.
 
-    Addresses are compared as they are, without normalisation.
+    Addresses are compared as they are, without normalisation.  Markup is parsed
+    where it is read: a filter in the scan finds the pages, and what it lets through
+    by chance goes after parsing.
     """
     at = loaded_pages(pages).withColumnRenamed("url", "amp_href")
     narrow = at.drop("html").join(targets, "amp_href", "left_semi")
     newest = stage_counted(newest_per_url(narrow, "amp_href"), "amp-pages")
-    found = narrow_to(at.select("amp_href", "page_id", "html"), newest.select("page_id"), "page_id")
-    return clean_paragraphs(dom_nodes(found), "three", "twin_text").select("amp_href", "twin_text")
+    found = likely_members(at.select("amp_href", "page_id", "html"), newest, "page_id")
+    texts = clean_paragraphs(dom_nodes(found), "three", "twin_text").select("amp_href", "page_id", "twin_text")
+    return texts.join(newest, ["amp_href", "page_id"]).select("amp_href", "twin_text")
 
 
 def with_amp_body(

@@ -8,6 +8,11 @@ them are decided.  On ordinary orders few rounds are needed (Blelloch, Fineman
 and Shun, "Greedy sequential maximal independent set and matching are parallel
 on average", 2012).
 
+What is left after a few rounds are chains of conflicts.  A row with one earlier
+neighbour only is kept iff that one is not, so along a run of such rows every second
+one is kept: pointer jumping finds the start of each run, and the parity of the way
+there, in a logarithmic number of joins.
+
 All rounds run on the narrow table (scope, order, id, hash).
 """
 
@@ -17,35 +22,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.joins import HOT_ROWS, checked_broadcast, spread_join
-from newsloom.sources.staging import row_count, stage, stage_counted
+from newsloom.sources.staging import row_count, same_rows, stage, stage_counted
+
+
+#: Rounds before chains are contracted; contraction takes more joins than a round.
+PLAIN_ROUNDS = 3
 
 
 def kept_keys(
     keys: DataFrame,
     scope: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
+    plain_rounds: int = PLAIN_ROUNDS,
+    trace: list[int] | None = None,
 ) -> DataFrame:
     """Kept rows (staged) of a narrow table with the columns ``*scope, ord, id, hash``.
 
-    Rows of one ``ord`` are taken in the order of id and hash, and equal rows
-    count once.  NULL keys are refused: they would never match, so no round
-    could decide their rows.  A chain of conflicts that alternates in row order
-    takes a round for every few of its rows.
+    Rows of one ``ord`` are taken in the order of id and hash.  Of rows that agree in
+    both keys only the first can be kept: what rejects it rejects the others, too.
+    NULL keys are refused: they would never match, so no round could decide their
+    rows.  ``trace`` takes the number of undecided rows before each round and of
+    unfinished pointers before each jump.
     """
     scope = list(scope)
     triple = [*scope, "ord", "id", "hash"]
-    undecided = stage_counted(keys.select(*triple).distinct(), "keys")
-    if not undecided.filter(F.greatest(*map(F.isnull, triple))).isEmpty():
+    trace = [] if trace is None else trace
+    if not keys.filter(F.greatest(*map(F.isnull, triple))).isEmpty():
         raise ValueError("order, scope and both keys must not be NULL")
-    done = None
+    once = keys.groupBy(*scope, "id", "hash").agg(F.min("ord").alias("ord"))
+    undecided = stage_counted(once.withColumn("row", F.monotonically_increasing_id()), "keys")
+    done, rounds = None, 0
     while True:
-        by_id = undecided.groupBy(*scope, "id").agg(F.min(F.struct("ord", "hash")).alias("first"))
-        by_hash = undecided.groupBy(*scope, "hash").agg(F.min(F.struct("ord", "id")).alias("first"))
-        first_by_id = by_id.select(*scope, "first.ord", "id", "first.hash")
-        first_by_hash = by_hash.select(*scope, "first.ord", "first.id", "hash")
-        kept = stage(first_by_id.join(first_by_hash, triple).select(*triple), "kept")
+        trace.append(row_count(undecided))
+        rounds += 1
+        if rounds <= plain_rounds:
+            kept, rest = stage(_firsts(undecided, scope).select(*triple), "kept"), undecided
+        else:
+            kept, rest = _contract(undecided, scope, hot_rows, trace)
         done = kept if done is None else done.unionByName(kept)
-        rest = undecided
         for key in ("id", "hash"):
             on = [*scope, key]
             rest = spread_join(
@@ -56,6 +70,80 @@ def kept_keys(
             return done
 
 
+def _firsts(rows: DataFrame, scope: list[str]) -> DataFrame:
+    """Rows that are first for both of their keys."""
+    by_id = rows.groupBy(*scope, "id").agg(F.min(F.struct("ord", "hash", "row")).alias("first"))
+    by_hash = rows.groupBy(*scope, "hash").agg(F.min(F.struct("ord", "id", "row")).alias("first"))
+    first_by_id = by_id.select(*scope, "first.ord", "id", "first.hash", "first.row")
+    return first_by_id.join(by_hash.select("first.row"), "row")
+
+
+def _contract(
+    rows: DataFrame, scope: list[str], hot_rows: int, trace: list[int]
+) -> tuple[DataFrame, DataFrame]:
+    """Kept rows of all runs that start at a first row, and the rows that may still be undecided."""
+    triple = [*scope, "ord", "id", "hash"]
+    placed = rows
+    for key, other in (("id", "hash"), ("hash", "id")):
+        on = [*scope, key]
+        first = rows.groupBy(*on).agg(F.min(F.struct("ord", other, "row"))["row"].alias(f"first_{key}"))
+        placed = spread_join(placed, first, on, "left", ["row"], rows, hot_rows)
+    placed = same_rows(stage(placed, "placed"), rows)
+    runs, left = [], placed
+    for key, other in (("id", "hash"), ("hash", "id")):
+        on = [*scope, key]
+        later = placed.filter(F.col(f"first_{key}") != F.col("row"))
+        second = later.groupBy(*on).agg(
+            F.min(F.struct("ord", other, "row", f"first_{key}", f"first_{other}")).alias("s")
+        )
+        # Second for one key and first for the other: one earlier neighbour.
+        pair = stage(
+            second.filter(F.col("s")["row"] == F.col("s")[f"first_{other}"]).select(
+                *on, F.col("s")["row"].alias("second"), F.col("s")[f"first_{key}"].alias("first")
+            ),
+            "pairs",
+        )
+        runs.append(pair.select(F.col("second").alias("row"), F.col("first").alias("to")))
+        # One row of such a pair is kept, so no third row of that key is.
+        known = spread_join(left, pair, on, "left", ["row"], placed, hot_rows)
+        left = known.filter(
+            F.col("second").isNull() | F.col("row").isin(F.col("second"), F.col("first"))
+        ).drop("second", "first")
+    firsts = placed.filter((F.col("first_id") == F.col("row")) & (F.col("first_hash") == F.col("row")))
+    starts = _run_starts(runs[0].unionByName(runs[1]), trace)
+    even = spread_join(
+        starts.filter(~F.col("odd")), firsts.select(F.col("row").alias("to")), ["to"], "left_semi", ["row"], hot_rows=hot_rows
+    )
+    names = firsts.select("row").unionByName(even.select("row"))
+    kept = stage(placed.join(names, "row", "left_semi").select(*triple), "kept")
+    return kept, left.drop("first_id", "first_hash")
+
+
+def _run_starts(pointers: DataFrame, trace: list[int]) -> DataFrame:
+    """The start of the run (``to``) that every pointer (row, to) belongs to, and whether the way is odd.
+
+    Each jump doubles the length of the ways; finished pointers no longer move.
+    """
+    moving = stage_counted(pointers.withColumn("odd", F.lit(True)), "pointers")
+    finished = moving.limit(0)
+    while row_count(moving):
+        trace.append(row_count(moving))
+        ways = moving.withColumn("ended", F.lit(False)).unionByName(finished.withColumn("ended", F.lit(True)))
+        ways = ways.select(F.col("row").alias("to"), F.col("to").alias("on_to"), F.col("odd").alias("on_odd"), "ended")
+        jumped = stage(
+            moving.join(ways, "to", "left").select(
+                "row",
+                F.coalesce("on_to", "to").alias("to"),
+                (F.col("odd") != F.coalesce("on_odd", F.lit(False))).alias("odd"),
+                F.coalesce("ended", F.lit(True)).alias("ended"),
+            ),
+            "jumped",
+        )
+        finished = finished.unionByName(jumped.filter("ended").drop("ended"))
+        moving = stage_counted(jumped.filter("NOT ended").drop("ended"), "pointers")
+    return same_rows(finished, pointers)
+
+
 def _narrow(df, order, id_col, hash_col, scope):
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     return df.select(
@@ -151,6 +239,22 @@ def without_stored(
     return spread_join(rows, hits, on, "left_anti", [spread_by], base, hot_rows)
 
 
+def without_hits(
+    rows: DataFrame,
+    hits: DataFrame,
+    kind: str,
+    key: str,
+    scope: Sequence[str] = (),
+    spread_by: str = "ord",
+    hot_rows: int = HOT_ROWS,
+    base: DataFrame | None = None,
+) -> DataFrame:
+    """Rows whose ``key`` is not among the ``hits`` (``*scope, kind, key``) of its kind."""
+    on = [*scope, key]
+    gone = hits.filter(F.col("kind") == kind).select(*scope, F.col("key").alias(key))
+    return spread_join(rows, gone, on, "left_anti", [spread_by], rows if base is None else base, hot_rows)
+
+
 def drop_stored(
     articles: DataFrame,
     store: DataFrame,

@@ -81,11 +81,3 @@ def checked_broadcast(keys: DataFrame, base: DataFrame, max_rows: int = BROADCAS
     """Mark ``keys`` for broadcast if the staged table they come from is small."""
     return F.broadcast(keys) if row_count(base) <= max_rows else keys
 
-
-def narrow_to(wide: DataFrame, keys: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``wide`` whose 64-bit ``key`` is in ``keys`` (staged).
-
-    The keys are counted first.  A bounded number is broadcast, so the wide
-    rows stay where they are; beyond that the join shuffles.
-    """
-    return wide.join(checked_broadcast(keys, keys, max_rows), key, "left_semi")

@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.urls import first_segment, normalized_url, with_source_name
-from newsloom.operators.dedup import dedup_outcomes, kept_keys, one_of_equals, without_stored
-from newsloom.operators.joins import HOT_ROWS, narrow_to, spread_join
+from newsloom.operators.dedup import dedup_outcomes, kept_keys, one_of_equals, without_hits
+from newsloom.operators.joins import HOT_ROWS, spread_join
+from newsloom.operators.membership import likely_members
 from newsloom.operators.paragraphs import SELECTORS
 from newsloom.plans.articles import page_articles
 from newsloom.sources.feeds import failed_feeds, feed_entries, with_link_outcome
+from newsloom.sources.keys import key_rows, stored_among
 from newsloom.sources.pages import loaded_pages, newest_per_url
 from newsloom.sources.staging import same_rows, stage_counted
-from newsloom.sources.store import append_articles, existing_keys, open_store
+from newsloom.sources.store import append_articles, open_store
 
 _SCOPE = ["profile"]
 
@@ -33,40 +35,53 @@ def entry_order(feed_ord: Column, entry_ord: Column) -> Column:
     )
 
 
-def _stored_keys(store: DataFrame) -> DataFrame:
-    return existing_keys(store).select(
-        "profile", F.col("id_article").alias("id"), F.col("content_hash").alias("hash")
-    )
+def known_keys(keys: DataFrame, path: str) -> DataFrame:
+    """Which keys of the staged rows (profile, id, hash) the store has; staged."""
+    rows = same_rows(stage_counted(key_rows(keys, "id", "hash"), "wanted-keys"), keys)
+    return stored_among(keys.sparkSession, path, rows)
 
 
-def accept(keys: DataFrame, store: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def accept(keys: DataFrame, hits: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Which of the staged keys (profile, ord, id, hash) are new; staged.
 
-    Stored keys go first: a row the store already has never blocks another one.
+    Stored keys (``hits``) go first: a row the store already has never blocks another one.
     """
-    stored = _stored_keys(store)
     fresh = keys
     for key in ("id", "hash"):
-        fresh = without_stored(fresh, stored, key, _SCOPE, hot_rows=hot_rows, base=keys)
+        fresh = without_hits(fresh, hits, key, key, _SCOPE, hot_rows=hot_rows, base=keys)
     return kept_keys(fresh, _SCOPE, hot_rows)
 
 
 def key_outcomes(
-    keys: DataFrame, kept: DataFrame, store: DataFrame, hot_rows: int = HOT_ROWS
+    keys: DataFrame, kept: DataFrame, hits: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Outcome of every key, given the kept ones and the store before the run.
+    """Outcome of every key, given the kept ones and the stored ones before the run.
 
     An id that is stored, or was kept earlier, makes a ``dup_id``.
     """
-    new_ids = stage_counted(
-        without_stored(keys, _stored_keys(store), "id", _SCOPE, hot_rows=hot_rows), "new-ids"
-    )
+    new_ids = stage_counted(without_hits(keys, hits, "id", "id", _SCOPE, hot_rows=hot_rows), "new-ids")
     known = keys.join(new_ids.select("profile", "ord"), ["profile", "ord"], "left_anti")
     return dedup_outcomes(new_ids, kept, _SCOPE, hot_rows).unionByName(
         known.withColumn("outcome", F.lit("dup_id"))
     )
 
 
+def drop_known(
+    articles: DataFrame, path: str, by: tuple[str, ...] = ("id_article", "content_hash"), hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Staged articles whose keys, those named in ``by``, are new to their profile in the store.
+
+    The store's key index answers for both keys in one scan.
+    """
+    kinds = {"id_article": "id", "content_hash": "hash"}
+    rows = articles if "content_hash" in by else articles.drop("content_hash")
+    hits = stored_among(articles.sparkSession, path, stage_counted(key_rows(rows), "wanted-keys"))
+    fresh = articles
+    for key in by:
+        fresh = without_hits(fresh, hits, kinds[key], key, _SCOPE, "entry_ord", hot_rows, articles)
+    return fresh
+
+
 def ingest(
     articles: DataFrame, path: str, hot_rows: int = HOT_ROWS, staged: bool = False
 ) -> DataFrame:
@@ -82,7 +97,8 @@ def ingest(
         "profile", "ord", F.col("id_article").alias("id"), F.col("content_hash").alias("hash")
     )
     keys = same_rows(keys, staged_rows)
-    kept = accept(keys, open_store(articles.sparkSession, path), hot_rows)
+    open_store(articles.sparkSession, path)
+    kept = accept(keys, known_keys(keys, path), hot_rows)
     names = kept.select(
         "profile", "ord", F.col("id").alias("id_article"), F.col("hash").alias("content_hash")
     )
@@ -133,7 +149,7 @@ def crawl(
     )
     in_use = [p for p in SELECTORS if not feeds.filter(F.col("selector_policy") == p).isEmpty()]
     articles = page_articles(
-        narrow_to(pages, wanted, "page_id"), in_use or list(SELECTORS), content_policy, amp_pages=pages
+        likely_members(pages, wanted, "page_id"), in_use or list(SELECTORS), content_policy, amp_pages=pages
     )
     at = ["page_id", "selector_policy"]
     verdicts = articles.select(
@@ -149,10 +165,10 @@ def crawl(
         "seen",
     )
     keys = seen.filter(F.col("reject_reason").isNull()).select("profile", "ord", "id", "hash")
-    store = open_store(pages.sparkSession, store_path)
-    kept = accept(keys, store, hot_rows)
-    # Decided against the store as it is now, so written before the append.
-    named = stage_counted(key_outcomes(keys, kept, store, hot_rows).select("profile", "ord", "outcome"), "named")
+    open_store(pages.sparkSession, store_path)
+    hits = known_keys(keys, store_path)
+    kept = accept(keys, hits, hot_rows)
+    named = stage_counted(key_outcomes(keys, kept, hits, hot_rows).select("profile", "ord", "outcome"), "named")
     won = seen.join(kept.select("profile", "ord"), ["profile", "ord"], "left_semi").select(
         "profile", "feed_ord", "entry_ord", "category", "source_policy", "source_value", *at
     )

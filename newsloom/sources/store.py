@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.schemas import ARTICLE_COLUMNS, ARTICLE_SCHEMA, STORE_SCHEMA
+from newsloom.sources.keys import index_keys
 
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 _SLICES = 64
@@ -37,7 +38,7 @@ def existing_keys(store: DataFrame) -> DataFrame:
 
 
 def append_articles(articles: DataFrame, path: str) -> None:
-    """Append in one atomic commit; columns are brought into the store's order.
+    """Append in one commit, then index the keys; columns are brought into the store's order.
 
     Rows are rebalanced by profile and a slice of the id: small parts are merged
     into files of a sensible size, and a profile that holds most of the rows is
@@ -49,6 +50,8 @@ def append_articles(articles: DataFrame, path: str) -> None:
     sliced = rows.withColumn("_slice", F.pmod(F.xxhash64("id_article"), F.lit(_SLICES)))
     rows = sliced.hint("rebalance", F.col("profile"), F.col("_slice")).drop("_slice")
     rows.write.mode("append").partitionBy("profile").parquet(path)
+    open_store(articles.sparkSession, path)
+    index_keys(articles.sparkSession, path)
 
 
 def export_csv(store: DataFrame, path: str) -> None:

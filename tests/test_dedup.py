@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from newsloom import dedup_two_key, drop_stored
 from newsloom.operators.dedup import dedup_outcomes, kept_keys
-from newsloom.operators.joins import hot_keys, narrow_to, spread_join
+from newsloom.operators.joins import hot_keys, spread_join
+from newsloom.operators.membership import likely_members
 from newsloom.sources.staging import stage
 
 KEYS = "ord bigint, id string, hash string"
@@ -69,6 +70,34 @@ def test_long_chain_of_conflicts(spark):
     assert kept(spark, long) == sequential(long)
 
 
+@pytest.mark.parametrize("size, plain_rounds, hot_rows", [(30, 0, 5), (60, 1, 10_000), (140, 0, 10_000)])
+def test_contraction_equals_the_sequential_rule(spark, size, plain_rounds, hot_rows):
+    rng = random.Random(size)
+    rows = [(i, f"i{rng.randrange(size)}", f"h{rng.randrange(size)}") for i in range(150)]
+    # Chains beside and through the rest, in order and against it.
+    rows += [(200 + i, f"i{300 + (i + 1) // 2}", f"h{300 + i // 2}") for i in range(25)]
+    rows += [(300 - i, f"i{400 + (i + 1) // 2}", f"h{400 + i // 2}") for i in range(26)]
+    rows += [(500 + 3 * i, f"i{300 + i}", f"h{i}") for i in range(10)]
+    rng.shuffle(rows)
+    assert kept(spark, rows, plain_rounds=plain_rounds, hot_rows=hot_rows) == sequential(rows)
+
+
+def test_a_chain_of_100000_rows_takes_few_rounds(spark):
+    n = 100_000
+    i = F.col("id")
+    chain = spark.range(n).select(
+        i.alias("ord"),
+        F.concat(F.lit("i"), F.floor((i + 1) / 2)).alias("id"),
+        F.concat(F.lit("h"), F.floor(i / 2)).alias("hash"),
+    )
+    trace = []
+    got = kept_keys(chain, trace=trace)
+    # Every second row, in three plain rounds, one contraction and 17 jumps at most.
+    assert got.count() == n // 2
+    assert got.filter("ord % 2 = 1").isEmpty()
+    assert len(trace) <= 3 + 1 + 18
+
+
 def test_repeated_positions_and_rows(spark):
     rows = [(1, "b", "y"), (1, "a", "x"), (1, "a", "x"), (1, "a", "y"), (2, "c", "z"), (2, "c", "z")]
     df = kept_keys(spark.createDataFrame(rows, KEYS))
@@ -138,8 +167,15 @@ def test_hot_keys_are_few_and_split_by_size(spark):
     assert [r._pieces for r in hot_keys(df, ["k"], 100).collect()] == [4]
 
 
-def test_narrow_to_with_and_without_broadcast(spark):
-    wide, keys = spark.range(100), stage(spark.range(0, 100, 7), "some")
-    for bound in (0, 1000):
-        narrowed = narrow_to(wide, keys, "id", max_rows=bound)
-        assert sorted(r.id for r in narrowed.collect()) == list(range(0, 100, 7))
+@pytest.mark.parametrize("bits", [1 << 10, 1 << 20])
+def test_likely_members(spark, bits):
+    wide = spark.range(3000).withColumn("html", F.lit("x"))
+    keys = stage(spark.range(0, 3000, 7), "some")
+    got = {r.id for r in likely_members(wide, keys, "id", most_bits=bits).collect()}
+    # None is missed, and with enough bits few others pass.
+    assert set(range(0, 3000, 7)) <= got
+    assert bits == 1 << 10 or len(got) < 500
+    none = likely_members(wide, stage(spark.range(0), "none"), "id")
+    assert none.count() == 0
+    shown = likely_members(wide, keys, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in shown.split("Subquery")[0]
