@@ -1,5 +1,7 @@
 """The expected result of each query as DuckDB SQL over the same tables."""
 
+from newsloom.sources.feeds import PROFILES
+
 _SPACE = (
     r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -103,6 +105,20 @@ _FIRST_LABEL = (
     )
 )
 
+
+
+def _configured() -> str:
+    """The configured feeds as rows of SQL."""
+    def text(x: str | None) -> str:
+        return "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+
+    return ", ".join(
+        f"({text(profile)}, {i}, {len(feeds)}, {text(category)}, {text(url)}, {text(policy)}, {text(value)})"
+        for profile, (policy, value, _, feeds) in PROFILES.items()
+        for i, (category, url) in enumerate(feeds)
+    )
+
+
 # --- rendered pages -----------------------------------------------------------
 
 _LINES = _joined(f"list_transform(string_split(text, chr(10)), lambda s: {_strip('s')})")
@@ -253,6 +269,16 @@ FROM (SELECT page_id, ps, unnest(range(1, length(ps) + 1)) AS pos FROM texts)"""
     "clean_paragraphs": f"WITH {_PAGES} SELECT page_id, content FROM extracted",
     "main_content": f"""
 SELECT page_id, {_pieces("regexp_extract(html, '<article>(.*?)</article>', 1, 's')", ' ')} AS main_text FROM pages""",
+    "main_content_split": f"""
+SELECT doc_id AS page_id, array_to_string(list_filter([once, once, once, once, once], lambda x: x <> ''), ' ') AS main_text
+FROM (SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda s: {_strip('s')}),
+                                                 lambda t: t <> ''), ' ') AS once FROM documents)""",
+    "configured_sources": f"""
+SELECT doc_id, profile, feed_ord, category, feed_url,
+       CASE policy WHEN 'constant' THEN value WHEN 'host' THEN host
+            ELSE upper(substring(host, 1, 1)) || substring(split_part(host, '.', 1), 2) END AS source
+FROM (SELECT doc_id, 'site' || lower(source) || '.example' AS host FROM documents) d
+JOIN (VALUES {_configured()}) f(profile, feed_ord, n, category, feed_url, policy, value) ON doc_id % n = feed_ord""",
     "not_thin": f"""
 WITH {_PAGES} SELECT page_id, length(content) AS n_chars FROM extracted WHERE length(content) >= 200""",
     "dedup_articles": f"""
@@ -311,7 +337,7 @@ FROM (SELECT doc_id AS page_id, {_REQUEST} AS norm_url,
       FROM documents)""",
     "meta_fields": f"""
 SELECT doc_id AS page_id,
-       CASE doc_id % 3 WHEN 0 THEN 'Title' || doc_id || '&' WHEN 1 THEN substring(text, 1, 80)
+       CASE doc_id % 3 WHEN 0 THEN 'Title' || doc_id || '&' WHEN 1 THEN text
             ELSE '' END AS title,
        {_AUTHOR} AS author, {_IMAGE} AS image
 FROM documents""",
@@ -379,6 +405,23 @@ WITH RECURSIVE {_PAGES},
                  id_article AS id, content_hash AS hash FROM extracted WHERE length(content) >= 200''')}
 SELECT e.page_id AS entry_ord, e.id_article, e.content_hash, e.category
 FROM extracted e JOIN decided d ON substring(d.ord, 2)::BIGINT = e.page_id WHERE d.kept""",
+    "stream_report": f"""
+WITH RECURSIVE {_PAGES}, {_walk(_GOOD_PAGES)}
+SELECT 'default' AS profile, e.category, coalesce(d.outcome, 'thin') AS outcome, count(*) AS n
+FROM extracted e LEFT JOIN decided d ON d.ord = e.page_id GROUP BY ALL""",
+    "late_twins": f"""
+WITH texts AS (
+  SELECT doc_id, lang, {_LINES} AS lines, {_FIRST_LINE} AS first_line FROM documents),
+landed AS (
+  SELECT doc_id AS entry_ord, doc_id::VARCHAR AS title, {_REQUEST} AS url,
+         CASE WHEN doc_id % 4 <> 3 AND length(first_line) < 800 AND length(lines) > length(first_line)
+              THEN lines ELSE first_line END AS content
+  FROM texts
+  UNION ALL
+  SELECT -doc_id - 1, 'amp ' || doc_id, 'https://amp.example.com/' || lang || '/' || doc_id, lines
+  FROM texts WHERE doc_id % 4 <> 3)
+SELECT entry_ord, {_id('url')} AS id_article, {_hash('title', 'content')} AS content_hash, title
+FROM landed WHERE length(content) >= 200""",
     "crawl_articles": f"""
 WITH RECURSIVE {_CRAWL}
 SELECT {_id('url')} AS id_article, title, tags, content, url, category,

@@ -32,7 +32,8 @@ from newsloom.sources.store import (
     open_store,
 )
 from newsloom.sources.store import existing_keys as existing_keys_of
-from newsloom.streaming.incremental import ingest_stream
+from newsloom.streaming.incremental import ingest_stream, settle_waiting
+from newsloom.streaming.incremental import stream_outcomes as stream_outcomes_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +160,12 @@ def main_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_content_of(_page_nodes(spark, sf_dir)).select("page_id", "main_text")
 
 
+def main_content_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles that are split over neighbouring sections."""
+    pages = render.render_split(render.documents(spark, sf_dir))
+    return main_content_of(dom_nodes_of(pages)).select("page_id", "main_text")
+
+
 def articles_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship with the main-block stage first."""
     found = extract_articles(render.pages(spark, sf_dir), source_policy="first_label")
@@ -185,6 +192,18 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_store(spark, store).select("entry_ord", "id_article", "content_hash", "category")
 
 
+def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of two streamed batches in page order, which is that of one batch."""
+    landing, store, progress = (staging_path(spark, label) for label in ("landing", "store", "progress"))
+    pages = render.pages(spark, sf_dir)
+    middle = pages.agg(F.avg("page_id")).first()[0]
+    early = F.col("page_id") < F.lit(middle)
+    for part in (pages.filter(early), pages.filter(~early)):
+        part.write.mode("append").parquet(landing)
+        ingest_stream(spark, landing, store, progress, content_policy="selectors").awaitTermination()
+    return report_of(stream_outcomes_of(spark, store))
+
+
 # --- rendered out of the documents table ------------------------------------
 
 
@@ -209,6 +228,18 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("profile", "feed_ord", "entry_ord", "category", "link")
 
 
+def configured_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as an entry of one configured feed of each profile, with category and source."""
+    feeds = feed_source.feed_config(spark)
+    sizes = feeds.groupBy("profile").agg(F.count("*").alias("n"))
+    entries = render.documents(spark, sf_dir).select(
+        "doc_id", normalized_url(F.concat(F.lit("http://WWW.Site"), F.col("source"), F.lit(".example/a"))).alias("norm_url")
+    )
+    numbered = feeds.join(sizes, "profile")
+    placed = entries.join(F.broadcast(numbered), F.col("doc_id") % F.col("n") == F.col("feed_ord"))
+    return with_source_name(placed, "norm_url").select("doc_id", "profile", "feed_ord", "category", "feed_url", "source")
+
+
 def feed_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every feed landed twice, first with half of its entries; the newest landing counts."""
     docs = render.documents(spark, sf_dir)
@@ -397,6 +428,21 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def late_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and AMP twins that land in either order; a replay of everything adds nothing."""
+    landing, store = staging_path(spark, "landing"), staging_path(spark, "store")
+    pages = render.render_twins(render.documents(spark, sf_dir))
+    options = {"content_policy": "selectors"}
+    first, again = staging_path(spark, "progress"), staging_path(spark, "progress")
+    for part in (1, 2):
+        pages.filter(F.col("part") == part).drop("part").write.mode("append").parquet(landing)
+        ingest_stream(spark, landing, store, first, **options).awaitTermination()
+    settle_waiting(spark, store, **options)
+    ingest_stream(spark, landing, store, again, **options).awaitTermination()
+    settle_waiting(spark, store, **options)
+    return open_store(spark, store).select("entry_ord", "id_article", "content_hash", "title")
+
+
 QUERIES: dict[str, Query] = {
     "articles": articles,
     "normalize_url": normalize_url,
@@ -418,6 +464,8 @@ QUERIES: dict[str, Query] = {
     "run_report": run_report,
     "main_content": main_content,
     "articles_full": articles_full,
+    "main_content_split": main_content_split,
+    "configured_sources": configured_sources,
     "feed_entries": feed_entries,
     "feed_landings": feed_landings,
     "entries_capped": entries_capped,
@@ -438,6 +486,8 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "ingest_twice": ingest_twice,
     "incremental_ingest": incremental_ingest,
+    "stream_report": stream_report,
+    "late_twins": late_twins,
     "crawl_articles": crawl_articles,
     "crawl_report": crawl_report,
     "rejects": rejects,

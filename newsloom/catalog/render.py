@@ -88,7 +88,7 @@ def canonical_html() -> Column:
 def title_html() -> Column:
     og = F.concat(
         F.lit('<meta property="og:title" content="'),
-        escaped(F.substring("text", 1, 80)), F.lit('">'),
+        escaped(F.col("text")), F.lit('">'),
     )
     return case(
         3,
@@ -192,6 +192,19 @@ def render_heads(docs: DataFrame) -> DataFrame:
     )
 
 
+def render_split(docs: DataFrame) -> DataFrame:
+    """Pages with an article of a text's lines in three sections, the first the longest."""
+    def section(inner: Column) -> Column:
+        return F.concat(F.lit("<section>"), inner, F.lit("</section>"))
+
+    lines = paragraphs_html()
+    html = F.concat(
+        F.lit("<html><body><div>"), section(F.concat(lines, lines, lines)),
+        F.lit("<aside><p>"), F.col("lang"), F.lit(" see also</p></aside>"), section(lines), section(lines), F.lit("</div></body></html>"),
+    )
+    return docs.select(F.col("doc_id").alias("page_id"), request_url().alias("url"), html.alias("html"))
+
+
 def amp_url() -> Column:
     return F.concat(F.lit("https://amp.example.com/"), F.col("lang"), F.lit("/"), doc_text())
 
@@ -199,6 +212,8 @@ def amp_url() -> Column:
 def render_bodies(docs: DataFrame) -> DataFrame:
     """Pages whose text sits in a different place each, with their AMP twins.
 
+    The JSON-LD body of kind 3 stands under a key that is there twice.
+
     0: article paragraphs; 1: JSON-LD only; 2: first line, and an AMP twin with
     all lines; 3: article paragraphs, and a longer JSON-LD body after an
     invalid one; 4: as 2, but the AMP link carries a tracking key and so names
@@ -223,7 +238,10 @@ def render_bodies(docs: DataFrame) -> DataFrame:
         F.concat(
             json_script(F.struct(F.array(F.lit("NewsArticle")).alias("@type"), twice.alias("articleBody"))),
             json_script(F.struct(F.lit("Article").alias("@type"), F.col("doc_id").alias("articleBody"))),
-            json_script(article_json("NewsArticle", twice)),
+            F.replace(
+                json_script(article_json("NewsArticle", twice)),
+                F.lit('"articleBody":'), F.lit('"articleBody":"not this","articleBody":'),
+            ),
             article(paragraphs_html()),
         ),
         F.concat(tracked, article(first)),
@@ -244,6 +262,37 @@ def render_bodies(docs: DataFrame) -> DataFrame:
     return own.unionByName(twins)
 
 
+def render_twins(docs: DataFrame) -> DataFrame:
+    """Pages with the first line of a text, and AMP twins with all of it, in two landings (``part``).
+
+    0: the twin lands later; 1: the twin lands first; 2: both land at once; 3: the
+    twin never lands.
+    """
+    first = F.concat(F.lit("<p>"), escaped(F.split_part("text", F.lit("\n"), F.lit(1))), F.lit("</p>"))
+
+    def page(head: Column, title: Column, body: Column) -> Column:
+        return F.concat(
+            F.lit("<html><head>"), head, F.lit("</head><body><article><h1>"), title, F.lit("</h1>"), body,
+            F.lit("</article></body></html>"),
+        )
+
+    kind = F.col("doc_id") % 4
+    amp = F.concat(F.lit('<link rel="amphtml" href="'), amp_url(), F.lit('">'))
+    own = docs.select(
+        F.col("doc_id").alias("page_id"),
+        request_url().alias("url"),
+        page(amp, doc_text(), first).alias("html"),
+        F.when(kind == 1, 2).otherwise(1).alias("part"),
+    )
+    twins = docs.filter(kind != 3).select(
+        (-F.col("doc_id") - 1).alias("page_id"),
+        amp_url().alias("url"),
+        page(F.lit(""), F.concat(F.lit("amp "), doc_text()), paragraphs_html()).alias("html"),
+        F.when(kind == 0, 2).otherwise(1).alias("part"),
+    )
+    return own.unionByName(twins)
+
+
 def entry_link() -> Column:
     """Link of a feed entry: missing, empty, broken, that of a neighbour, or its own."""
     target = F.when(F.col("doc_id") % 9 == 4, F.col("doc_id") - 1).otherwise(F.col("doc_id"))

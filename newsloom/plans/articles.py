@@ -14,19 +14,14 @@ from newsloom.sources.pages import loaded_pages
 from newsloom.sources.staging import stage_counted
 
 
-def page_articles(
+def own_articles(
     pages: DataFrame,
     selector_policy: str | list[str] = "four",
     content_policy: str = "full",
     min_chars: int = MIN_BODY_CHARS,
     thin_chars: int = THIN_CHARS,
-    amp_pages: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per page (and selector policy) with a ``reject_reason`` or NULL.
-
-    Failed loads (by ``status``, if there is one) give no row.  The pages are parsed once, when this is called, into a staged table without
-    markup.  AMP twins are looked up in ``amp_pages``, by default ``pages``.
-    """
+    """``page_articles`` before AMP twins are looked up, with ``amp_href``; staged."""
     policies = [selector_policy] if isinstance(selector_policy, str) else selector_policy
     wanted = loaded_pages(pages).select("page_id", "url", "html")
     meta = with_metadata(dom_nodes(wanted))
@@ -36,21 +31,45 @@ def page_articles(
     else:
         meta = meta.withColumn("selector_policy", F.explode(F.array(*map(F.lit, policies))))
         policy = F.col("selector_policy")
+    body = page_body(meta, content_policy, policy, min_chars, "content")
+    return stage_counted(judged(body.drop("request_url"), thin_chars), "pages")
 
-    def derive(df: DataFrame) -> DataFrame:
-        reason = (
-            F.when(F.col("norm_url").isNull(), "bad_link")
-            .when(F.col("url").isNull(), "bad_canonical")
-            .when(F.length("content") < thin_chars, "thin")
-        )
-        return df.withColumn(
-            "content_hash", content_hash(F.col("title"), F.col("content"))
-        ).withColumn("reject_reason", reason)
 
-    body = page_body(meta, content_policy, policy, min_chars, "content")
-    own = stage_counted(derive(body.drop("request_url")), "pages")
-    lookup = pages if amp_pages is None else amp_pages
-    return with_amp_body(own, lookup, "content", min_chars=min_chars, derive=derive).drop("amp_href")
+def judged(rows: DataFrame, thin_chars: int = THIN_CHARS) -> DataFrame:
+    """Renew what depends on the text: ``content_hash`` and ``reject_reason``."""
+    reason = (
+        F.when(F.col("norm_url").isNull(), "bad_link")
+        .when(F.col("url").isNull(), "bad_canonical")
+        .when(F.length("content") < thin_chars, "thin")
+    )
+    return rows.withColumn("content_hash", content_hash(F.col("title"), F.col("content"))).withColumn(
+        "reject_reason", reason
+    )
+
+
+def with_twins(
+    rows: DataFrame, lookup: DataFrame, min_chars: int = MIN_BODY_CHARS, thin_chars: int = THIN_CHARS
+) -> DataFrame:
+    """``own_articles`` whose short texts are replaced by longer ones of the AMP twins in ``lookup``."""
+    return with_amp_body(rows, lookup, "content", min_chars=min_chars, derive=lambda df: judged(df, thin_chars))
+
+
+def page_articles(
+    pages: DataFrame,
+    selector_policy: str | list[str] = "four",
+    content_policy: str = "full",
+    min_chars: int = MIN_BODY_CHARS,
+    thin_chars: int = THIN_CHARS,
+    amp_pages: DataFrame | None = None,
+) -> DataFrame:
+    """One row per page (and selector policy) with a ``reject_reason`` or NULL.
+
+    Failed loads (by ``status``, if there is one) give no row.  The pages are parsed once,
+    when this is called, into a staged table without markup.  AMP twins are looked up in
+    ``amp_pages``, by default ``pages``.
+    """
+    own = own_articles(pages, selector_policy, content_policy, min_chars, thin_chars)
+    return with_twins(own, pages if amp_pages is None else amp_pages, min_chars, thin_chars).drop("amp_href")
 
 
 def extract_articles(
@@ -82,7 +101,9 @@ def as_store_rows(
     source_value: str | None = None,
     category: Column | None = None,
     profile: str = "default",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
+    """Page rows in the shape of the store, with the columns named in ``carry``."""
     if category is None:
         category = first_segment(F.col("norm_url"))
     return rows.select(
@@ -101,4 +122,5 @@ def as_store_rows(
         F.lit(0).alias("feed_ord"),
         F.col("page_id").alias("entry_ord"),
         "published_ts",
+        *carry,
     )

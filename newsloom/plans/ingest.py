@@ -37,8 +37,7 @@ def entry_order(feed_ord: Column, entry_ord: Column) -> Column:
 
 def known_keys(keys: DataFrame, path: str) -> DataFrame:
     """Which keys of the staged rows (profile, id, hash) the store has; staged."""
-    rows = same_rows(stage_counted(key_rows(keys, "id", "hash"), "wanted-keys"), keys)
-    return stored_among(keys.sparkSession, path, rows)
+    return stored_among(keys.sparkSession, path, same_rows(key_rows(keys, "id", "hash"), keys))
 
 
 def accept(keys: DataFrame, hits: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -75,7 +74,7 @@ def drop_known(
     """
     kinds = {"id_article": "id", "content_hash": "hash"}
     rows = articles if "content_hash" in by else articles.drop("content_hash")
-    hits = stored_among(articles.sparkSession, path, stage_counted(key_rows(rows), "wanted-keys"))
+    hits = stored_among(articles.sparkSession, path, same_rows(key_rows(rows), articles))
     fresh = articles
     for key in by:
         fresh = without_hits(fresh, hits, kinds[key], key, _SCOPE, "entry_ord", hot_rows, articles)

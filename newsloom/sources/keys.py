@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from newsloom.operators.joins import checked_broadcast
 from newsloom.schemas import STORE_SCHEMA
-from newsloom.sources.staging import stage_counted
+from newsloom.sources.staging import stage_counted, table_at
 
 BUCKETS = 64
 
@@ -42,10 +42,7 @@ def key_rows(df: DataFrame, id_col: str = "id_article", hash_col: str = "content
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table that is made empty first if there is none."""
-    parts = ["bucket"] if "bucket" in schema.names else []
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*parts).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return table_at(spark, path, schema, ("bucket",) if "bucket" in schema.names else ())
 
 
 def _store(spark: SparkSession, path: str) -> DataFrame:
@@ -83,8 +80,8 @@ def rebuild_keys(spark: SparkSession, path: str) -> None:
 def _write(spark: SparkSession, path: str, rows: DataFrame, files: list[str]) -> None:
     keys = key_rows(rows).hint("rebalance", F.col("bucket"))
     keys.write.mode("append").partitionBy("bucket").parquet(f"{path}/_keys/rows")
-    names = spark.createDataFrame([(f,) for f in files], _FILES)
-    names.coalesce(1).write.mode("append").parquet(f"{path}/_keys/files")
+    names = spark.range(0, 1, 1, 1).select(F.explode(F.lit(files)).alias("file"))
+    names.write.mode("append").parquet(f"{path}/_keys/files")
 
 
 def indexed_keys(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
@@ -95,7 +92,7 @@ def indexed_keys(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
 
 
 def stored_among(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """Which of the keys (staged ``key_rows``) the store has: ``profile, kind, key``; staged.
+    """Which of the keys (``key_rows`` of a staged table) the store has: ``profile, kind, key``; staged.
 
     One scan answers for both kinds. It reads the buckets of the wanted keys, and the files
     that the index does not have yet.

@@ -7,8 +7,10 @@ checkpointed plan it is columnar, so later steps read only what they need.
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _DIR_KEY = "spark.checkpoint.dir"
 
@@ -56,3 +58,14 @@ def row_count(df: DataFrame) -> int:
     """Rows of a staged table, by what its writer counted if it did."""
     known = vars(df).get("staged_rows")
     return df.count() if known is None else known
+
+
+def table_at(spark: SparkSession, path: str, schema: StructType, parts: tuple[str, ...] = ()) -> DataFrame:
+    """The Parquet table at ``path``, made empty first if there is none; one that can't be read raises."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*parts).parquet(path)
+    return spark.read.schema(schema).parquet(path)

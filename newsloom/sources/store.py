@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from newsloom.schemas import ARTICLE_COLUMNS, ARTICLE_SCHEMA, STORE_SCHEMA
 from newsloom.sources.keys import index_keys
+from newsloom.sources.staging import table_at
 
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 _SLICES = 64
@@ -21,9 +22,7 @@ def open_store(spark: SparkSession, path: str) -> DataFrame:
     The schema is explicit: keys made of digits only stay strings.  A store
     that cannot be read raises; de-duplication is never silently switched off.
     """
-    empty = spark.createDataFrame([], STORE_SCHEMA)
-    empty.write.mode("ignore").partitionBy("profile").parquet(path)
-    return spark.read.schema(STORE_SCHEMA).parquet(path)
+    return table_at(spark, path, STORE_SCHEMA, ("profile",))
 
 
 def existing_keys(store: DataFrame) -> DataFrame:
@@ -50,7 +49,6 @@ def append_articles(articles: DataFrame, path: str) -> None:
     sliced = rows.withColumn("_slice", F.pmod(F.xxhash64("id_article"), F.lit(_SLICES)))
     rows = sliced.hint("rebalance", F.col("profile"), F.col("_slice")).drop("_slice")
     rows.write.mode("append").partitionBy("profile").parquet(path)
-    open_store(articles.sparkSession, path)
     index_keys(articles.sparkSession, path)
 
 

@@ -1,21 +1,37 @@
 """Incremental runs over landed pages.
 
-Each micro-batch goes through the same batch function as a full run, with the
-store as the only state: its horizon is unbounded, and the two-key rule is not
-expressible as a streaming ``dropDuplicates``.  A replayed batch adds nothing
-as long as its rows come out as before: a page whose AMP twin landed after the
-batch is extracted with that twin the next time, and then counts as new text.
+Each micro-batch goes through the same steps as a full run, with the store and what
+``newsloom.streaming.state`` keeps beside it as the only state: the horizon is unbounded, and the
+two-key rule is not expressible as a streaming ``dropDuplicates``.
+
+A page whose text is short and whose AMP twin has not landed waits; a later batch that
+brings the twin decides it. Pages that share the id of a waiting one and come after it
+wait with it, since it would win over them. ``settle_waiting`` ends the waiting. So it
+does not matter in which batches a page and its twin land. A page with a text of its own that
+is stored meanwhile is not taken back: if the waiting one turns out to have the same text, it is
+the duplicate.
+
+Every batch counts once. A batch that ended between its append and the checkpoint is
+replayed by Spark; its decisions are found written, and only rows that the store does
+not have yet are appended.
 """
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from newsloom.plans.articles import extract_articles
-from newsloom.plans.ingest import ingest
+from newsloom.operators.dedup import one_of_equals
+from newsloom.plans.articles import as_store_rows, own_articles, with_twins
+from newsloom.plans.ingest import accept, drop_known, entry_order, key_outcomes, known_keys
+from newsloom.schemas import MIN_BODY_CHARS, STORE_SCHEMA, THIN_CHARS
 from newsloom.sources.pages import loaded_pages
+from newsloom.sources.staging import same_rows, stage_counted
+from newsloom.sources.store import append_articles, open_store
+from newsloom.streaming import state
 
 PAGES_SCHEMA = T.StructType(
     [
@@ -28,6 +44,135 @@ PAGES_SCHEMA = T.StructType(
     ]
 )
 
+# A waiting page: a store row with what is needed to judge it again.
+_WAITING = T.StructType(
+    [
+        *STORE_SCHEMA.fields,
+        T.StructField("page_id", T.LongType()),
+        T.StructField("norm_url", T.StringType()),
+        T.StructField("amp_href", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+    ]
+)
+
+
+class _Batches:
+    """The steps of a batch, for one store and one set of options."""
+
+    def __init__(
+        self,
+        store: str,
+        pages_schema: T.StructType = PAGES_SCHEMA,
+        extract: Callable[[DataFrame], DataFrame] | None = None,
+        selector_policy: str = "four",
+        content_policy: str = "full",
+        min_chars: int = MIN_BODY_CHARS,
+        thin_chars: int = THIN_CHARS,
+        profile: str = "default",
+        **row_options,
+    ):
+        self.store, self.pages_schema, self.extract = store, pages_schema, extract
+        self.page_options = {"selector_policy": selector_policy, "content_policy": content_policy}
+        self.limits = {"min_chars": min_chars, "thin_chars": thin_chars}
+        self.row_options = {"profile": profile, **row_options}
+
+    def run(self, pages: DataFrame | None, run: str, batch: int) -> None:
+        """Take a batch of landed pages with ``file``; without pages, decide all that wait."""
+        store = self.store
+        spark = pages.sparkSession if pages is not None else SparkSession.active()
+        open_store(spark, store)
+        at = state.place(spark, store, run, batch)
+        if at.done:
+            return
+        kept_waiting = state.waiting(spark, store, _WAITING)
+        landed = None
+        if pages is None:
+            ready, waiting = kept_waiting, kept_waiting.limit(0)
+        elif self.extract is not None:
+            own = stage_counted(self.extract(pages.drop("file")), "batch")
+            ready = own.select("*", F.lit(None).cast("string").alias("reject_reason"))
+            ready, waiting = same_rows(ready, own), kept_waiting.limit(0)
+        else:
+            loaded = loaded_pages(pages)
+            landed = state.landed_rows(loaded)
+            ready, waiting = self._split(loaded, landed, kept_waiting)
+        if not at.decided:
+            state.write_part(self._decide(ready), store, "decided", at.seq)
+            state.write_part(waiting.select(*_WAITING.names), store, "waiting", at.seq)
+            state.note(spark, store, at.seq, run, batch, state.DECIDED)
+        outcomes = state.read_part(spark, store, "decided", at.seq, state.DECIDED_SCHEMA)
+        names = outcomes.filter("outcome = 'accepted'").select(
+            "profile", "ord", F.col("id").alias("id_article"), F.col("hash").alias("content_hash")
+        )
+        accepted = one_of_equals(self._ordered(ready), names).drop("ord")
+        if at.decided:
+            # The batch was here before; part or all of it may be in the store.
+            accepted = drop_known(stage_counted(accepted, "again"), store, ("id_article",))
+        append_articles(accepted, store)
+        if landed is not None:
+            state.land(landed, store)
+        state.note(spark, store, at.seq, run, batch, state.DONE)
+
+    def _split(self, loaded: DataFrame, landed: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows to decide now, and rows that wait for a twin, out of staged tables."""
+        spark, store = loaded.sparkSession, self.store
+        own = own_articles(loaded.drop("file"), **self.page_options, **self.limits)
+        rows = self._store_shaped(own)
+        open_to_text = F.col("reject_reason").isNull() | (F.col("reject_reason") == "thin")
+        short = open_to_text & (F.length("content") < self.limits["min_chars"]) & F.col("amp_href").isNotNull()
+        asking = rows.filter(short).unionByName(held.filter(F.col("amp_href").isNotNull()))
+        complete = rows.filter(~F.coalesce(short, F.lit(False))).unionByName(held.filter(F.col("amp_href").isNull()))
+        if asking.isEmpty():
+            return complete, held.limit(0)
+        asking = stage_counted(asking, "asking")
+        found = state.newest_landings(spark, store, landed, asking)
+        files = state.files_of(found)
+        answered = same_rows(asking.join(found.select("amp_href"), "amp_href", "left_semi"), asking)
+        if files:
+            lookup = spark.read.schema(self.pages_schema).parquet(*files)
+            answered = stage_counted(answered.select(*_WAITING.names), "answered")
+            answered = with_twins(answered, lookup, **self.limits)
+        alone = stage_counted(asking.join(found.select("amp_href"), "amp_href", "left_anti").select(*_WAITING.names), "alone")
+        # What the store has already need not wait to be refused.
+        patient = stage_counted(drop_known(alone, store, ("id_article",)), "patient")
+        refused = alone.join(patient.select("page_id"), "page_id", "left_anti")
+        complete = complete.unionByName(answered.select(*_WAITING.names)).unionByName(refused.select(*_WAITING.names))
+        # A page that comes after a waiting one with its id waits with it.
+        first = patient.groupBy("profile", "id_article").agg(F.min("page_id").alias("_first"))
+        marked = stage_counted(complete.join(first, ["profile", "id_article"], "left"), "marked")
+        behind = F.coalesce(F.col("page_id") > F.col("_first"), F.lit(False)) & F.col("reject_reason").isNull()
+        blocked = marked.filter(behind).withColumn("amp_href", F.lit(None).cast("string"))
+        ready = stage_counted(marked.filter(~behind).select(*_WAITING.names), "ready")
+        waiting = patient.select(*_WAITING.names).unionByName(blocked.select(*_WAITING.names))
+        return ready, stage_counted(waiting, "waiting")
+
+    def _store_shaped(self, own: DataFrame) -> DataFrame:
+        shaped = as_store_rows(own, **self.row_options, carry=("page_id", "norm_url", "amp_href", "reject_reason"))
+        return shaped.select(*_WAITING.names)
+
+    @staticmethod
+    def _ordered(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("ord", entry_order(F.col("feed_ord"), F.col("entry_ord")))
+
+    def _decide(self, ready: DataFrame) -> DataFrame:
+        """Outcome of every row, the store being as it is now."""
+        named = self._ordered(ready).select(
+            "profile", "category", "ord", F.col("id_article").alias("id"), F.col("content_hash").alias("hash"), "reject_reason"
+        )
+        good = stage_counted(named.filter(F.col("reject_reason").isNull()).drop("reject_reason"), "good")
+        keys = same_rows(good.drop("category"), good)
+        hits = known_keys(keys, self.store)
+        outcomes = key_outcomes(keys, accept(keys, hits), hits)
+        triple = ["profile", "ord", "id", "hash"]
+        decided = good.select("category", *triple).distinct().join(outcomes.distinct(), triple)
+        refused = named.filter(F.col("reject_reason").isNotNull()).withColumnRenamed("reject_reason", "outcome")
+        return decided.unionByName(refused).select(*state.DECIDED_SCHEMA.names)
+
+
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's own id, which its checkpoint keeps."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
 
 def ingest_stream(
     spark: SparkSession,
@@ -42,33 +187,43 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start a run over everything that landed since the last one.
 
-    ``extract`` turns a batch of pages into article rows; by default
-    ``extract_articles`` with ``extract_options``, AMP twins being looked up
-    among all pages landed so far.
+    ``extract`` turns a batch of pages into article rows; by default it is what
+    ``extract_articles`` does with ``extract_options``, AMP twins being looked up among the
+    pages of this and earlier batches.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
+    batches = _Batches(store, schema, extract, **extract_options)
 
-    def default_extract(batch: DataFrame) -> DataFrame:
-        options = {"pathGlobFilter": file_glob} if file_glob else {}
-        landed = batch.sparkSession.read.schema(schema).options(**options).parquet(pages_dir)
-        return extract_articles(
-            loaded_pages(batch), amp_pages=loaded_pages(landed), **extract_options
-        )
-
-    def accept(batch: DataFrame, _batch_id: int) -> None:
-        if extract is None:
-            ingest(default_extract(batch), store, staged=True)
-        else:
-            ingest(extract(batch), store)
+    def take(batch: DataFrame, batch_id: int) -> None:
+        batches.run(batch, _run_of(batch.sparkSession, checkpoint), batch_id)
 
     return (
         reader.parquet(pages_dir)
-        .writeStream.foreachBatch(accept)
+        .select("*", F.col("_metadata.file_path").alias("file"))
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def settle_waiting(spark: SparkSession, store: str, **extract_options) -> None:
+    """Decide all waiting pages with the texts they have; a batch of its own.
+
+    ``extract_options`` as for the stream.
+    """
+    open_store(spark, store)
+    last = state.log(spark, store).agg(F.max("seq")).first()[0] or 0
+    _Batches(store, **extract_options).run(None, "settle", last + 1)
+
+
+def stream_outcomes(spark: SparkSession, store: str) -> DataFrame:
+    """Outcome of every page that a batch decided, and ``waiting`` for those that wait."""
+    columns = ["profile", "category", "ord", "outcome"]
+    held = state.waiting(spark, store, _WAITING).withColumn("outcome", F.lit("waiting"))
+    held = held.withColumn("ord", entry_order(F.col("feed_ord"), F.col("entry_ord")))
+    return state.decided(spark, store).select(*columns).unionByName(held.select(*columns))

@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from helpers import column, meta, pages
@@ -189,3 +190,51 @@ def test_the_session_is_left_as_it_is(spark):
     before = spark.conf.get(key)
     dom_nodes(pages(spark, "<p>x")).collect()
     assert spark.conf.get(key) == before
+
+
+def test_an_article_in_several_containers_comes_whole(spark):
+    words = "Some words, and more of them, to fill a line of the article that is long enough. "
+
+    def p(n, times=1):
+        return f"<p>{n} {words * times}</p>"
+
+    big = f"<section>{p('a', 3)}{p('b', 3)}{p('c', 3)}{p('d', 3)}</section>"
+    got = column(
+        main_content(
+            dom_nodes(
+                pages(
+                    spark,
+                    # Neighbours with a fifth of the score belong to it, bare paragraphs beside it, too.
+                    f"<div>{big}<h2>x</h2><section>{p('e', 2)}</section>{p('f')}<p>g</p></div>",
+                    # Link lists, listed names, furniture and other branches don't.
+                    f"<div>{big}<section><p>e <a>{words}</a></p></section><div class='comments'>{p('f')}</div>"
+                    f"<aside>{p('g')}</aside><p><a>{words}</a></p></div><div><section>{p('h')}</section></div>",
+                )
+            )
+        ),
+        "main_text",
+    )
+    first = [t[0] for t in re.findall(r"\b([a-z]) Some", got[0])]
+    assert first == list("abcdef") and not got[0].endswith(" g")
+    assert re.findall(r"\b([a-z]) Some", got[1]) == list("abcd")
+
+
+def test_jsonld_with_a_repeated_key(spark):
+    def one(text):
+        return f'<script type="application/ld+json">{text}</script>'
+
+    got = column(
+        jsonld_body(
+            meta(
+                spark,
+                one('{"@type":"Article","articleBody":"a","articleBody":"bb","author":{"x":1,"x":2}}'),
+                one('[{"@type":"WebPage","articleBody":"no"},{"@type":"WebPage","@type":"Article","articleBody":"ccc"}]'),
+                one('{"@type":"Article","articleBody":"a","articleBody":5}'),
+                one('{"@type":"Article","articleBody":"a","articleBody":"b"} tail'),
+                one('{"@type":"Article","articleBody":"a","articleBody":"b"'),
+                one('{"@type":"Article","articleBody":"a","articleBody":"b"},{"#end":true}'),
+            )
+        ),
+        "jsonld_text",
+    )
+    assert got == ["bb", "ccc", "", "", "", ""]

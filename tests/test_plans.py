@@ -67,3 +67,33 @@ def test_rendered_feeds_are_bounded(spark):
     docs = render.documents(spark, SF)
     sizes = docs.groupBy(render.feed_ordinal().alias("f")).count().agg(F.max("count")).first()[0]
     assert sizes <= render.FEED_RUN
+
+
+def test_markup_is_never_exchanged(spark):
+    """Without broadcasts, and with filters too small to tell anything apart."""
+    from newsloom.operators import amp, membership
+    from newsloom.operators.dom import dom_nodes
+    from newsloom.operators.metadata import with_metadata
+    from newsloom.sources.staging import stage_counted
+
+    seen = []
+    real = amp.clean_paragraphs
+
+    def noted(df, *args):
+        out = real(df, *args)
+        seen.append(plan(out))
+        return out
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        landed = render.render_bodies(render.documents(spark, SF))
+        landed = stage_counted(landed, "landed")
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(amp, "clean_paragraphs", noted)
+            m.setattr(membership, "MOST_BITS", 1 << 10)
+            got = amp.amp_body(with_metadata(dom_nodes(landed)), landed).select("page_id", "amp_text")
+            n_long = got.filter("amp_text <> ''").count()
+        assert n_long and "Exchange" not in seen[0] and "MapInArrow" in seen[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
