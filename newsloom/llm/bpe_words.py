@@ -8,7 +8,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from newsloom.llm.words import ranges, slices, span_hashes
+from newsloom.llm.words import eights, hash_eights, ranges, slices
 
 #: First bytes of characters beyond ASCII that can be white space.
 MAYBE_BLANK_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
@@ -76,6 +76,10 @@ class StretchEncoder:
         self.at = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        # The bytes behind a key: their number, and where they stand, eight to a number.
+        self.sizes = np.zeros(0, np.int64)
+        self.spelt_at = np.zeros(0, np.int64)
+        self.spelt = np.zeros(0, np.uint64)
         # Where a key's high bits lead, for a first look; keys that share a cell replace each other.
         self.cells = np.zeros(1 << _TABLE_BITS, np.int64)
         # The first keys in order; later ones are few and are ordered on each use.
@@ -138,7 +142,15 @@ class StretchEncoder:
         all_ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
         return all_ids[ranges(at, length)], length
 
-    def _place(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _remembers(self, place: np.ndarray, sizes: np.ndarray, values: np.ndarray, counts: np.ndarray) -> bool:
+        """Whether the stretches are, byte by byte, the remembered ones at their places."""
+        if not (self.sizes[place] == sizes).all():
+            return False
+        return bool((self.spelt[ranges(self.spelt_at[place], counts)] == values).all())
+
+    def _place(
+        self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray, counts: np.ndarray
+    ) -> np.ndarray:
         """Where the stretches stand in the memory; unknown ones are learnt."""
         cell = (hashes >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
         place = self.cells[cell]
@@ -151,7 +163,7 @@ class StretchEncoder:
         keys, first, which = np.unique(hashes[missed], return_index=True, return_inverse=True)
         if len(self.keys) + len(keys) > self.most and len(self.keys):
             self.forget()
-            return self._place(hashes, data, starts, ends)
+            return self._place(hashes, data, starts, ends, values, counts)
         found = np.full(len(keys), -1)
         if len(self.keys) - len(self.order) > max(50_000, len(self.order) // 3):
             self.order = np.argsort(self.keys)
@@ -172,6 +184,11 @@ class StretchEncoder:
             self.ids = np.concatenate([self.ids, ids])
             self.keys = np.concatenate([self.keys, keys[new]])
             self.length = np.concatenate([self.length, length])
+            upto = np.cumsum(counts)
+            own = counts[at]
+            self.spelt_at = np.concatenate([self.spelt_at, len(self.spelt) + np.cumsum(own) - own])
+            self.spelt = np.concatenate([self.spelt, values[ranges(upto[at] - own, own)]])
+            self.sizes = np.concatenate([self.sizes, ends[at] - starts[at]])
         self.cells[(keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = found
         place[missed] = found[which]
         return place
@@ -182,9 +199,15 @@ class StretchEncoder:
             data, offsets = self.prepare(data, offsets)
             starts = self.starts(data, offsets)
             ends = np.append(starts[1:], len(data))[: len(starts)]
-            place = self._place(span_hashes(data, starts, ends), data, starts, ends)
-            length = self.length[place]
-            out = self.ids[ranges(self.at[place], length)]
+            values, counts = eights(data, starts, ends)
+            sizes = ends - starts
+            place = self._place(hash_eights(values, counts, sizes), data, starts, ends, values, counts)
+            if self._remembers(place, sizes, values, counts):
+                length = self.length[place]
+                out = self.ids[ranges(self.at[place], length)]
+            else:
+                # Two stretches with one hash: this slice does without the memory.
+                out, length = self._stretches(data, starts, ends)
             sums = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
             upto = sums[np.searchsorted(starts, offsets)]
             if end is None:

@@ -32,6 +32,36 @@ _CELLS = 20
 _TURNS = 4
 
 
+def _frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values found ``least`` times, in order, and how often."""
+    ranked = np.sort(pairs)
+    starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
+    uses = np.diff(starts, append=len(ranked))
+    often = uses >= least
+    return ranked[starts[often]], uses[often]
+
+
+def _found(kinds: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The place of each pair among the sorted kinds, or -1.
+
+    Most are told by a table of cells, in which kinds that share a cell replace each other.
+    """
+    def cell(x: np.ndarray) -> np.ndarray:
+        return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELLS)).astype(np.int64)
+
+    table = np.full(1 << _CELLS, -1, np.int32)
+    table[cell(kinds)] = np.arange(len(kinds))
+    shared = np.bincount(cell(kinds), minlength=1 << _CELLS) > 1
+    cells = cell(pairs)
+    place = table[cells]
+    place[(place >= 0) & (kinds[place] != pairs)] = -1
+    unsure = np.flatnonzero((place < 0) & shared[cells])
+    if len(unsure):
+        rank = np.minimum(np.searchsorted(kinds, pairs[unsure]), len(kinds) - 1)
+        place[unsure] = np.where(kinds[rank] == pairs[unsure], rank, -1)
+    return place
+
+
 def re_pair(ids, lengths, base, least=LEAST_USES):
     """(left, right) sides of rules and the symbols, documents kept apart.
 
@@ -48,17 +78,14 @@ def re_pair(ids, lengths, base, least=LEAST_USES):
     fresh = np.ones(len(seq), bool)
     while len(seq) > 1:
         at = np.flatnonzero(fresh[:-1] & ~last[:-1])
-        cell = (seq[at] * np.uint32(0x9E3779B1) ^ seq[at + 1] * np.uint32(0x85EBCA77)) >> np.uint32(32 - _CELLS)
-        # Counts of cells are upper bounds; only pairs in full cells are counted one by one.
-        at = at[(np.bincount(cell, minlength=1 << _CELLS) >= least)[cell]]
         pairs = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        kinds, which, uses = np.unique(pairs, return_inverse=True, return_counts=True)
-        often = np.flatnonzero(uses >= least)
-        if not len(often):
+        kinds, uses = _frequent(pairs, least)
+        if not len(kinds):
             break
-        rank = np.zeros(len(kinds), np.int64)
-        rank[often[np.lexsort((mix(kinds[often]), uses[often]))]] = np.arange(1, len(often) + 1)
-        some = rank[which] > 0
+        rank = np.empty(len(kinds), np.int64)
+        rank[np.lexsort((mix(kinds), uses))] = np.arange(len(kinds))
+        which = _found(kinds, pairs)
+        some = np.flatnonzero(which >= 0)
         at, which = at[some], which[some]
         fresh = np.zeros(len(seq), bool)
         fresh[at] = True
@@ -66,6 +93,7 @@ def re_pair(ids, lengths, base, least=LEAST_USES):
         head = np.ones(len(at), bool)
         head[1:] = (np.diff(at) > 1) | (own[1:] != own[:-1])
         even = (place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0
+        even = np.flatnonzero(even)
         at, which, own = at[even], which[even], own[even]
         apart = np.diff(at) > 1
         free, best = np.ones(len(at), bool), np.zeros(len(at), bool)
@@ -77,13 +105,14 @@ def re_pair(ids, lengths, base, least=LEAST_USES):
             free &= ~wins
             free[1:] &= apart | ~wins[:-1]
             free[:-1] &= apart | ~wins[1:]
-        used = np.bincount(which[best], minlength=len(kinds))
+        taken = np.flatnonzero(best)
+        used = np.bincount(which[taken], minlength=len(kinds))
         twins = kinds >> np.uint64(32) == kinds & np.uint64(0xFFFFFFFF)
         made = np.flatnonzero(used >= np.where(twins, (least + 1) // 2, least))
         symbol = np.zeros(len(kinds), np.uint32)
         symbol[made] = base + rules + np.arange(len(made), dtype=np.uint32)
-        best &= symbol[which] > 0
-        at, symbol = at[best], symbol[which[best]]
+        taken = taken[symbol[which[taken]] > 0]
+        at, symbol = at[taken], symbol[which[taken]]
         left.append((kinds[made] >> np.uint64(32)).astype(np.uint32))
         right.append(kinds[made].astype(np.uint32))
         rules += len(made)
@@ -96,7 +125,8 @@ def re_pair(ids, lengths, base, least=LEAST_USES):
         second[at + 1] = True
         before = at[at > 1] - 1
         fresh[before[second[before]] - 1] = True
-        seq, last, fresh = seq[~second], last[~second], fresh[~second]
+        stay = np.flatnonzero(~second)
+        seq, last, fresh = seq[stay], last[stay], fresh[stay]
     return np.concatenate(left), np.concatenate(right), seq
 
 

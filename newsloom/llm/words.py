@@ -16,8 +16,10 @@ SLICE_BYTES = 1 << 20
 #: White space that separates words: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
-_STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
+_LENGTH = np.uint64(0xD1B54A32D192ED03)
+#: The low bytes of a word of eight, by their number.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,28 +32,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_known: dict[int, np.ndarray] = {}
-
-
-def _powers(step: int, n: int) -> np.ndarray:
-    """1, step, step**2 ...; the longest array so far is kept, those of rare long texts are not."""
-    found = _known.get(step)
-    if found is None or len(found) < n:
-        out = np.full(max(n, SLICE_BYTES + 1), step, np.uint64)
-        out[0] = 1
-        found = np.multiply.accumulate(out)
-        if len(found) <= 2 * SLICE_BYTES:
-            _known[step] = found
-    return found[:n]
-
-
 @cache
-def byte_values(lower: bool) -> np.ndarray:
-    """A random 64-bit value for each byte; with ``lower``, A-Z count as a-z."""
-    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
-    if lower:
-        values[0x41:0x5B] = values[0x61:0x7B]
-    return values
+def lower_case() -> np.ndarray:
+    """Each byte, A-Z as a-z."""
+    table = np.arange(256, dtype=np.uint8)
+    table[0x41:0x5B] = table[0x61:0x7B]
+    return table
 
 
 @cache
@@ -104,14 +90,45 @@ def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
 
+def eights(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of each span, eight to a number, and how many numbers each has (one for an empty span)."""
+    lengths = ends - starts
+    counts = np.maximum((lengths + 7) >> 3, 1)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    at_byte = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    if (counts == 1).all():
+        return at_byte[starts] & _LOW[lengths], counts
+    within = _within(counts)
+    return at_byte[np.repeat(starts, counts) + 8 * within] & _LOW[np.minimum(np.repeat(lengths, counts) - 8 * within, 8)], counts
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def hash_eights(values: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span: its numbers are mixed, each with its place, and then added.
+
+    Mixing is not linear, so unlike the value of a polynomial the sum does not cancel out
+    for texts that are made for it.
+    """
+    if not len(counts):
+        return np.zeros(0, np.uint64)
+    mixed = mix(values)
+    if len(values) > len(counts):
+        mixed = np.add.reduceat(mix(mixed + _within(counts).astype(np.uint64) * _PLACE), np.cumsum(counts) - counts)
+    else:
+        mixed = mix(mixed)
+    return mix(mixed + lengths.astype(np.uint64) * _LENGTH)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span."""
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    values = byte_values(lower)[data]
-    values *= _powers(int(_STEP), n)
-    np.cumsum(values, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _powers(int(_BACK), n)[starts])
+    """A 64-bit hash of the bytes of each span; with ``lower``, A-Z count as a-z."""
+    if lower:
+        data = lower_case()[data]
+    values, counts = eights(data, starts, ends)
+    return hash_eights(values, counts, ends - starts)
 
 
 def hashed_words(
