@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.words import hashed_words, mix, slices
 from newsloom.llm.workers import release, with_code
+from newsloom.sources.staging import stage
 
 #: At most so many labelled rows are fitted on.
 FIT_ROWS = 20_000
@@ -180,7 +181,8 @@ def grade_of(quality: Column, toxic: Column) -> Column:
 def train(docs: DataFrame, grades: DataFrame, text: str = "text", fit_rows: int = FIT_ROWS) -> Ordinal:
     """Fit on ``grades`` (doc_id, grade), at most ``fit_rows`` of them, chosen by a hash of doc_id.
 
-    Features are found where the documents are; the driver gets those of the chosen rows.
+    Features are found and screened where the documents are; the driver gets those that pass.
+    Of several texts of one doc_id the least counts, NULL if there is no other.
     """
     chosen = (
         grades.filter("grade IS NOT NULL AND doc_id IS NOT NULL")
@@ -207,21 +209,36 @@ def train(docs: DataFrame, grades: DataFrame, text: str = "text", fit_rows: int
     own = docs.select("doc_id", F.col(text).alias("__text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("__id")
     )
-    table = (
-        with_code(own.select("__id", "__grade", "__text"))
-        .mapInArrow(extract, "__id bigint, __grade bigint, found array<bigint>")
-        .dropDuplicates(["__id"])
-        .toArrow()
-        .sort_by("__id")
-    )
-    found = table.column("found").combine_chunks()
-    if isinstance(found, pa.ChunkedArray):
-        found = pa.concat_arrays(found.chunks) if found.num_chunks else pa.array([], pa.list_(pa.int64()))
-    lengths = np.diff(found.offsets.to_numpy())
-    values = found.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    graded = table.column("__grade").to_numpy().astype(np.int64)
-    del table, found
-    return fit(np.repeat(np.arange(len(graded), dtype=np.int32), lengths), values, graded)
+    once = own.groupBy("__id", "__grade").agg(F.min("__text").alias("__text"))
+    found = stage(with_code(once).mapInArrow(extract, "__id bigint, __grade bigint, found array<bigint>"), "features")
+    known = [tuple(r) for r in found.select("__id", "__grade").collect()]  # fit_rows at most
+    known.sort()
+    graded = np.array([g for _, g in known], np.int64)
+    pairs = found.select("__id", "__grade", F.explode("found").alias("f"))
+    telling = _telling(pairs, graded)
+    # Only features that tell grades apart come to the driver.
+    table = pairs.join(telling, "f", "left_semi").select("__id", "f").toArrow()
+    rows = np.searchsorted(np.array([i for i, _ in known], np.int64), table.column("__id").to_numpy())
+    values = table.column("f").to_numpy().view(np.uint64)
+    del table
+    model = fit(rows, values, graded)
+    release()
+    return model
+
+
+def _telling(pairs: DataFrame, grades: np.ndarray) -> DataFrame:
+    """As `screened`, of a table of (row, grade, f): counted where the rows are."""
+    n, strong = len(grades), F.lit(False)
+    uses = F.col("uses")
+    counts = [F.count_if(F.col("__grade") >= k).alias(f"above_{k}") for k in range(1, GRADES)]
+    for k in range(1, GRADES):
+        share = float((grades >= k).mean()) if n else 0.0
+        if 0 < share < 1:
+            spread = F.sqrt(F.greatest(uses * (share * (1 - share)) * (1 - uses / n), F.lit(1e-9)))
+            # A little less than the threshold: `fit` screens again, in its own arithmetic.
+            strong |= F.abs(F.col(f"above_{k}") - uses * share) / spread > LEAST_Z * (1 - 1e-9)
+    counted = pairs.groupBy("f").agg(F.count("*").alias("uses"), *counts)
+    return counted.filter((uses >= LEAST_ROWS) & strong).select("f")
 
 
 _ADDED = ("expected_grade", "p_good", "kept")

@@ -34,6 +34,20 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert got[25][1:] == (2, 1) and got[25][0].startswith("long word")
 
 
+def test_near_copies_keep_their_text(spark):
+    article = [f"line {n} of the article" for n in range(10)]
+    rows = [(0, "\n".join(article), "a")]
+    for i in range(1, 30):
+        copy = list(article)
+        copy[i % 10] = f"edited {i}"
+        rows.append((i, "\n".join(copy), "a"))
+    rows += [(i, f"own {i}\nmore {i}\nAll rights reserved", "a") for i in range(30, 100)]
+    rows.append((100, "\n".join([*article[:9], "edited", "All rights reserved"]), "a"))
+    got = by_id(line_dedup.drop_frequent_lines(pages(spark, rows), "source"), "text")
+    for i, text, _ in rows:
+        assert got[i] == (text.removesuffix("\nAll rights reserved"),)
+
+
 def test_ratio_is_of_the_host(spark):
     rows = [(i, f"shared\n{i}" if i < 5 else f"{i}", "big") for i in range(100)]
     rows += [(200 + i, f"shared\n{i}", "small") for i in range(5)]

@@ -43,3 +43,27 @@ def test_pipeline(spark):
     assert leaking and not leaking & set(clean.doc_id)
     assert set(coded.doc_id) == set(clean.doc_id) and coded.round_trip.all()
     assert len(corpus_pipeline.run(spark, SF).collect()) == len(coded)
+
+
+def test_pipeline_of_odd_documents(spark):
+    """NULL, empty, long and repeated texts, and columns named as the stages' own."""
+    named = ["kept", "n_dropped", "n_lines", "leaks", "n_tokens", "ids", "round_trip", "found", "__host", "component_id"]
+    words = " ".join(f"word{i}" for i in range(400))
+    rows = [(1, None, 0), (2, "", 0), (3, words, len(words)), (3, words, len(words)), (4, words + " tail", 0), (None, "no id", 5),
+            (5, "x " * 300_000, 0)]
+    docs = spark.createDataFrame(
+        [(i, t, "en", None, n, *[f"own {k}" for k in named]) for i, t, n in rows],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{k}` string" for k in named),
+    )
+    for frame in (docs, docs.limit(0)):
+        for name, step in corpus_pipeline.STAGES:
+            out = step(spark, frame, SF)
+            got = out.toPandas()
+            if name == "tokens":
+                assert {"n_tokens", "ids", "round_trip", "documents_ids"} <= set(out.columns)
+                assert got.round_trip.all() if len(got) else True
+            else:
+                assert out.columns == docs.columns
+                assert all((got[k] == f"own {k}").all() for k in named)
+            if name in ("lines", "tokens"):
+                assert len(got) == frame.count()

@@ -12,6 +12,7 @@ from tokenizers import AddedToken, Tokenizer
 
 from newsloom.llm import sentence_pieces, token_files
 from newsloom.llm.bpe_words import WordEncoder, word_encoder
+from newsloom.llm.words import span_hashes
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -184,3 +185,43 @@ def test_token_files(spark, tmp_path):
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (i, start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert token_files.token_files(docs.limit(0), BPE).count() == 0
+
+
+def _thue_morse(n):
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_texts_made_to_collide_under_a_polynomial_do_not():
+    one, other = _thue_morse(1024)
+    words = [one, other, one[:512] + other[512:], other[:512] + one[512:], "a\x00", "a", "", "A" * 20, "a" * 20, "b" * 8, "b" * 9]
+    # The same pieces at other places, and pieces that add up.
+    words += ["abcdefgh" + "ijklmnop", "ijklmnop" + "abcdefgh", "abcdefghabcdefgh", "bbcdefghzbcdefgh"]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w.encode()) for w in words])
+    starts = np.concatenate([[0], ends[:-1]])
+    assert len(set(span_hashes(data, starts, ends).tolist())) == len(words)
+    lowered = span_hashes(data, starts, ends, lower=True)
+    assert lowered[7] == lowered[8] and len(set(lowered.tolist())) == len(words) - 1
+
+
+def test_stretches_with_one_hash_are_told_apart(monkeypatch):
+    import newsloom.llm.bpe_words as bpe_words
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    one, other = _thue_morse(1024)
+    texts = [one, other, f"{one} {other}", "plain words here", f"x {other}"]
+    tokenizer = Tokenizer.from_file(path)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def ids_of(coder):
+        out = []
+        for _, ids, lengths in coder.encode(pa.array(texts)):
+            out += [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
+        return out
+
+    assert ids_of(bpe_words.WordEncoder(path, True)) == want
+    # Even with a hash that knows nothing but the length.
+    monkeypatch.setattr(bpe_words, "hash_eights", lambda values, counts, lengths: lengths.astype(np.uint64))
+    coder = bpe_words.WordEncoder(path, True)
+    assert ids_of(coder) == want and ids_of(coder) == want
