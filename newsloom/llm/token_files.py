@@ -168,14 +168,32 @@ class Block:
             self.symbols += np.frombuffer(payload, high, symbols, 16 + 12 * n + 2 * symbols).astype(np.int64) << 16
         self.at = np.cumsum(self.spans) - self.spans
         self.rules = np.zeros(int(self.spans.sum()), np.uint32)
-        for i, (a, b) in enumerate(sides.tolist()):
-            self.rules[self.at[i] : self.at[i] + self.spans[i]] = np.concatenate([self._one(a), self._one(b)])
-
-    def _one(self, symbol: int) -> np.ndarray:
-        if symbol < self.base:
-            return np.array([symbol], np.uint32)
-        k = symbol - self.base
-        return self.rules[self.at[k] : self.at[k] + self.spans[k]]
+        # A rule's sides are of lower depth, so all rules of one depth are spelt out together.
+        sides = sides.astype(np.int64)
+        for some in self._by_depth(sides):
+            left, right = sides[some, 0], sides[some, 1]
+            self._spell(left, self.at[some])
+            middle = np.ones(len(some), np.int64)
+            rule = left >= self.base
+            middle[rule] = self.spans[left[rule] - self.base]
+            self._spell(right, self.at[some] + middle)
+
+    def _by_depth(self, sides: np.ndarray) -> Iterator[np.ndarray]:
+        known = np.zeros(len(sides) + 1, bool)
+        known[-1] = True  # stands for all ids
+        of = np.where(sides >= self.base, sides - self.base, len(sides))
+        waiting = np.arange(len(sides))
+        while len(waiting):
+            ready = known[of[waiting, 0]] & known[of[waiting, 1]]
+            yield waiting[ready]
+            known[waiting[ready]] = True
+            waiting = waiting[~ready]
+
+    def _spell(self, symbols: np.ndarray, to: np.ndarray) -> None:
+        rule = symbols >= self.base
+        self.rules[to[~rule]] = symbols[~rule]
+        k = symbols[rule] - self.base
+        self.rules[ranges(to[rule], self.spans[k])] = self.rules[ranges(self.at[k], self.spans[k])]
 
     def lengths(self) -> np.ndarray:
         rule = self.symbols >= self.base

@@ -79,6 +79,53 @@ def test_classifier_edge_cases(spark):
     assert quality_classifier.rate_documents(docs.limit(0), labels).count() == 0
 
 
+def test_the_fit_is_an_optimum():
+    """No small step in any direction makes the graded rows likelier, beyond what rounding leaves."""
+    r = np.random.default_rng(8)
+    n, decay = 400, 2e-4
+    grades = r.integers(0, 3, n)
+    pairs = [(i, 3 + k) for i, g in enumerate(grades) for k in range(4) if r.random() < (0.15 + 0.35 * (g == k % 3))]
+    rows, found = np.array(pairs).T
+    found = found.astype(np.uint64)
+    model = quality_classifier.fit(rows, found, grades, steps=4000, decay=decay)
+    assert len(model.keys) >= 3
+
+    def likelihood(weights, thresholds):
+        scores = np.zeros(n)
+        for i, f in pairs:
+            at = np.searchsorted(model.keys, np.uint64(f))
+            if at < len(model.keys) and model.keys[at] == f:
+                scores[i] += weights[at]
+        above = [np.ones(n), *(1 / (1 + np.exp(t - scores)) for t in thresholds), np.zeros(n)]
+        p = [above[g][i] - above[g + 1][i] for i, g in enumerate(grades)]
+        return np.log(p).mean() - decay / 2 * (weights**2).sum()
+
+    best = likelihood(model.weights, model.thresholds)
+    for k in range(len(model.weights) + 2):
+        for step in (-0.05, 0.05):
+            weights, thresholds = model.weights.copy(), model.thresholds.copy()
+            if k < len(weights):
+                weights[k] += step
+            else:
+                thresholds[k - len(weights)] += step
+            assert likelihood(weights, thresholds) < best
+
+
+def test_features_are_screened_alike_in_spark_and_here(spark):
+    rows = labelled(600, random.Random(6))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(0, "zzz another text")], "doc_id bigint, text string")
+    grades = spark.createDataFrame([(i, g) for i, _, g in rows], "doc_id bigint, grade int")
+    model = quality_classifier.train(docs, grades)
+    texts = [min(t, "zzz another text") if i == 0 else t for i, t, _ in rows]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    want = quality_classifier.fit(
+        *quality_classifier.distinct(*quality_classifier.features(data, offsets)), np.array([g for *_, g in rows])
+    )
+    assert (model.keys == want.keys).all()
+    assert np.allclose(model.weights, want.weights) and np.allclose(model.thresholds, want.thresholds)
+
+
 def test_thresholds_stay_in_order():
     r = np.random.default_rng(2)
     grades = r.integers(0, 3, 500)

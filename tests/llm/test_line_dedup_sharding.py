@@ -1,5 +1,6 @@
 """Line de-duplication and sharding: edge cases and brute force."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -93,6 +94,33 @@ def test_longest_first():
     assert sharding.longest_first([], 3) == {}
 
 
+def test_longest_first_equals_a_search_of_all_shards():
+    r = random.Random(1)
+    for shards in (1, 3, 40):
+        items = [(i, r.choice([1, 5, 5, 17, r.randrange(1000)])) for i in range(300)]
+        loads, want = [0] * shards, {}
+        for i, size in sorted(items, key=lambda x: (-x[1], x[0])):
+            home = loads.index(min(loads))
+            want[i] = home
+            loads[home] += size
+        assert sharding.longest_first(items, shards) == want
+
+
+def test_groups_above_the_share_are_placed_as_in_plain_scheduling(spark):
+    r = random.Random(2)
+    sizes = {g: r.randrange(500, 2000) for g in range(60)}
+    rows = spark.createDataFrame([(g, g, s) for g, s in sizes.items()], "doc_id bigint, g bigint, size bigint")
+    got = sharding.assign_shards(rows, ["g"], "size", 4, ["doc_id"], parts_per_shard=64, rows_per_slice=100)
+    loads = Counter()
+    for x in got.collect():
+        loads[x.shard] += sizes[x.g]
+    plain = sharding.longest_first(sizes.items(), 4)
+    want = Counter()
+    for g, shard in plain.items():
+        want[shard] += sizes[g]
+    assert sorted(loads.values()) == sorted(want.values())
+
+
 def test_large_groups_are_scheduled_one_by_one(spark):
     rows = spark.range(4000).select(
         F.col("id").alias("doc_id"), (F.col("id") % 50).alias("g"), F.lit(10).cast("bigint").alias("size")

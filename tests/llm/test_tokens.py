@@ -1,6 +1,7 @@
 """Token ids: whole-text parity with the libraries, round trips, files and edge cases."""
 
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -119,6 +120,49 @@ def test_unigram_models_are_rebuilt():
     assert rebuilt.decode(rebuilt.encode("ab a").ids) == "ab a"
 
 
+def _field(number, value):
+    """A field of a protocol buffer."""
+    def varint(n):
+        out = bytearray()
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def _unigram_file(path, prefix, trims):
+    """A model whose pieces are made by a rule: letters, pairs and triples, with near ties in their scores."""
+    r = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèñó.,!?\n"
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    pieces += [(f"<0x{b:02X}>", -20.0, 6) for b in range(256)]
+    pieces += [("▁", -3.0, 1)] + [(c, -6.0 - i / 64, 1) for i, c in enumerate(letters)]
+    more = {"".join(r.choice(letters[:26]) for _ in range(n)) for n in (2, 3) for _ in range(400)}
+    pieces += [(m if r.random() < 0.7 else f"▁{m}", -4.0 * len(m) + r.randrange(3) / 8, 1) for m in sorted(more)]
+    pieces = list({p[0]: p for p in pieces}.values())
+    body = b"".join(_field(1, _field(1, p.encode()) + _field(2, s) + _field(3, k)) for p, s, k in pieces)
+    body += _field(2, _field(3, 1) + _field(35, 1) + _field(40, 0) + _field(41, 1) + _field(42, 2))
+    body += _field(3, _field(1, b"identity") + _field(3, int(prefix)) + _field(4, int(trims)) + _field(5, 1))
+    path.write_bytes(body)
+    return str(path)
+
+
+@pytest.mark.parametrize("prefix, trims", [(True, False), (False, False), (True, True)])
+def test_unigram_ids_are_those_of_the_library(spark, tmp_path, prefix, trims):
+    model = _unigram_file(tmp_path / "unigram.model", prefix, trims)
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    own = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(TEXTS)], "doc_id bigint, text string")
+    for r in sentence_pieces.encode_and_decode(docs.union(own), model).collect():
+        assert r.ids == library.encode(r.text or ""), r.doc_id
+
+
 def test_encode_and_decode(spark):
     rows = [(i, t, "own", 5) for i, t in enumerate(TEXTS)] + [(0, None, "own", 5), (None, "x y", "own", 5)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, decoded string, ids int")
