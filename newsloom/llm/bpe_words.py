@@ -73,12 +73,12 @@ class StretchEncoder:
 
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.at = np.zeros(0, np.int32)
+        self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
         # The bytes behind a key: their number, and where they stand, eight to a number.
-        self.sizes = np.zeros(0, np.int64)
-        self.spelt_at = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int32)
+        self.spelt_at = np.zeros(0, np.int32)
         self.spelt = np.zeros(0, np.uint64)
         # Where a key's high bits lead, for a first look; keys that share a cell replace each other.
         self.cells = np.zeros(1 << _TABLE_BITS, np.int64)
@@ -180,15 +180,15 @@ class StretchEncoder:
             at = missed[first[new]]
             ids, length = self._stretches(data, starts[at], ends[at])
             found[new] = len(self.keys) + np.arange(len(new))
-            self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(length) - length])
+            self.at = np.concatenate([self.at, (len(self.ids) + np.cumsum(length) - length).astype(np.int32)])
             self.ids = np.concatenate([self.ids, ids])
             self.keys = np.concatenate([self.keys, keys[new]])
-            self.length = np.concatenate([self.length, length])
+            self.length = np.concatenate([self.length, length.astype(np.int32)])
             upto = np.cumsum(counts)
             own = counts[at]
-            self.spelt_at = np.concatenate([self.spelt_at, len(self.spelt) + np.cumsum(own) - own])
+            self.spelt_at = np.concatenate([self.spelt_at, (len(self.spelt) + np.cumsum(own) - own).astype(np.int32)])
             self.spelt = np.concatenate([self.spelt, values[ranges(upto[at] - own, own)]])
-            self.sizes = np.concatenate([self.sizes, ends[at] - starts[at]])
+            self.sizes = np.concatenate([self.sizes, (ends[at] - starts[at]).astype(np.int32)])
         self.cells[(keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = found
         place[missed] = found[which]
         return place
@@ -203,7 +203,7 @@ class StretchEncoder:
             sizes = ends - starts
             place = self._place(hash_eights(values, counts, sizes), data, starts, ends, values, counts)
             if self._remembers(place, sizes, values, counts):
-                length = self.length[place]
+                length = self.length[place].astype(np.int64)
                 out = self.ids[ranges(self.at[place], length)]
             else:
                 # Two stretches with one hash: this slice does without the memory.

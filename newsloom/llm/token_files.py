@@ -47,7 +47,7 @@ def _found(kinds: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     Most are told by a table of cells, in which kinds that share a cell replace each other.
     """
     def cell(x: np.ndarray) -> np.ndarray:
-        return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELLS)).astype(np.int64)
+        return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELLS)).view(np.int64)
 
     table = np.full(1 << _CELLS, -1, np.int32)
     table[cell(kinds)] = np.arange(len(kinds))
@@ -85,6 +85,7 @@ def re_pair(ids, lengths, base, least=LEAST_USES):
         rank = np.empty(len(kinds), np.int64)
         rank[np.lexsort((mix(kinds), uses))] = np.arange(len(kinds))
         which = _found(kinds, pairs)
+        del pairs
         some = np.flatnonzero(which >= 0)
         at, which = at[some], which[some]
         fresh = np.zeros(len(seq), bool)
@@ -269,6 +270,7 @@ def write_token_files(
                 if total >= block_ids:
                     yield flush()
                     block, held, names, sizes, total = block + 1, [], [], [], 0
+                    release()
         if sizes:
             yield flush()
         held, names, sizes = [], [], []
