@@ -13,6 +13,7 @@ from newsloom.operators.report import run_report
 from newsloom.plans.articles import extract_articles
 from newsloom.plans.ingest import crawl, entry_pages, ingest
 from newsloom.sources.feeds import cap_entries, feed_config, feed_entries
+from newsloom.sources.keys import rebuild_keys
 from newsloom.sources.pages import read_pages
 from newsloom.sources.store import (
     append_articles,
@@ -21,7 +22,7 @@ from newsloom.sources.store import (
     import_csv,
     open_store,
 )
-from newsloom.streaming.incremental import ingest_stream
+from newsloom.streaming.incremental import ingest_stream, settle_waiting, stream_outcomes
 
 __all__ = [
     "amp_body",
@@ -46,7 +47,10 @@ __all__ = [
     "main_content",
     "open_store",
     "read_pages",
+    "rebuild_keys",
     "run_report",
+    "settle_waiting",
+    "stream_outcomes",
     "with_metadata",
     "with_normalized_url",
     "with_source_name",
