@@ -31,7 +31,8 @@ from newsloom.llm import set_partition as sp
 from newsloom.llm.components import components
 from newsloom.llm.words import hashed_words, mix, ranges, slices
 from newsloom.llm.workers import release, with_code
-from newsloom.sources.staging import stage
+from newsloom.operators.membership import likely_members
+from newsloom.sources.staging import row_count, stage, stage_counted
 
 WORDS = 5
 #: Text bytes for each bucket of signatures, some hundred thousand entries.
@@ -318,8 +319,27 @@ def _sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
                 )
         release()
 
-    texts = _only(docs, ids, ids.count()).select("doc_id", "text")
-    return stage(texts.mapInArrow(run, "key bigint, elements binary, halves binary").dropDuplicates(["key"]), "sets")
+    wanted = ids.count()
+    texts = _only(docs, ids, wanted).select("doc_id", "text")
+    sets = stage_counted(texts.mapInArrow(run, "key bigint, elements binary, halves binary"), "sets")
+    # More rows than were asked for: a doc_id is on several rows.
+    return sets if row_count(sets) == wanted else stage(sets.dropDuplicates(["key"]), "sets")
+
+
+def _some(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """``sets`` without most of those that are not in the column of ``keys`` (staged and counted).
+
+    An exact join follows; this keeps whole sets out of its shuffle.
+    """
+    (key,) = keys.columns
+    if row_count(keys) > BROADCAST_IDS:
+        return likely_members(sets, keys, key)
+    return sets.join(F.broadcast(keys), F.col("key") == F.col(key), "left_semi")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    ends = pairs.select(F.col("a").alias("__end")).union(pairs.select("b")).distinct()
+    return stage_counted(ends, "ends")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, column: str, kind: type) -> DataFrame:
@@ -344,7 +364,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, column: str, kind: type) -> Dat
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` that are links, by their whole sets."""
+    """Those of ``pairs`` (staged) that are links, by their whole sets."""
     return _compared(pairs, sets, "elements", np.uint64)
 
 
@@ -531,7 +551,8 @@ class _Join:
         links = stage(_verify(best, sets), "links")
         roots = stage(components(links), "roots")
         rest = _apart(found.select("a", "b"), roots).join(best, ["a", "b"], "left_anti")
-        links = stage(links.union(_verify(_possible(rest, sets), sets)), "links")
+        possible = _possible(rest, sets)
+        links = stage(links.union(_verify(possible, _some(sets, _ends(possible)))), "links")
         if uncovered is None or uncovered.isEmpty():
             return links
         return self._by_groups(links, uncovered, sets)
@@ -545,7 +566,7 @@ class _Join:
         )
         roots = stage(components(links), "roots")
         pairs = stage(self._pivot_pairs(self._placed(members, roots)), "pivot-pairs")
-        links = stage(links.union(_verify(pairs, sets)), "links")
+        links = stage(links.union(_verify(pairs, _some(sets, _ends(pairs)))), "links")
         roots = stage(components(links), "roots")
         placed = stage(self._placed(members, roots), "placed")
         return stage(links.union(self._across(placed, sets)), "links")
@@ -604,8 +625,9 @@ class _Join:
             )
 
         met = dealt(asking, "block", "slice", True).unionByName(dealt(asked, "slice", "block", False))
+        taking_part = stage_counted(asked.select(F.col("key").alias("__end")).distinct(), "ends")
         return (
-            met.join(sets.select("key", "elements"), "key")
+            met.join(_some(sets, taking_part).select("key", "elements"), "key")
             .groupBy("main", "block", "slice")
             .applyInArrow(_links_across, "a bigint, b bigint")
         )

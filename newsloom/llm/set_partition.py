@@ -98,30 +98,58 @@ OWN, LOWER, OWN_LESS, LOWER_LESS, FREQUENT = 0, 1, 2, 3, 4
 KIND = [("set", "<u8"), ("band", "<u2"), ("role", "u1")]
 
 
+#: In a kind's tag: the role, whether its set differs from the one before, and how many entries it has.
+_NEW, _COUNT, _MANY = 8, 4, 15
+
+
 def pack(sig: np.ndarray, who: np.ndarray, kinds: np.ndarray) -> bytes:
-    """Entries of one bucket: signatures and, for each, its place among the sets that occur.
+    """Entries of one bucket, those of a set together.
 
     The bucket stands for the highest bits of a signature; five bytes of the rest tell
-    it from others.
+    it from others. A set's 64 bits are written once for all its kinds, each of which
+    takes two bytes and, with 15 entries or more, four for their number.
     """
     present, which = np.unique(who, return_inverse=True)
-    wide = len(present) > 1 << 16
-    head = np.array([len(sig), len(present), wide], "<u4")
-    low = np.ascontiguousarray(sig.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
-    return head.tobytes() + low.tobytes() + which.astype("<u4" if wide else "<u2").tobytes() + kinds[present].tobytes()
+    some = kinds[present]
+    by_set = np.argsort(some["set"], kind="stable")
+    rank = np.empty(len(by_set), np.int64)
+    rank[by_set] = np.arange(len(by_set))
+    which, some = rank[which], some[by_set]
+    low = sig[np.argsort(which, kind="stable")].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    count = np.bincount(which, minlength=len(some))
+    new = np.ones(len(some), bool)
+    new[1:] = some["set"][1:] != some["set"][:-1]
+    tags = some["role"] | (new * _NEW) | (np.minimum(count, _MANY) << _COUNT)
+    sets = some["set"][new]
+    many = count[count >= _MANY]
+    return b"".join(
+        (
+            np.array([len(sig), len(some), len(sets), len(many)], "<u4").tobytes(),
+            low.tobytes(),
+            sets.tobytes(),
+            many.astype("<u4").tobytes(),
+            some["band"].astype("u1").tobytes(),
+            tags.astype("u1").tobytes(),
+        )
+    )
 
 
 def unpack(blob: bytes) -> np.ndarray:
-    n, k, wide = (int(x) for x in np.frombuffer(blob, "<u4", 3))
+    n, k, m, large = (int(x) for x in np.frombuffer(blob, "<u4", 4))
+    at = 16 + 5 * n
+    sets = np.frombuffer(blob, "<u8", m, at)
+    many = np.frombuffer(blob, "<u4", large, at + 8 * m)
+    at += 8 * m + 4 * large
+    band, tags = np.frombuffer(blob, "u1", k, at), np.frombuffer(blob, "u1", k, at + k)
+    count = (tags >> _COUNT).astype(np.int64)
+    count[count == _MANY] = many
     low = np.zeros((n, 8), np.uint8)
-    low[:, :5] = np.frombuffer(blob, np.uint8, 5 * n, 12).reshape(n, 5)
-    width = 4 if wide else 2
-    which = np.frombuffer(blob, f"<u{width}", n, 12 + 5 * n)
-    kinds = np.frombuffer(blob, KIND, k, 12 + (5 + width) * n)
+    low[:, :5] = np.frombuffer(blob, np.uint8, 5 * n, 16).reshape(n, 5)
     out = np.empty(n, ENTRY)
     out["sig"] = low.view("<u8").ravel()
-    for name in ("set", "band", "role"):
-        out[name] = kinds[name][which]
+    out["set"] = np.repeat(sets[np.cumsum((tags & _NEW) > 0) - 1], count)
+    out["band"] = np.repeat(band, count)
+    out["role"] = np.repeat(tags & (_NEW - 1), count)
     return out
 
 
