@@ -3,25 +3,36 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.sources.staging import row_count
+from newsloom.sources.staging import row_count, stage
 
 # A key with more rows than this is split into pieces of about this many rows.
 # At most N / HOT_ROWS keys can be hot, and only their 64-bit hashes are
-# broadcast: 16 bytes per million left rows.
+# broadcast: 16 bytes per million left rows, and never more than TRACKED keys.
 HOT_ROWS = 1_000_000
 
+# Keys that a sketch keeps; it counts a key at most N * 3.5 / (2 * TRACKED) rows short.
+TRACKED = 1 << 15
+# Sketches of that many groups of partitions are merged apart from each other first.
+_MERGERS = 64
+
 
 def hot_keys(left: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Hashes of the hot keys with the number of pieces each is split into.
 
-    The count is combined on the map side.  Two keys sharing a hash are merely
-    split both, on both sides of the join alike.
+    Counted by a sketch of bounded size, so that one sketch per partition is
+    shuffled and not every key.  A key of fewer than some N / 18,000 rows may be
+    missed however many rows that is; it stays in one piece, which is no more than
+    its share of a cluster of thousands of tasks.  Two keys sharing a hash are
+    merely split both, on both sides of the join alike.
     """
-    return (
-        left.groupBy(F.xxhash64(*on).alias("_k"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select("_k", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces"))
+    hashes = left.select(F.xxhash64(*on).alias("_k"), (F.spark_partition_id() % _MERGERS).alias("_part"))
+    sketches = hashes.groupBy("_part").agg(F.expr(f"approx_top_k_accumulate(_k, {TRACKED})").alias("s"))
+    # Grouped by a constant, so that an empty table gives no row instead of an empty sketch.
+    counts = sketches.withColumn("_all", F.lit(0)).groupBy("_all").agg(F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s")).select(
+        F.explode(F.expr(f"approx_top_k_estimate(s, {TRACKED})")).alias("x")
+    )
+    return counts.filter(F.col("x.count") > hot_rows).select(
+        F.col("x.item").alias("_k"), F.ceil(F.col("x.count") / hot_rows).cast("int").alias("_pieces")
     )
 
 
@@ -47,8 +58,8 @@ def spread_join(
     base = left if base is None else base
     if row_count(base) <= hot_rows:
         return left.join(right, on, how)
-    hot = hot_keys(base, on, hot_rows)
-    hot = F.broadcast(hot)
+    # Written, as two runs of a sketch may count differently and both sides need the same pieces.
+    hot = F.broadcast(stage(hot_keys(base, on, hot_rows), "hot"))
     lefts = (
         left.withColumn("_k", F.xxhash64(*on))
         .join(hot, "_k", "left")

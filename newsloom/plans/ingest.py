@@ -11,10 +11,11 @@ from newsloom.operators.joins import HOT_ROWS, spread_join
 from newsloom.operators.membership import likely_members
 from newsloom.operators.paragraphs import SELECTORS
 from newsloom.plans.articles import page_articles
-from newsloom.sources.feeds import failed_feeds, feed_entries, with_link_outcome
+from newsloom.sources.feeds import linked as linked_entries
+from newsloom.sources.feeds import read_entries, read_failures, read_feeds, with_link_outcome
 from newsloom.sources.keys import key_rows, stored_among
 from newsloom.sources.pages import loaded_pages, newest_per_url
-from newsloom.sources.staging import same_rows, stage_counted
+from newsloom.sources.staging import same_rows, stage, stage_counted
 from newsloom.sources.store import append_articles, open_store
 
 _SCOPE = ["profile"]
@@ -141,7 +142,8 @@ def crawl(
 ) -> Run:
     """A full run: feed documents and landed pages into the store."""
     pages = loaded_pages(pages)
-    entries = stage_counted(with_link_outcome(feed_entries(feed_docs, feeds)), "entries")
+    read = stage(read_feeds(feed_docs, feeds), "feeds")
+    entries = stage_counted(with_link_outcome(linked_entries(read_entries(read))), "entries")
     linked = stage_counted(entry_pages(entries, pages, hot_rows), "linked")
     wanted = stage_counted(
         linked.filter(F.col("page_id").isNotNull()).select("page_id").distinct(), "wanted"
@@ -182,7 +184,7 @@ def crawl(
         "link",
         F.coalesce("reject_reason", "outcome").alias("outcome"),
     )
-    failed = failed_feeds(feed_docs, feeds).select(
+    failed = read_failures(read).select(
         "profile",
         "feed_ord",
         F.lit(None).cast("long").alias("entry_ord"),

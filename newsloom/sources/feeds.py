@@ -206,48 +206,47 @@ def newest_feeds(feed_docs: DataFrame) -> DataFrame:
 _ENTRY = ("category", "source_policy", "source_value", "selector_policy")
 
 
-def _with_links(feed_docs: DataFrame, feeds: DataFrame, cap: int | None) -> DataFrame:
-    """Configured feeds with their ``links``; ``landed`` tells whether there is a document.
+def read_feeds(feed_docs: DataFrame, feeds: DataFrame, cap: int | None = None) -> DataFrame:
+    """Configured feeds with their ``links`` and, for those without, the ``outcome``; each document is parsed here only.
 
-    ``feeds`` is left to Spark's own size check: the configuration table is a
-    local relation of known size.
+    A feed that landed several times is read as it landed last.  ``outcome`` is
+    ``no_feed`` (not landed), ``bad_feed`` (not readable) or NULL; a feed that can be
+    read and is empty is neither.  ``feeds`` is left to Spark's own size check: the
+    configuration table is a local relation of known size.
     """
     newest = newest_feeds(feed_docs).withColumn("landed", F.lit(True))
     joined = feeds.join(newest, "feed_url", "left")
     limit = F.col("max_per_feed") if cap is None else F.lit(cap)
-    return joined.withColumn("links", entry_links(F.col("xml"), limit)).drop("xml")
-
+    outcome = F.when(F.col("landed").isNull(), "no_feed").when(
+        F.col("links").isNull() & ~_is_feed(F.col("xml")), "bad_feed"
+    )
+    return (
+        joined.withColumn("links", entry_links(F.col("xml"), limit))
+        .withColumn("outcome", outcome)
+        .select("profile", "feed_ord", *_ENTRY, "links", "outcome")
+    )
 
-def all_feed_entries(feed_docs: DataFrame, feeds: DataFrame, cap: int | None = None) -> DataFrame:
-    """Entries of all configured feeds, capped per feed if asked for, with or without a link.
 
-    A feed that landed several times is read as it landed last.
-    """
-    return (
-        _with_links(feed_docs, feeds, cap)
-        .select("profile", "feed_ord", *_ENTRY, F.posexplode("links").alias("pos", "link"))
-        .select(
-            "profile", "feed_ord", F.col("pos").cast("long").alias("entry_ord"), "category", "link", *_ENTRY[1:]
-        )
+def read_entries(read: DataFrame) -> DataFrame:
+    """Entries of feeds that ``read_feeds`` has read, with or without a link."""
+    return read.select("profile", "feed_ord", *_ENTRY, F.posexplode("links").alias("pos", "link")).select(
+        "profile", "feed_ord", F.col("pos").cast("long").alias("entry_ord"), "category", "link", *_ENTRY[1:]
     )
 
 
-def failed_feeds(feed_docs: DataFrame, feeds: DataFrame) -> DataFrame:
-    """Configured feeds that give no entry: ``no_feed`` (not landed) or ``bad_feed`` (not readable).
+def read_failures(read: DataFrame) -> DataFrame:
+    """The feeds of ``read_feeds`` that could not be read, with the ``outcome``."""
+    return read.select("profile", "feed_ord", "category", "outcome").filter(F.col("outcome").isNotNull())
 
-    A feed that can be read and is empty is neither.
-    """
-    reason = F.when(F.col("landed").isNull(), "no_feed").when(
-        F.col("links").isNull() & ~F.col("is_feed"), "bad_feed"
-    )
-    docs = newest_feeds(feed_docs)
-    named = docs.select("feed_url", _is_feed(F.col("xml")).alias("is_feed"))
-    return (
-        _with_links(feed_docs, feeds, None)
-        .join(named, "feed_url", "left")
-        .select("profile", "feed_ord", "category", reason.alias("outcome"))
-        .filter(F.col("outcome").isNotNull())
-    )
+
+def all_feed_entries(feed_docs: DataFrame, feeds: DataFrame, cap: int | None = None) -> DataFrame:
+    """Entries of all configured feeds, capped per feed if asked for, with or without a link."""
+    return read_entries(read_feeds(feed_docs, feeds, cap))
+
+
+def failed_feeds(feed_docs: DataFrame, feeds: DataFrame) -> DataFrame:
+    """Configured feeds that give no entry: ``no_feed`` (not landed) or ``bad_feed`` (not readable)."""
+    return read_failures(read_feeds(feed_docs, feeds))
 
 
 def _is_feed(xml: Column) -> Column:

@@ -165,6 +165,22 @@ def test_spread_join_equals_a_plain_join(spark, how):
 def test_hot_keys_are_few_and_split_by_size(spark):
     df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     assert [r._pieces for r in hot_keys(df, ["k"], 100).collect()] == [4]
+    assert hot_keys(df.limit(0), ["k"], 100).count() == 0
+
+
+def test_hot_keys_are_found_among_more_keys_than_the_sketch_keeps(spark):
+    """300,000 keys; one holds a third of all rows, one a tenth, NULL a tenth."""
+    key = (
+        F.when(F.col("id") % 3 == 0, -1)
+        .when(F.col("id") % 10 == 1, -2)
+        .when(F.col("id") % 10 == 2, None)
+        .otherwise(F.col("id"))
+    )
+    df = spark.range(0, 600_000, 1, 24).select(key.alias("k"))
+    exact = {r._k: r.n for r in df.groupBy(F.xxhash64("k").alias("_k")).agg(F.count("*").alias("n")).filter("n > 20000").collect()}
+    got = {r._k: r._pieces for r in hot_keys(df, ["k"], 20_000).collect()}
+    assert len(exact) == 3 and set(got) == set(exact)
+    assert all(abs(got[k] - exact[k] / 20_000) <= 1 for k in exact)
 
 
 @pytest.mark.parametrize("bits", [1 << 10, 1 << 20])
