@@ -26,7 +26,9 @@ def amp_texts(targets: DataFrame, pages: DataFrame) -> DataFrame:
     newest = stage_counted(newest_per_url(narrow, "amp_href"), "amp-pages")
     found = likely_members(at.select("amp_href", "page_id", "html"), newest, "page_id")
     texts = clean_paragraphs(dom_nodes(found), "three", "twin_text").select("amp_href", "page_id", "twin_text")
-    return texts.join(newest, ["amp_href", "page_id"]).select("amp_href", "twin_text")
+    # Dealt by the address alone, as for the join that follows.
+    wanted = newest.withColumnRenamed("page_id", "_newest")
+    return texts.join(wanted, "amp_href").filter(F.col("page_id") == F.col("_newest")).select("amp_href", "twin_text")
 
 
 def with_amp_body(

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.joins import HOT_ROWS, checked_broadcast, spread_join
+from newsloom.operators.membership import likely
 from newsloom.sources.staging import row_count, same_rows, stage, stage_counted
 
 
@@ -181,9 +182,13 @@ def dedup_two_key(
     return one_of_equals(df, names)
 
 
-def one_of_equals(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """``rows`` named by ``names``, whose rows are distinct; of several rows with one name, one."""
-    found = rows.join(names, names.columns, "left_semi")
+def one_of_equals(rows: DataFrame, names: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """``rows`` named by ``names``, whose rows are distinct; of several rows with one name, one.
+
+    ``others`` are the names of all rows that ``names`` does not name, and of no other row.
+    With them, and both being staged, most rows are told in the scan and are not shuffled.
+    """
+    found = rows.join(names, names.columns, "left_semi") if others is None else _told(rows, names, others)
     repeated = found.groupBy(*names.columns).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     if repeated.isEmpty():
         return found
@@ -192,6 +197,18 @@ def one_of_equals(rows: DataFrame, names: DataFrame) -> DataFrame:
     return found.join(again, names.columns, "left_anti").unionByName(once)
 
 
+def _told(rows: DataFrame, names: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows named by ``names``; only those that may be among both names are joined."""
+    if others.isEmpty():
+        return rows
+    if names.isEmpty():
+        return rows.limit(0)
+    in_others = likely(others, names.columns)
+    possible = rows.filter(likely(names, names.columns))
+    unsure = possible.filter(in_others).join(names, names.columns, "left_semi").select(rows.columns)
+    return possible.filter(~in_others).unionByName(unsure)
+
+
 def dedup_outcomes(
     keys: DataFrame,
     kept: DataFrame,

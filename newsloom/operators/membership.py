@@ -6,6 +6,7 @@ of either side. A few unwanted rows pass (more of them once there are many milli
 keys, and in the end all), so an exact join on narrow columns must follow.
 """
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -19,14 +20,14 @@ BITS_PER_KEY = 16
 MOST_BITS = 1 << 26
 
 
-def _places(key: Column, bits: int) -> list[Column]:
+def _places(key: Sequence[str], bits: int) -> list[Column]:
     """The bits of a key; the size is a power of two."""
-    return [F.xxhash64(F.lit(i), key).bitwiseAND(F.lit(bits - 1)) for i in range(HASHES)]
+    return [F.xxhash64(F.lit(i), *key).bitwiseAND(F.lit(bits - 1)) for i in range(HASHES)]
 
 
-def _filter_row(keys: DataFrame, key: str, bits: int) -> DataFrame:
+def _filter_row(keys: DataFrame, key: Sequence[str], bits: int) -> DataFrame:
     """One row with the filter as an array of 64-bit words."""
-    places = keys.select(F.explode(F.array(*_places(F.col(key), bits))).alias("place"))
+    places = keys.select(F.explode(F.array(*_places(key, bits))).alias("place"))
     bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
     words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("set"))
     every = keys.sparkSession.range(bits // 64).withColumnRenamed("id", "word")
@@ -35,8 +36,8 @@ def _filter_row(keys: DataFrame, key: str, bits: int) -> DataFrame:
     return filled.agg(F.transform(pairs, lambda p: p["set"]).alias("words"))
 
 
-def likely_members(wide: DataFrame, keys: DataFrame, key: str, most_bits: int = MOST_BITS) -> DataFrame:
-    """Rows of ``wide`` whose ``key`` is in ``keys`` (staged), and few others."""
+def likely(keys: DataFrame, key: Sequence[str], most_bits: int = MOST_BITS) -> Column:
+    """Whether a row's ``key`` is in ``keys`` (staged): true for all that are, and for few others."""
     wanted = max(1, row_count(keys)) * BITS_PER_KEY
     bits = min(most_bits, 1 << max(10, wanted.bit_length()))
     words = stage(_filter_row(keys, key, bits), "members").select("words").scalar()
@@ -45,4 +46,9 @@ def likely_members(wide: DataFrame, keys: DataFrame, key: str, most_bits: int =
         word = F.get(words, F.shiftright(place, 6).cast("int"))
         return F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    return wide.filter(reduce(and_, map(is_set, _places(F.col(key), bits))))
+    return reduce(and_, map(is_set, _places(key, bits)))
+
+
+def likely_members(wide: DataFrame, keys: DataFrame, key: str, most_bits: int = MOST_BITS) -> DataFrame:
+    """Rows of ``wide`` whose ``key`` is in ``keys`` (staged), and few others."""
+    return wide.filter(likely(keys, [key], most_bits))

@@ -102,7 +102,9 @@ def ingest(
     names = kept.select(
         "profile", "ord", F.col("id").alias("id_article"), F.col("hash").alias("content_hash")
     )
-    accepted = one_of_equals(rows, names).drop("ord")
+    triple = ["profile", "ord", "id_article", "content_hash"]
+    others = stage(rows.select(*triple).join(names, triple, "left_anti"), "others")
+    accepted = one_of_equals(rows, names, others).drop("ord")
     append_articles(accepted, path)
     return accepted
 

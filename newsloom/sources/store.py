@@ -36,18 +36,20 @@ def existing_keys(store: DataFrame) -> DataFrame:
     return store.select(*scope, "id_article", content_hash)
 
 
-def append_articles(articles: DataFrame, path: str) -> None:
+def append_articles(articles: DataFrame, path: str, as_scanned: bool = False) -> None:
     """Append in one commit, then index the keys; columns are brought into the store's order.
 
     Rows are rebalanced by profile and a slice of the id: small parts are merged
     into files of a sensible size, and a profile that holds most of the rows is
-    dealt to many tasks.
+    dealt to many tasks. A scan of large staged tables has large and even parts, which
+    are written ``as_scanned`` without a shuffle.
     """
     rows = articles.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORE_SCHEMA.fields]
     )
-    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64("id_article"), F.lit(_SLICES)))
-    rows = sliced.hint("rebalance", F.col("profile"), F.col("_slice")).drop("_slice")
+    if not as_scanned:
+        sliced = rows.withColumn("_slice", F.pmod(F.xxhash64("id_article"), F.lit(_SLICES)))
+        rows = sliced.hint("rebalance", F.col("profile"), F.col("_slice")).drop("_slice")
     rows.write.mode("append").partitionBy("profile").parquet(path)
     index_keys(articles.sparkSession, path)
 

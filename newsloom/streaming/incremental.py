@@ -25,11 +25,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.operators.dedup import one_of_equals
+from newsloom.operators.joins import spread_join
+from newsloom.operators.membership import likely
 from newsloom.plans.articles import as_store_rows, own_articles, with_twins
 from newsloom.plans.ingest import accept, drop_known, entry_order, key_outcomes, known_keys
 from newsloom.schemas import MIN_BODY_CHARS, STORE_SCHEMA, THIN_CHARS
+from newsloom.sources.keys import key_rows, stored_among
 from newsloom.sources.pages import loaded_pages
-from newsloom.sources.staging import same_rows, stage_counted
+from newsloom.sources.staging import row_count, same_rows, stage_counted
 from newsloom.sources.store import append_articles, open_store
 from newsloom.streaming import state
 
@@ -44,6 +47,9 @@ PAGES_SCHEMA = T.StructType(
     ]
 )
 
+#: Accepted rows from which a batch is stored as it is scanned.
+LARGE_ROWS = 200_000
+
 # A waiting page: a store row with what is needed to judge it again.
 _WAITING = T.StructType(
     [
@@ -101,14 +107,20 @@ class _Batches:
             state.write_part(waiting.select(*_WAITING.names), store, "waiting", at.seq)
             state.note(spark, store, at.seq, run, batch, state.DECIDED)
         outcomes = state.read_part(spark, store, "decided", at.seq, state.DECIDED_SCHEMA)
-        names = outcomes.filter("outcome = 'accepted'").select(
-            "profile", "ord", F.col("id").alias("id_article"), F.col("hash").alias("content_hash")
+        named = outcomes.select(
+            "profile", "ord", F.col("id").alias("id_article"), F.col("hash").alias("content_hash"), "outcome"
         )
-        accepted = one_of_equals(self._ordered(ready), names).drop("ord")
+        names = named.filter("outcome = 'accepted'").drop("outcome")
+        # Decisions of an earlier attempt need not name every row of this one.
+        others = None if at.decided else named.filter("outcome <> 'accepted'").drop("outcome")
+        accepted = one_of_equals(self._ordered(ready), names, others).drop("ord")
         if at.decided:
             # The batch was here before; part or all of it may be in the store.
             accepted = drop_known(stage_counted(accepted, "again"), store, ("id_article",))
-        append_articles(accepted, store)
+        if at.decided or row_count(names) < LARGE_ROWS:
+            append_articles(accepted, store)
+        else:
+            append_articles(accepted, store, as_scanned=True)
         if landed is not None:
             state.land(landed, store)
         state.note(spark, store, at.seq, run, batch, state.DONE)
@@ -124,7 +136,11 @@ class _Batches:
         complete = rows.filter(~F.coalesce(short, F.lit(False))).unionByName(held.filter(F.col("amp_href").isNull()))
         if asking.isEmpty():
             return complete, held.limit(0)
-        asking = stage_counted(asking, "asking")
+        asking = self._with_stored(stage_counted(asking, "asking"))
+        # A longer text would not save a row whose id is stored, only one that is thin changes its outcome.
+        hopeless = F.col("_stored") & F.col("reject_reason").isNull()
+        complete = complete.unionByName(asking.filter(hopeless).drop("_stored"))
+        asking = stage_counted(asking.filter(~hopeless), "asking")
         found = state.newest_landings(spark, store, landed, asking)
         files = state.files_of(found)
         answered = same_rows(asking.join(found.select("amp_href"), "amp_href", "left_semi"), asking)
@@ -132,19 +148,39 @@ class _Batches:
             lookup = spark.read.schema(self.pages_schema).parquet(*files)
             answered = stage_counted(answered.select(*_WAITING.names), "answered")
             answered = with_twins(answered, lookup, **self.limits)
-        alone = stage_counted(asking.join(found.select("amp_href"), "amp_href", "left_anti").select(*_WAITING.names), "alone")
+        alone = stage_counted(asking.join(found.select("amp_href"), "amp_href", "left_anti"), "alone")
         # What the store has already need not wait to be refused.
-        patient = stage_counted(drop_known(alone, store, ("id_article",)), "patient")
-        refused = alone.join(patient.select("page_id"), "page_id", "left_anti")
-        complete = complete.unionByName(answered.select(*_WAITING.names)).unionByName(refused.select(*_WAITING.names))
-        # A page that comes after a waiting one with its id waits with it.
+        patient, refused = (alone.filter(x).select(*_WAITING.names) for x in (~F.col("_stored"), F.col("_stored")))
+        complete = complete.unionByName(answered.select(*_WAITING.names)).unionByName(refused)
+        ready, blocked = self._behind(complete, patient)
+        return ready, patient if blocked is None else patient.unionByName(blocked)
+
+    def _with_stored(self, asking: DataFrame) -> DataFrame:
+        """Staged rows with ``_stored``: whether the store has their id."""
+        rows = same_rows(key_rows(asking.drop("content_hash")), asking)
+        hits = stored_among(asking.sparkSession, self.store, rows)
+        ids = hits.select("profile", F.col("key").alias("id_article"), F.lit(True).alias("_stored"))
+        marked = spread_join(asking, ids, ["profile", "id_article"], "left", ["entry_ord"])
+        marked = marked.withColumn("_stored", F.coalesce("_stored", F.lit(False)))
+        return stage_counted(marked.select(*_WAITING.names, "_stored"), "asked")
+
+    @staticmethod
+    def _behind(complete: DataFrame, patient: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Rows to decide, and those that come after a waiting one with their id and wait with it.
+
+        They are named on narrow columns, and of the texts only what the names may mean is joined.
+        """
         first = patient.groupBy("profile", "id_article").agg(F.min("page_id").alias("_first"))
-        marked = stage_counted(complete.join(first, ["profile", "id_article"], "left"), "marked")
-        behind = F.coalesce(F.col("page_id") > F.col("_first"), F.lit(False)) & F.col("reject_reason").isNull()
-        blocked = marked.filter(behind).withColumn("amp_href", F.lit(None).cast("string"))
-        ready = stage_counted(marked.filter(~behind).select(*_WAITING.names), "ready")
-        waiting = patient.select(*_WAITING.names).unionByName(blocked.select(*_WAITING.names))
-        return ready, stage_counted(waiting, "waiting")
+        name, good = ["profile", "id_article", "page_id"], F.col("reject_reason").isNull()
+        later = complete.filter(good).select(*name).join(first, ["profile", "id_article"]).filter("page_id > _first")
+        behind = stage_counted(later.select(*name).distinct(), "behind")
+        if row_count(behind) == 0:
+            return complete, None
+        maybe = likely(behind, name) & good
+        blocked = complete.filter(maybe).join(behind, name, "left_semi")
+        spared = complete.filter(maybe).join(behind, name, "left_anti")
+        ready = complete.filter(~maybe).unionByName(spared.select(*_WAITING.names))
+        return ready, blocked.withColumn("amp_href", F.lit(None).cast("string")).select(*_WAITING.names)
 
     def _store_shaped(self, own: DataFrame) -> DataFrame:
         shaped = as_store_rows(own, **self.row_options, carry=("page_id", "norm_url", "amp_href", "reject_reason"))

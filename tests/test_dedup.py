@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom import dedup_two_key, drop_stored
-from newsloom.operators.dedup import dedup_outcomes, kept_keys
+from newsloom.operators.dedup import dedup_outcomes, kept_keys, one_of_equals
 from newsloom.operators.joins import hot_keys, spread_join
 from newsloom.operators.membership import likely_members
 from newsloom.sources.staging import stage
@@ -195,3 +195,18 @@ def test_likely_members(spark, bits):
     assert none.count() == 0
     shown = likely_members(wide, keys, "id")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in shown.split("Subquery")[0]
+
+
+def test_rows_are_told_by_both_names(spark):
+    """Whatever the filters let through by chance, the rows are those of a plain join."""
+    columns = "ord bigint, hash string, body string"
+    table = [(n % 3000, f"h{n % 3000}", f"text {n % 3000}") for n in range(4000)] + [(5000, None, "no key")]
+    rows = stage(spark.createDataFrame(table, columns), "told")
+    names = stage(rows.filter("ord % 2 = 0 AND hash IS NOT NULL").select("ord", "hash").distinct(), "names")
+    others = stage(rows.filter("ord % 2 = 1 OR hash IS NULL").select("ord", "hash"), "others")
+
+    def found(*more):
+        return sorted(one_of_equals(rows, names, *more).collect())
+
+    assert found(others) == found() and len(found()) == 1500
+    assert one_of_equals(rows, names.limit(0), others).count() == 0
