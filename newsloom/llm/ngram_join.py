@@ -16,8 +16,13 @@ distinct sets, so that copies are one node from the start.
    those that this leaves unconnected are then held, in blocks, against the whole of
    the component that they share a frequent segment with.
 
-Every candidate is verified on the whole sets. Links within a component that is already
-connected are not verified one by one.
+Signatures travel with a short number of their set, the first `NUMBER_BITS` of its hash.
+What is found of a number holds for every set that has it, and sets with one number are
+candidates, so that no link is lost by it.
+
+Every candidate that the parities of the sets do not rule out (see `set_partition`) is
+verified on the whole sets. Links within a component that is already connected are not
+verified one by one.
 """
 
 from collections.abc import Iterator
@@ -35,8 +40,10 @@ from newsloom.operators.membership import likely_members
 from newsloom.sources.staging import row_count, stage, stage_counted
 
 WORDS = 5
-#: Text bytes for each bucket of signatures, some hundred thousand entries.
-BUCKET_BYTES = 6 << 20
+#: Text bytes for each bucket of signatures, a million and a half of entries with nine bytes each.
+BUCKET_BYTES = 12 << 20
+#: Bits of a set's short number, 32 at most. Of N sets some N * N / 2**33 pairs share one.
+NUMBER_BITS = 32
 #: Entries that a task packs at a time.
 CHUNK_ENTRIES = 700_000
 #: Ids (and signatures beside them) that may be broadcast; more are joined by a shuffle.
@@ -89,17 +96,18 @@ def set_keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class _Sender:
     """Collects entries and rows of a task and packs them by bucket."""
 
-    def __init__(self, buckets: int):
+    def __init__(self, buckets: int, bits: int):
         self.buckets = buckets
+        self.shift = np.uint64(64 - bits)
         self.clear()
 
     def clear(self) -> None:
         self.sig, self.who, self.kinds, self.rows = [], [], [], []
         self.entries = self.sets = 0
 
-    def add(self, sig: np.ndarray, owner: np.ndarray, keys: np.ndarray, band: np.ndarray, role: int) -> None:
+    def add(self, sig: np.ndarray, owner: np.ndarray, keys: np.ndarray, role: int) -> None:
         kinds = np.empty(len(keys), sp.KIND)
-        kinds["set"], kinds["band"], kinds["role"] = keys, band, role
+        kinds["set"], kinds["role"] = keys >> self.shift, role
         self.sig.append(sig)
         self.who.append((owner + self.sets).astype(np.int32))
         self.kinds.append(kinds)
@@ -110,13 +118,13 @@ class _Sender:
         return (((sig >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)).astype(np.int64)
 
     def name(self, sig: np.ndarray) -> np.ndarray:
-        """A signature as reducers know it: its bucket and five bytes."""
-        return (self.bucket(sig).astype(np.uint64) << np.uint64(40)) | (sig & np.uint64((1 << 40) - 1))
+        """A signature as reducers know it: its bucket and four bytes."""
+        return (self.bucket(sig).astype(np.uint64) << np.uint64(32)) | (sig & np.uint64((1 << 32) - 1))
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int, bytes]] = []
         if self.sig:
-            kinds = np.concatenate([*self.kinds, np.array([(0, 0, sp.FREQUENT)], sp.KIND)])
+            kinds = np.concatenate([*self.kinds, np.array([(0, sp.FREQUENT)], sp.KIND)])
             (sig, who), held = sp.thin_out(np.concatenate(self.sig), np.concatenate(self.who), len(kinds) - 1)
             edge = np.searchsorted(self.bucket(sig), np.arange(self.buckets + 1))
             for k in np.flatnonzero(np.diff(edge)).tolist():
@@ -152,7 +160,7 @@ class _Sender:
 def _frequent_rows(kinds: np.ndarray, names: np.ndarray) -> np.ndarray:
     rows = np.zeros(len(kinds), _ROW)
     rows["id"], rows["named"], rows["key"] = names.astype(np.int64), 1, kinds["set"]
-    rows["x"], rows["y"] = kinds["band"], kinds["role"]
+    rows["x"] = kinds["role"]
     return rows
 
 
@@ -163,13 +171,11 @@ def _reduce(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     entries = [sp.unpack(blobs[i].as_py()) for i in np.flatnonzero(kinds == _PAIR).tolist()]
     parts = []
     if entries:
-        (a, b, band, times), frequent = sp.matches(np.concatenate(entries))
-        parts.append((_PAIR, a.view(np.int64), b.view(np.int64), band, times, times, None))
-        names = (np.uint64(bucket) << np.uint64(40)) | frequent["sig"]
-        parts.append(
-            (_FREQUENT, frequent["set"].astype(np.uint64).view(np.int64),
-             names.view(np.int64), frequent["band"], frequent["role"], frequent["role"], None)
-        )
+        (a, b, roles, times), frequent = sp.matches(np.concatenate(entries))
+        parts.append((_PAIR, a.astype(np.int64), b.astype(np.int64), roles, times, times, None))
+        names = (np.uint64(bucket) << np.uint64(32)) | frequent["sig"].astype(np.uint64)
+        role, zero = frequent["role"], np.zeros(len(frequent), np.int32)
+        parts.append((_FREQUENT, frequent["set"].astype(np.int64), names.view(np.int64), role, zero, zero, None))
     for kind in (_FREQUENT, _SET):
         rows = [np.frombuffer(blobs[i].as_py(), _ROW) for i in np.flatnonzero(kinds == kind).tolist()]
         if rows:
@@ -205,11 +211,11 @@ def _meet(entries: DataFrame, label: str) -> DataFrame:
     return stage(entries.groupBy("bucket").applyInArrow(_reduce, _OUT), label)
 
 
-def _first_round(docs: DataFrame, buckets: int) -> DataFrame:
+def _first_round(docs: DataFrame, buckets: int, bits: int) -> DataFrame:
     """All sets' segments; rows (doc, set, elements, segments in its own and the lower band)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = _Sender(buckets)
+        sender = _Sender(buckets, bits)
         sent: set[int] = set()
         for batch in batches:
             ids = batch.column(0)
@@ -242,7 +248,7 @@ def _first_round(docs: DataFrame, buckets: int) -> DataFrame:
                     rows[column] = counts
                     sends = first[use][owner]
                     sig = sp.signatures(part, owner, place, start, end, cut_by)[sends]
-                    sender.add(sig, owner[sends], keys[use], cut_by, role)
+                    sender.add(sig, owner[sends], keys[use], role)
                 sender.rows.append(rows)
                 if sender.entries >= CHUNK_ENTRIES:
                     yield from sender.flush()
@@ -252,11 +258,11 @@ def _first_round(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "bucket int, kind int, blob binary")
 
 
-def _second_round(docs: DataFrame, buckets: int) -> DataFrame:
-    """Segments whole and with an element taken out; rows (set, band, segments of two and more elements, single ones)."""
+def _second_round(docs: DataFrame, buckets: int, bits: int) -> DataFrame:
+    """Segments whole and with an element taken out; rows (set, role, segments of two and more elements, single ones)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = _Sender(buckets)
+        sender = _Sender(buckets, bits)
         for batch in batches:
             for row, data, offsets in slices(batch.column(1)):
                 values, sizes = shingle_sets(data, offsets)
@@ -270,15 +276,15 @@ def _second_round(docs: DataFrame, buckets: int) -> DataFrame:
                     part, key, cut_by = values[np.repeat(use, sizes)], keys[use], band[use].astype(np.int64)
                     owner, place, start, end = sp.cut(part, sizes[use], cut_by)
                     segment, less = sp.neighbours(part, owner, place, start, end, cut_by)
-                    sender.add(sp.signatures(part, owner, place, start, end, cut_by), owner, key, cut_by, role)
-                    sender.add(less, owner[segment], key, cut_by, role + sp.OWN_LESS)
+                    sender.add(sp.signatures(part, owner, place, start, end, cut_by), owner, key, role)
+                    sender.add(less, owner[segment], key, role + sp.OWN_LESS)
                     # Too few segments by chance: each element is one.
                     alone = np.repeat(np.arange(len(key)), sizes[use])
                     few = thin[use][alone]
                     tag = mix(cut_by.astype(np.uint64) + np.uint64(1 << 32))
-                    sender.add(mix(part[few] ^ tag[alone[few]]), alone[few], key, cut_by, role)
+                    sender.add(mix(part[few] ^ tag[alone[few]]), alone[few], key, role)
                     rows = np.zeros(len(key), _ROW)
-                    rows["id"], rows["named"], rows["key"] = key.view(np.int64), 1, cut_by
+                    rows["id"], rows["named"], rows["key"] = key.view(np.int64), 1, role
                     rows["x"] = np.bincount(owner[end - start > 1], minlength=len(key))
                     rows["y"] = np.bincount(owner[end - start == 1], minlength=len(key))
                     sender.rows.append(rows)
@@ -297,7 +303,7 @@ def _only(docs: DataFrame, wanted: DataFrame, weight: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
-    """``key, elements`` and the elements' higher ``halves`` of the wanted sets, from one document each."""
+    """``key, n, elements, parity`` of the wanted sets, from one document each."""
     ids = stage(
         classes.join(keys.select("key").distinct(), "key").select(F.col("doc_id").alias("__id")), "wanted-sets"
     )
@@ -307,21 +313,21 @@ def _sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
             for _, data, offsets in slices(batch.column(1)):
                 values, sizes = shingle_sets(data, offsets)
                 ends = np.cumsum(sizes)
-                halves = (values >> np.uint64(32)).astype(np.uint32)
                 bounds = list(zip((ends - sizes).tolist(), ends.tolist()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(set_keys(values, sizes).view(np.int64)),
+                        pa.array(sizes.astype(np.int64)),
                         pa.array([values[a:b].tobytes() for a, b in bounds], pa.binary()),
-                        pa.array([halves[a:b].tobytes() for a, b in bounds], pa.binary()),
+                        pa.array([sp.parity(values[a:b]) for a, b in bounds], pa.binary()),
                     ],
-                    ["key", "elements", "halves"],
+                    ["key", "n", "elements", "parity"],
                 )
         release()
 
     wanted = ids.count()
     texts = _only(docs, ids, wanted).select("doc_id", "text")
-    sets = stage_counted(texts.mapInArrow(run, "key bigint, elements binary, halves binary"), "sets")
+    sets = stage_counted(texts.mapInArrow(run, "key bigint, n bigint, elements binary, parity binary"), "sets")
     # More rows than were asked for: a doc_id is on several rows.
     return sets if row_count(sets) == wanted else stage(sets.dropDuplicates(["key"]), "sets")
 
@@ -342,14 +348,14 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return stage_counted(ends, "ends")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, column: str, kind: type) -> DataFrame:
-    """Those of ``pairs`` (a, b) that have enough elements in common, going by a column of the sets."""
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (staged) that are links, by their whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                r, s = np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)
+                r, s = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 if len(r) > len(s):
                     r, s = s, r
                 place = np.minimum(np.searchsorted(s, r), len(s) - 1)
@@ -358,22 +364,30 @@ def _compared(pairs: DataFrame, sets: DataFrame, column: str, kind: type) -> Dat
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
         release()
 
-    a = sets.select(F.col("key").alias("a"), F.col(column).alias("ea"))
-    b = sets.select(F.col("key").alias("b"), F.col(column).alias("eb"))
+    a = sets.select(F.col("key").alias("a"), F.col("elements").alias("ea"))
+    b = sets.select(F.col("key").alias("b"), F.col("elements").alias("eb"))
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "ea", "eb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (staged) that are links, by their whole sets."""
-    return _compared(pairs, sets, "elements", np.uint64)
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` without those that the sets' parities show to be no links; some bytes a set are moved for it."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(k).to_pylist() for k in range(2, 6))
+            yield batch.select([0, 1]).filter(pa.array([sp.may_link(*x) for x in zip(*columns)], pa.bool_()))
+        release()
 
-def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` without those that even the halves of their elements show to be no links.
+    a = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    b = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    both = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "na", "pa", "nb", "pb")
+    return stage(both.mapInArrow(run, "a bigint, b bigint"), "possible")
 
-    Halves agree wherever elements do, so no link is lost; half as much is moved.
-    """
-    return stage(_compared(pairs, sets, "halves", np.uint32), "possible")
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that are links; whole sets are moved only for pairs that may be."""
+    possible = _possible(pairs, sets)
+    return _verify(possible, _some(sets, _ends(possible)))
 
 
 def _links_across(table: pa.Table) -> pa.Table:
@@ -430,7 +444,8 @@ class _Join:
         size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.buckets = max(partitions, -(-size // BUCKET_BYTES))
-        first = _meet(_first_round(docs, self.buckets), "segments")
+        self.bits = NUMBER_BITS
+        first = _meet(_first_round(docs, self.buckets, self.bits), "segments")
         self.rows = first.filter(F.col("kind") == _SET).select(
             F.col("a").alias("doc_id"), F.col("b").alias("key"), F.col("x").alias("n"), "y", "z"
         )
@@ -438,35 +453,37 @@ class _Join:
             self.rows.filter("n > 0")
             .groupBy("key")
             .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("y").alias("own"), F.max("z").alias("lower"))
-            .withColumn("band", _band_column(F.col("n"))),
+            .withColumn("band", _band_column(F.col("n")))
+            .withColumn("number", F.shiftrightunsigned("key", 64 - self.bits)),
             "classes",
         )
         self.frequent = stage(
             first.filter(F.col("kind") == _FREQUENT)
-            .select(F.col("a").alias("key"), F.col("b").alias("sig"), F.col("x").alias("band"))
+            .select(F.col("a").alias("number"), F.col("b").alias("sig"), F.col("x").alias("role"))
             .distinct(),
             "frequent",
         )
         self.roles = stage(self._roles(), "roles")
-        self.candidates = stage(self._pairs(first, self.roles, 1), "candidates")
+        found = self._pairs(first, self.roles, 1)
+        self.candidates = stage(found.union(self._namesakes()), "candidates")
 
     def _roles(self) -> DataFrame:
-        """``key, band, role, n, left`` (segments that are not frequent), ``most`` (that may differ)."""
+        """``key, number, band, role, n, left`` (segments that are not frequent), ``most`` (that may differ)."""
         top = F.element_at(F.array(*(F.lit(int(e)) for e in sp.edges())), F.greatest(F.col("band"), F.lit(1)))
         n = F.col("n").cast("bigint")
         own = self.classes.select(
-            "key", "band", F.lit(sp.OWN).alias("role"), n.alias("n"), F.col("own").alias("has"),
+            "key", "number", "band", F.lit(sp.OWN).alias("role"), n.alias("n"), F.col("own").alias("has"),
             F.expr("(n + n * 4L div 3) div 7").alias("most"),
         )
         lower = self.classes.filter("band > 0").select(
-            "key", (F.col("band") - 1).alias("band"), F.lit(sp.LOWER).alias("role"), n.alias("n"),
+            "key", "number", (F.col("band") - 1).alias("band"), F.lit(sp.LOWER).alias("role"), n.alias("n"),
             F.col("lower").alias("has"), F.floor((n + top) / 7).alias("most"),
         )
-        often = self.frequent.groupBy("key", "band").agg(F.count("*").alias("often"))
+        often = self.frequent.groupBy("number", "role").agg(F.count("*").alias("often"))
         return (
             own.union(lower)
-            .join(often, ["key", "band"], "left")
-            .select("key", "band", "role", "n", "has", (F.col("has") - F.coalesce("often", F.lit(0))).alias("left"), "most")
+            .join(often, ["number", "role"], "left")
+            .select("key", "number", "band", "role", "n", "has", (F.col("has") - F.coalesce("often", F.lit(0))).alias("left"), "most")
         )
 
     def _pairs(self, met: DataFrame, roles: DataFrame, points: int) -> DataFrame:
@@ -474,24 +491,34 @@ class _Join:
 
         Segments that do not match take up as many differences as they have points.
         """
-        one = roles.select(F.col("key").alias("a"), "band", F.col("n").alias("na"), F.col("left").alias("la"))
-        two = roles.select(F.col("key").alias("b"), "band", F.col("n").alias("nb"), F.col("left").alias("lb"))
+        roles = roles.select("key", "number", "band", "role", "n", "left")
+        one, two = (roles.select(*(F.col(c).alias(f"{c}_{end}") for c in roles.columns)) for end in "ab")
         # Dealt by one side first, so that counting and the first join share a shuffle, and
         # what no partner of that side could make up for goes before the second.
         return (
             met.filter(F.col("kind") == _PAIR)
-            .select("a", "b", F.col("x").alias("band"), F.col("y").alias("times"))
-            .repartition("a", "band")
-            .groupBy("a", "b", "band")
+            .select(
+                F.col("a").alias("number_a"), F.col("b").alias("number_b"),
+                (F.col("x") % 2).alias("role_a"), F.shiftright("x", 1).alias("role_b"), F.col("y").alias("times"),
+            )
+            .repartition("number_a", "role_a")
+            .groupBy("number_a", "number_b", "role_a", "role_b")
             .agg(F.sum("times").alias("matches"))
-            .join(one, ["a", "band"])
-            .filter(F.expr(f"{points} * matches >= la - (na + na * 4 div 3) div 7"))
-            .join(two, ["b", "band"])
-            .filter(_near_sizes("na", "nb"))
-            .filter(F.expr(f"{points} * matches >= greatest(la, lb) - (na + nb) div 7"))
-            .select("a", "b", "matches")
+            .join(one, ["number_a", "role_a"])
+            .filter(F.expr(f"{points} * matches >= left_a - (n_a + n_a * 4 div 3) div 7"))
+            .join(two, ["number_b", "role_b"])
+            .filter(F.col("band_a") == F.col("band_b"))
+            .filter(_near_sizes("n_a", "n_b"))
+            .filter(F.expr(f"{points} * matches >= greatest(left_a, left_b) - (n_a + n_b) div 7"))
+            .select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), "matches")
         )
 
+    def _namesakes(self) -> DataFrame:
+        """Pairs of sets with one short number, as candidates."""
+        keys = self.classes.groupBy("number").agg(F.collect_list("key").alias("keys")).filter(F.size("keys") > 1)
+        pairs = keys.select(F.explode("keys").alias("a"), "keys").select("a", F.explode("keys").alias("b"))
+        return pairs.filter("a < b").withColumn("matches", F.lit(0).cast("bigint"))
+
     def _more(self, need: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Candidates by one-deletion neighbourhoods, and the roles that these do not cover."""
         asked = stage(
@@ -500,28 +527,28 @@ class _Join:
             ),
             "asked",
         )
-        met = _meet(_second_round(_only(self.docs, asked, asked.count()), self.buckets), "neighbours")
+        met = _meet(_second_round(_only(self.docs, asked, asked.count()), self.buckets, self.bits), "neighbours")
         lost = (
             met.filter(F.col("kind") == _FREQUENT)
-            .select(F.col("a").alias("key"), F.col("b").alias("sig"), F.col("x").alias("band"), F.col("y").alias("how"))
+            .select(F.col("a").alias("number"), F.col("b").alias("sig"), F.col("x").alias("how"))
             .distinct()
             # A frequent whole segment loses its points, one without an element the second.
-            .groupBy("key", "band")
+            .groupBy("number", (F.col("how") % 2).alias("role"))
             .agg(F.sum(F.when(F.col("how") >= sp.OWN_LESS, 1).otherwise(2)).alias("lost"))
         )
         points = (
             met.filter(F.col("kind") == _SET)
-            .groupBy(F.col("a").alias("key"), F.col("b").cast("int").alias("band"))
+            .groupBy(F.col("a").alias("key"), F.col("b").cast("int").alias("role"))
             .agg(F.max(2 * F.col("x") + F.col("y")).alias("points"))
         )
         scored = stage(
-            need.join(points, ["key", "band"])
-            .join(lost, ["key", "band"], "left")
-            .select("key", "band", "n", "has", F.col("left").alias("plain"), "most",
+            need.join(points, ["key", "role"])
+            .join(lost, ["number", "role"], "left")
+            .select("key", "number", "band", "role", "n", "has", F.col("left").alias("plain"), "most",
                     (F.col("points") - F.coalesce("lost", F.lit(0))).alias("left")),
             "points",
         )
-        rest = scored.filter("left <= most").select("key", "band", "n", "has", F.col("plain").alias("left"))
+        rest = scored.filter("left <= most").select("key", "number", "band", "role", "n", "has", F.col("plain").alias("left"))
         return self._pairs(met, scored, 2), stage(rest, "uncovered")
 
     def links(self) -> DataFrame:
@@ -548,25 +575,24 @@ class _Join:
             .distinct()
         )
         best = stage(best, "best")
-        links = stage(_verify(best, sets), "links")
+        links = stage(_linked(best, sets), "links")
         roots = stage(components(links), "roots")
         rest = _apart(found.select("a", "b"), roots).join(best, ["a", "b"], "left_anti")
-        possible = _possible(rest, sets)
-        links = stage(links.union(_verify(possible, _some(sets, _ends(possible)))), "links")
+        links = stage(links.union(_linked(rest, sets)), "links")
         if uncovered is None or uncovered.isEmpty():
             return links
         return self._by_groups(links, uncovered, sets)
 
     def _by_groups(self, links: DataFrame, uncovered: DataFrame, sets: DataFrame) -> DataFrame:
         """Links among sets that frequent segments alone could show."""
-        sigs = self.frequent.groupBy("key", "band").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
+        sigs = self.frequent.groupBy("number", "role").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
         members = stage(
-            uncovered.join(sigs, ["key", "band"]).select("key", "band", "n", "sigs", F.size("sigs").alias("often")),
+            uncovered.join(sigs, ["number", "role"]).select("key", "band", "n", "sigs", F.size("sigs").alias("often")),
             "members",
         )
         roots = stage(components(links), "roots")
         pairs = stage(self._pivot_pairs(self._placed(members, roots)), "pivot-pairs")
-        links = stage(links.union(_verify(pairs, _some(sets, _ends(pairs)))), "links")
+        links = stage(links.union(_linked(pairs, sets)), "links")
         roots = stage(components(links), "roots")
         placed = stage(self._placed(members, roots), "placed")
         return stage(links.union(self._across(placed, sets)), "links")

@@ -10,6 +10,7 @@ may be in either. In the lowest band each element is a segment of its own.
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 
 from newsloom.llm.words import mix, ranges
 
@@ -87,15 +88,41 @@ def neighbours(values: np.ndarray, owner, place, start, end, band: np.ndarray):
     return many[which], mix(left ^ tag[which])
 
 
-# Entries are packed: one row holds those of many sets for one bucket.
+def parity(values: np.ndarray) -> bytes:
+    """A bit for each ending of hashes: whether an odd number of elements has it.
 
-ENTRY = np.dtype([("sig", "<u8"), ("set", "<u8"), ("band", "<u2"), ("role", "u1")])
+    There are two to four times as many endings as elements.
+    """
+    width = 1 << max(6, int(2 * len(values)).bit_length())
+    ends = (values & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits((np.bincount(ends, minlength=width) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(r: int, one: bytes, s: int, two: bytes) -> bool:
+    """Whether sets of ``r`` and ``s`` elements can be linked, by their parities.
+
+    An element that only one set has changes one bit, so these differ in no more bits than the
+    sets in elements, and no link is refused. The longer parity is folded to the shorter.
+    """
+    x, y = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int.from_bytes((x ^ y).tobytes()).bit_count() <= differing(r, s)
+
+
+# Entries are packed: one row holds those of many sets for one bucket. As buckets grow in
+# number with the input, a bucket gets one entry of most sets, and an entry must be short
+# with all that is said of its set.
+
+ENTRY = np.dtype([("sig", "<u4"), ("set", "<u4"), ("role", "u1")])
 #: Roles: the set's own band or the one below; a whole segment or one without an element;
 #: a mark that a signature is frequent where the entries were made.
 OWN, LOWER, OWN_LESS, LOWER_LESS, FREQUENT = 0, 1, 2, 3, 4
 
 
-KIND = [("set", "<u8"), ("band", "<u2"), ("role", "u1")]
+KIND = [("set", "<u4"), ("role", "u1")]
 
 
 #: In a kind's tag: the role, whether its set differs from the one before, and how many entries it has.
@@ -105,9 +132,11 @@ _NEW, _COUNT, _MANY = 8, 4, 15
 def pack(sig: np.ndarray, who: np.ndarray, kinds: np.ndarray) -> bytes:
     """Entries of one bucket, those of a set together.
 
-    The bucket stands for the highest bits of a signature; five bytes of the rest tell
-    it from others. A set's 64 bits are written once for all its kinds, each of which
-    takes two bytes and, with 15 entries or more, four for their number.
+    The bucket stands for the highest bits of a signature; its last four bytes tell it
+    from others. A set's short number is written once for all its kinds, each of which
+    takes one byte and, with 15 entries or more, four for their number. Bands go unsaid:
+    they are in the signatures, and follow from a set and its role. Numbers are written as
+    steps, byte by byte of their places, and compressed with the kinds if that is shorter.
     """
     present, which = np.unique(who, return_inverse=True)
     some = kinds[present]
@@ -115,40 +144,39 @@ def pack(sig: np.ndarray, who: np.ndarray, kinds: np.ndarray) -> bytes:
     rank = np.empty(len(by_set), np.int64)
     rank[by_set] = np.arange(len(by_set))
     which, some = rank[which], some[by_set]
-    low = sig[np.argsort(which, kind="stable")].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    low = sig[np.argsort(which, kind="stable")] & np.uint64(0xFFFFFFFF)
     count = np.bincount(which, minlength=len(some))
     new = np.ones(len(some), bool)
     new[1:] = some["set"][1:] != some["set"][:-1]
     tags = some["role"] | (new * _NEW) | (np.minimum(count, _MANY) << _COUNT)
     sets = some["set"][new]
     many = count[count >= _MANY]
+    steps = np.diff(sets, prepend=np.zeros(1, "<u4")).astype("<u4").view("u1").reshape(-1, 4)
+    about = steps.T.tobytes() + many.astype("<u4").tobytes() + tags.astype("u1").tobytes()
+    short = pa.compress(about, codec="zstd", asbytes=True)
     return b"".join(
         (
             np.array([len(sig), len(some), len(sets), len(many)], "<u4").tobytes(),
-            low.tobytes(),
-            sets.tobytes(),
-            many.astype("<u4").tobytes(),
-            some["band"].astype("u1").tobytes(),
-            tags.astype("u1").tobytes(),
+            low.astype("<u4").tobytes(),
+            short if len(short) < len(about) else about,
         )
     )
 
 
 def unpack(blob: bytes) -> np.ndarray:
     n, k, m, large = (int(x) for x in np.frombuffer(blob, "<u4", 4))
-    at = 16 + 5 * n
-    sets = np.frombuffer(blob, "<u8", m, at)
-    many = np.frombuffer(blob, "<u4", large, at + 8 * m)
-    at += 8 * m + 4 * large
-    band, tags = np.frombuffer(blob, "u1", k, at), np.frombuffer(blob, "u1", k, at + k)
+    about, size = blob[16 + 4 * n :], 4 * m + 4 * large + k
+    if len(about) < size:
+        about = pa.decompress(about, size, codec="zstd", asbytes=True)
+    steps = np.ascontiguousarray(np.frombuffer(about, "u1", 4 * m).reshape(4, m).T).view("<u4").ravel()
+    sets = np.cumsum(steps, dtype="<u4")
+    many = np.frombuffer(about, "<u4", large, 4 * m)
+    tags = np.frombuffer(about, "u1", k, 4 * m + 4 * large)
     count = (tags >> _COUNT).astype(np.int64)
     count[count == _MANY] = many
-    low = np.zeros((n, 8), np.uint8)
-    low[:, :5] = np.frombuffer(blob, np.uint8, 5 * n, 16).reshape(n, 5)
     out = np.empty(n, ENTRY)
-    out["sig"] = low.view("<u8").ravel()
+    out["sig"] = np.frombuffer(blob, "<u4", n, 16)
     out["set"] = np.repeat(sets[np.cumsum((tags & _NEW) > 0) - 1], count)
-    out["band"] = np.repeat(band, count)
     out["role"] = np.repeat(tags & (_NEW - 1), count)
     return out
 
@@ -175,9 +203,10 @@ def thin_out(sig: np.ndarray, who: np.ndarray, mark: int, most: int = MOST_SETS)
 
 
 def matches(entries: np.ndarray, most: int = MOST_SETS):
-    """((set, set, band, matches) of pairs, (set, band, signature) of frequent ones) of a bucket's entries.
+    """((set, set, roles, matches) of pairs, entries of frequent signatures) of a bucket's entries.
 
-    Each set counts once for a signature and role. Sets of the upper band are not
+    Roles are 0 for two sets in their own band, 1 if the first set is in its lower band, 2 if
+    the second is. Each set counts once for a signature and role. Sets of the upper band are not
     paired with each other here, nor are two segments that both lack an element.
     """
     entries = entries[np.argsort(entries["sig"], kind="stable")]
@@ -214,17 +243,19 @@ def matches(entries: np.ndarray, most: int = MOST_SETS):
         if not len(at):
             break
         a, b = entries[at], entries[at + step]
-        ok = (a["set"] != b["set"]) & (a["band"] == b["band"])
+        ok = a["set"] != b["set"]
         lower = (a["role"] % 2 == 1) & (b["role"] % 2 == 1)
         less = (a["role"] >= OWN_LESS) & (b["role"] >= OWN_LESS)
         ok &= ~lower & ~less
-        found.append((a["set"][ok], b["set"][ok], a["band"][ok]))
-    a, b, band = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, "<u8"), np.zeros(0, "<u8"), np.zeros(0, "<u2"))
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    order = np.lexsort((band, high, low))
-    low, high, band = low[order], high[order], band[order]
+        a, b, swap = a[ok], b[ok], a["set"][ok] > b["set"][ok]
+        first, second = np.where(swap, b["role"], a["role"]) % 2, np.where(swap, a["role"], b["role"]) % 2
+        found.append((np.minimum(a["set"], b["set"]), np.maximum(a["set"], b["set"]), first + 2 * second))
+    none = np.zeros(0, "<u4")
+    low, high, roles = (np.concatenate(x) for x in zip(*found)) if found else (none, none, np.zeros(0, "u1"))
+    order = np.lexsort((roles, high, low))
+    low, high, roles = low[order], high[order], roles[order]
     new = np.ones(len(low), bool)
-    new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (band[1:] != band[:-1])
+    new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (roles[1:] != roles[:-1])
     start = np.flatnonzero(new)
     times = np.diff(np.append(start, len(low)))
-    return (low[start], high[start], band[start], times), frequent
+    return (low[start], high[start], roles[start], times), frequent

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from newsloom.llm import components, decontamination, edit_lsh, ngram_join, quality_classifier
+from newsloom.llm import components, decontamination, edit_lsh, ngram_join, quality_classifier, set_partition
 
 R = random.Random(11)
 VOCABULARY = [f"{a}{b}{c}" for a in "bdfgk" for b in ("a", "e", "io", "u") for c in ("n", "rt", "s", "lm", "th", "x", "p")]
@@ -339,3 +339,54 @@ def test_shingles_of_a_slice_with_few_words(words):
     # The same as beside another text.
     pair, both = ngram_join.shingle_sets(long, np.array([0, len(text), len(long)]))
     assert both[0] == sizes[0] and (pair[: both[0]] == values).all()
+
+
+def test_an_entry_stays_short_when_sets_have_one_in_a_bucket():
+    """As at many buckets, where the bytes of sets told with each entry made the shuffle grow faster than the input."""
+    n = 5000
+    r = np.random.default_rng(6)
+    kinds = np.zeros(n, set_partition.KIND)
+    kinds["set"], kinds["role"] = r.permutation(n), r.integers(0, 4, n)
+    sig = np.sort(r.integers(0, 1 << 63, n).astype(np.uint64))
+    blob = set_partition.pack(sig, np.arange(n), kinds)
+    assert len(blob) < 9.1 * n
+    got = set_partition.unpack(blob)
+    want = {(int(s) & 0xFFFFFFFF, int(k["set"]), int(k["role"])) for s, k in zip(sig, kinds)}
+    assert {(int(x["sig"]), int(x["set"]), int(x["role"])) for x in got} == want
+    # Several entries of a set, more than 14 of one role among them.
+    who = np.repeat([0, 1, 1, 2], [1, 20, 1, 3])
+    few = np.array([(7, 1), (7, 0), (2**32 - 1, 0)], set_partition.KIND)
+    got = set_partition.unpack(set_partition.pack(sig[: len(who)], who, few))
+    assert Counter((int(x["set"]), int(x["role"])) for x in got) == {(7, 1): 1, (7, 0): 21, (2**32 - 1, 0): 3}
+
+
+def test_parities_refuse_no_link_and_most_others():
+    r = np.random.default_rng(7)
+    refused = 0
+    for n in [*range(1, 40), 100, 300, 341, 342, 1000, 5000] * 4:
+        values = r.integers(0, 1 << 63, 2 * n).astype(np.uint64)
+        one = values[:n]
+        for common in {n, max(1, (6 * n + 6) // 7), (6 * n) // 7}:
+            for more in {0, n - common, (n - common) // 2}:
+                two = values[n - common : n + more]
+                union = n + more
+                linked = 100 * common >= 75 * union
+                may = set_partition.may_link(n, set_partition.parity(one), len(two), set_partition.parity(two))
+                assert may or not linked, (n, common, more)
+        two = values[n // 2 : n + n // 2]
+        refused += n >= 30 and not set_partition.may_link(n, set_partition.parity(one), n, set_partition.parity(two))
+    assert refused >= 0.95 * 4 * 16
+
+
+@pytest.mark.parametrize("bits", [1, 5])
+def test_sets_with_one_short_number(spark, monkeypatch, bits):
+    monkeypatch.setattr(ngram_join, "NUMBER_BITS", bits)
+    r = random.Random(23)
+    passage, texts = prose(40, r), []
+    for n in (3, 5, 6, 20, 36, 49, 130):
+        base = prose(n, r)
+        texts += [" ".join(edited(base, r.randint(0, max(1, n // 25)), r)) for _ in range(3)]
+    texts += [" ".join(prose(r.randint(5, 30), r) + passage) for _ in range(75)]
+    texts = dict(enumerate(texts))
+    got = ngram_join.near_groups(documents(spark, texts))
+    assert {x[0]: tuple(x[1:]) for x in got.collect()} == groups_by_brute_force(texts)
