@@ -435,7 +435,7 @@ def late_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = {"content_policy": "selectors"}
     first, again = staging_path(spark, "progress"), staging_path(spark, "progress")
     for part in (1, 2):
-        pages.filter(F.col("part") == part).drop("part").write.mode("append").parquet(landing)
+        pages.filter(F.col("part") == part).drop("part").write.mode("append").option("compression", "zstd").parquet(landing)
         ingest_stream(spark, landing, store, first, **options).awaitTermination()
     settle_waiting(spark, store, **options)
     ingest_stream(spark, landing, store, again, **options).awaitTermination()

@@ -11,22 +11,44 @@ from newsloom.operators.membership import likely_members
 from newsloom.operators.paragraphs import clean_paragraphs
 from newsloom.schemas import MIN_BODY_CHARS
 from newsloom.sources.pages import loaded_pages, newest_per_url
-from newsloom.sources.staging import stage_counted
+from newsloom.sources.staging import row_count, same_rows, stage_counted
 
 
-def amp_texts(targets: DataFrame, pages: DataFrame) -> DataFrame:
-    """Cleaned paragraphs of the loaded pages at the addresses ``targets.amp_href``.
+def amp_texts(targets: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The newest loaded page at each of the addresses ``targets.amp_href``, and cleaned paragraphs of pages.
 
-    Addresses are compared as they are, without normalisation.  Markup is parsed
-    where it is read: a filter in the scan finds the pages, and what it lets through
-    by chance goes after parsing.
+    The former are staged (``amp_href, twin_id``). Addresses are compared as they are, without
+    normalisation.  Markup is parsed where it is read: a filter in the scan finds the pages,
+    and what it lets through by chance has no ``amp_href, twin_id`` of the former.
     """
     at = loaded_pages(pages).withColumnRenamed("url", "amp_href")
     narrow = at.drop("html").join(targets, "amp_href", "left_semi")
-    newest = stage_counted(newest_per_url(narrow, "amp_href"), "amp-pages")
-    found = likely_members(at.select("amp_href", "page_id", "html"), newest, "page_id")
-    texts = clean_paragraphs(dom_nodes(found), "three", "twin_text").select("amp_href", "page_id", "twin_text")
-    return texts.join(newest, ["amp_href", "page_id"]).select("amp_href", "twin_text")
+    newest = stage_counted(newest_per_url(narrow, "amp_href").withColumnRenamed("page_id", "twin_id"), "amp-pages")
+    at = at.withColumnRenamed("page_id", "twin_id")
+    found = likely_members(at.select("amp_href", "twin_id", "html"), newest, "twin_id")
+    texts = clean_paragraphs(dom_nodes(found), "three", "twin_text").select("amp_href", "twin_id", "twin_text")
+    return newest, texts
+
+
+def twin_rows(
+    needing: DataFrame,
+    pages: DataFrame,
+    text_col: str,
+    id_col: str = "page_id",
+    hot_rows: int = HOT_ROWS,
+    derive: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """All rows of ``needing``, with a strictly longer text of the AMP twin where there is one; staged.
+
+    Texts of twins are shuffled once, when they meet their rows.
+    """
+    newest, texts = amp_texts(needing.select("amp_href").distinct(), pages)
+    named = same_rows(spread_join(needing, newest, ["amp_href"], "left", [id_col], hot_rows=hot_rows), needing)
+    joined = spread_join(named, texts, ["amp_href", "twin_id"], "left", [id_col], hot_rows=hot_rows)
+    longer = F.when(
+        F.length("twin_text") > F.length(text_col), F.col("twin_text")
+    ).otherwise(F.col(text_col))
+    return stage_counted(derive(joined.withColumn(text_col, longer)).select(*needing.columns), "amp-rows")
 
 
 def with_amp_body(
@@ -46,14 +68,10 @@ def with_amp_body(
     """
     short = (F.length(text_col) < min_chars) & F.col("amp_href").isNotNull()
     needing = rows.filter(short)
-    if needing.isEmpty():
+    needing.staged_rows = row_count(needing)
+    if not needing.staged_rows:
         return rows
-    texts = amp_texts(needing.select("amp_href").distinct(), pages)
-    joined = spread_join(needing, texts, ["amp_href"], "left", [id_col], hot_rows=hot_rows)
-    longer = F.when(
-        F.length("twin_text") > F.length(text_col), F.col("twin_text")
-    ).otherwise(F.col(text_col))
-    replaced = stage_counted(derive(joined.withColumn(text_col, longer)).select(*rows.columns), "amp-rows")
+    replaced = twin_rows(needing, pages, text_col, id_col, hot_rows, derive)
     return rows.filter(~short).unionByName(replaced)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import content_hash
 from newsloom.functions.urls import first_segment, source_name
-from newsloom.operators.amp import with_amp_body
+from newsloom.operators.amp import twin_rows, with_amp_body
 from newsloom.operators.body import page_body
 from newsloom.operators.dom import dom_nodes
 from newsloom.operators.metadata import with_metadata
@@ -54,6 +54,18 @@ def with_twins(
     return with_amp_body(rows, lookup, "content", min_chars=min_chars, derive=lambda df: judged(df, thin_chars))
 
 
+def read_twins(needing: DataFrame, lookup: DataFrame, thin_chars: int = THIN_CHARS) -> DataFrame:
+    """``own_articles`` with short texts, all of them, after the AMP twins in ``lookup`` were read; staged.
+
+    The text itself is only kept of rows with ``keep``.
+    """
+
+    def derive(df: DataFrame) -> DataFrame:
+        return judged(df, thin_chars).withColumn("content", F.when(F.col("keep"), F.col("content")))
+
+    return twin_rows(needing, lookup, "content", derive=derive)
+
+
 def page_articles(
     pages: DataFrame,
     selector_policy: str | list[str] = "four",

@@ -18,18 +18,21 @@ not have yet are appended.
 
 import json
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from newsloom.operators.dedup import one_of_equals
-from newsloom.plans.articles import as_store_rows, own_articles, with_twins
+from newsloom.operators.joins import spread_join
+from newsloom.plans.articles import as_store_rows, own_articles, read_twins
 from newsloom.plans.ingest import accept, drop_known, entry_order, key_outcomes, known_keys
 from newsloom.schemas import MIN_BODY_CHARS, STORE_SCHEMA, THIN_CHARS
+from newsloom.sources.keys import key_rows, stored_among
 from newsloom.sources.pages import loaded_pages
-from newsloom.sources.staging import same_rows, stage_counted
+from newsloom.sources.places import PLACE, bitmaps, located, picked
+from newsloom.sources.staging import released, row_count, same_rows, stage_counted
 from newsloom.sources.store import append_articles, open_store
 from newsloom.streaming import state
 
@@ -56,6 +59,18 @@ _WAITING = T.StructType(
 )
 
 
+# The name of a row for the decisions.
+_NAME = ["profile", "ord", "id", "hash"]
+
+
+class _Split(NamedTuple):
+    """A batch: located tables with the texts, narrow rows to decide with their places, rows that wait."""
+
+    tables: list[DataFrame]
+    ready: DataFrame
+    waiting: DataFrame
+
+
 class _Batches:
     """The steps of a batch, for one store and one set of options."""
 
@@ -78,93 +93,127 @@ class _Batches:
 
     def run(self, pages: DataFrame | None, run: str, batch: int) -> None:
         """Take a batch of landed pages with ``file``; without pages, decide all that wait."""
-        store = self.store
         spark = pages.sparkSession if pages is not None else SparkSession.active()
+        with released(spark):
+            self._take(spark, pages, run, batch)
+
+    def _take(self, spark: SparkSession, pages: DataFrame | None, run: str, batch: int) -> None:
+        store = self.store
         open_store(spark, store)
         at = state.place(spark, store, run, batch)
         if at.done:
             return
-        kept_waiting = state.waiting(spark, store, _WAITING)
+        held = located(state.waiting(spark, store, _WAITING))
         landed = None
         if pages is None:
-            ready, waiting = kept_waiting, kept_waiting.limit(0)
+            split = _Split([held], self._named(held), held.limit(0))
         elif self.extract is not None:
-            own = stage_counted(self.extract(pages.drop("file")), "batch")
-            ready = own.select("*", F.lit(None).cast("string").alias("reject_reason"))
-            ready, waiting = same_rows(ready, own), kept_waiting.limit(0)
+            own = located(stage_counted(self.extract(pages.drop("file")), "batch"))
+            own = own.withColumn("reject_reason", F.lit(None).cast("string"))
+            split = _Split([own], self._named(own), held.limit(0))
         else:
             loaded = loaded_pages(pages)
             landed = state.landed_rows(loaded)
-            ready, waiting = self._split(loaded, landed, kept_waiting)
+            split = self._split(loaded, landed, held)
         if not at.decided:
-            state.write_part(self._decide(ready), store, "decided", at.seq)
-            state.write_part(waiting.select(*_WAITING.names), store, "waiting", at.seq)
+            state.write_part(self._decide(split.ready), store, "decided", at.seq)
+            state.write_part(split.waiting.select(*_WAITING.names), store, "waiting", at.seq)
             state.note(spark, store, at.seq, run, batch, state.DECIDED)
         outcomes = state.read_part(spark, store, "decided", at.seq, state.DECIDED_SCHEMA)
-        names = outcomes.filter("outcome = 'accepted'").select(
-            "profile", "ord", F.col("id").alias("id_article"), F.col("hash").alias("content_hash")
-        )
-        accepted = one_of_equals(self._ordered(ready), names).drop("ord")
+        names = outcomes.filter("outcome = 'accepted'").select(*_NAME)
         if at.decided:
             # The batch was here before; part or all of it may be in the store.
-            accepted = drop_known(stage_counted(accepted, "again"), store, ("id_article",))
-        append_articles(accepted, store)
+            again = names.select("profile", F.col("ord").alias("entry_ord"), F.col("id").alias("id_article"), "hash")
+            new = drop_known(stage_counted(again, "again"), store, ("id_article",))
+            names = new.select("profile", F.col("entry_ord").alias("ord"), F.col("id_article").alias("id"), "hash")
+        # Of several rows with one name, one.
+        won = split.ready.join(names, _NAME).groupBy(*_NAME).agg(F.min(F.struct(*PLACE)).alias("at"))
+        append_articles(picked(split.tables, bitmaps(won.select("at.*"))), store)
         if landed is not None:
             state.land(landed, store)
         state.note(spark, store, at.seq, run, batch, state.DONE)
 
-    def _split(self, loaded: DataFrame, landed: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows to decide now, and rows that wait for a twin, out of staged tables."""
+    def _split(self, loaded: DataFrame, landed: DataFrame, held: DataFrame) -> "_Split":
+        """Rows to decide now, and rows that wait for a twin.
+
+        All is settled on narrow columns; texts stay where they are and are picked by their places.
+        """
         spark, store = loaded.sparkSession, self.store
-        own = own_articles(loaded.drop("file"), **self.page_options, **self.limits)
+        own = located(own_articles(loaded.drop("file"), **self.page_options, **self.limits))
         rows = self._store_shaped(own)
+        few = (F.length("content") < self.limits["min_chars"]) & F.col("amp_href").isNotNull()
         open_to_text = F.col("reject_reason").isNull() | (F.col("reject_reason") == "thin")
-        short = open_to_text & (F.length("content") < self.limits["min_chars"]) & F.col("amp_href").isNotNull()
-        asking = rows.filter(short).unionByName(held.filter(F.col("amp_href").isNotNull()))
-        complete = rows.filter(~F.coalesce(short, F.lit(False))).unionByName(held.filter(F.col("amp_href").isNull()))
-        if asking.isEmpty():
-            return complete, held.limit(0)
-        asking = stage_counted(asking, "asking")
+        few, asks = (F.coalesce(x, F.lit(False)) for x in (few, open_to_text & few))
+        named = self._named(rows, few.alias("few"), asks.alias("asks")).unionByName(
+            self._named(held, few.alias("few"), F.col("amp_href").isNotNull().alias("asks"))
+        )
+        named = stage_counted(named, "named")
+        asking = stage_counted(named.filter("asks"), "asking")
+        if not row_count(asking):
+            return _Split([rows, held], named, held.limit(0))
         found = state.newest_landings(spark, store, landed, asking)
+        asked = self._asked(asking, found)
+        answered = asked.filter("found AND few")
+        tables, judged = [rows, held], named.filter("NOT asks")
         files = state.files_of(found)
-        answered = same_rows(asking.join(found.select("amp_href"), "amp_href", "left_semi"), asking)
         if files:
             lookup = spark.read.schema(self.pages_schema).parquet(*files)
-            answered = stage_counted(answered.select(*_WAITING.names), "answered")
-            answered = with_twins(answered, lookup, **self.limits)
-        alone = stage_counted(asking.join(found.select("amp_href"), "amp_href", "left_anti").select(*_WAITING.names), "alone")
+            twins = located(read_twins(self._needing(tables, answered), lookup, self.limits["thin_chars"]))
+            twins = twins.select(*_WAITING.names, *PLACE)
+            tables, judged = [*tables, twins], judged.unionByName(self._named(twins), allowMissingColumns=True)
         # What the store has already need not wait to be refused.
-        patient = stage_counted(drop_known(alone, store, ("id_article",)), "patient")
-        refused = alone.join(patient.select("page_id"), "page_id", "left_anti")
-        complete = complete.unionByName(answered.select(*_WAITING.names)).unionByName(refused.select(*_WAITING.names))
+        patient = asked.filter("NOT found AND NOT stored")
+        settled = asked.filter("found AND NOT few OR NOT found AND stored")
+        judged = judged.unionByName(settled, allowMissingColumns=True)
         # A page that comes after a waiting one with its id waits with it.
-        first = patient.groupBy("profile", "id_article").agg(F.min("page_id").alias("_first"))
-        marked = stage_counted(complete.join(first, ["profile", "id_article"], "left"), "marked")
+        first = patient.groupBy("profile", "id").agg(F.min("page_id").alias("_first"))
         behind = F.coalesce(F.col("page_id") > F.col("_first"), F.lit(False)) & F.col("reject_reason").isNull()
-        blocked = marked.filter(behind).withColumn("amp_href", F.lit(None).cast("string"))
-        ready = stage_counted(marked.filter(~behind).select(*_WAITING.names), "ready")
-        waiting = patient.select(*_WAITING.names).unionByName(blocked.select(*_WAITING.names))
-        return ready, stage_counted(waiting, "waiting")
+        marked = judged.join(first, ["profile", "id"], "left").withColumn("behind", behind)
+        marked = stage_counted(marked.select(*asking.columns, "behind"), "marked")
+        blocked = picked(tables, bitmaps(marked.filter("behind").select(*PLACE)))
+        waiting = picked(tables[:2], bitmaps(patient.select(*PLACE))).unionByName(
+            blocked.withColumn("amp_href", F.lit(None).cast("string"))
+        )
+        return _Split(tables, marked.filter("NOT behind"), waiting)
+
+    def _asked(self, asking: DataFrame, found: DataFrame) -> DataFrame:
+        """Staged narrow rows with ``found``, whether their twin landed, and ``stored``, whether the store has their id."""
+        keys = same_rows(key_rows(asking.select("profile", "id"), "id"), asking)
+        ids = stored_among(asking.sparkSession, self.store, keys).select("profile", F.col("key").alias("id"), F.lit(True).alias("stored"))
+        landed = found.select("amp_href", F.lit(True).alias("found"))
+        asked = spread_join(asking, landed, ["amp_href"], "left", ["ord"])
+        asked = spread_join(asked, ids, ["profile", "id"], "left", ["ord"], asking)
+        return stage_counted(asked.fillna(False, ["found", "stored"]), "asked")
+
+    @staticmethod
+    def _needing(tables: list[DataFrame], answered: DataFrame) -> DataFrame:
+        """Texts to be replaced by those of their twins. Of a row whose id is stored, no text will be needed."""
+        kinds = ((True, answered.filter("NOT stored")), (False, answered.filter("stored")))
+        new, known = (picked(tables, bitmaps(x.select(*PLACE))).withColumn("keep", F.lit(keep)) for keep, x in kinds)
+        needing = new.unionByName(known).drop(*PLACE)
+        needing.staged_rows = answered.count()
+        return needing
 
     def _store_shaped(self, own: DataFrame) -> DataFrame:
-        shaped = as_store_rows(own, **self.row_options, carry=("page_id", "norm_url", "amp_href", "reject_reason"))
-        return shaped.select(*_WAITING.names)
+        carry = ("page_id", "norm_url", "amp_href", "reject_reason", *PLACE)
+        return as_store_rows(own, **self.row_options, carry=carry).select(*_WAITING.names, *PLACE)
 
     @staticmethod
-    def _ordered(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("ord", entry_order(F.col("feed_ord"), F.col("entry_ord")))
+    def _named(rows: DataFrame, *more: Column) -> DataFrame:
+        """Narrow columns of located rows."""
+        order = entry_order(F.col("feed_ord"), F.col("entry_ord")).alias("ord")
+        names = [order, F.col("id_article").alias("id"), F.col("content_hash").alias("hash")]
+        carried = [c for c in ("page_id", "amp_href") if c in rows.columns]
+        return rows.select(*PLACE, "profile", "category", *names, "reject_reason", *carried, *more)
 
     def _decide(self, ready: DataFrame) -> DataFrame:
-        """Outcome of every row, the store being as it is now."""
-        named = self._ordered(ready).select(
-            "profile", "category", "ord", F.col("id_article").alias("id"), F.col("content_hash").alias("hash"), "reject_reason"
-        )
+        """Outcome of every narrow row, the store being as it is now."""
+        named = ready.select("category", *_NAME, "reject_reason")
         good = stage_counted(named.filter(F.col("reject_reason").isNull()).drop("reject_reason"), "good")
         keys = same_rows(good.drop("category"), good)
         hits = known_keys(keys, self.store)
         outcomes = key_outcomes(keys, accept(keys, hits), hits)
-        triple = ["profile", "ord", "id", "hash"]
-        decided = good.select("category", *triple).distinct().join(outcomes.distinct(), triple)
+        decided = good.distinct().join(outcomes.distinct(), _NAME)
         refused = named.filter(F.col("reject_reason").isNotNull()).withColumnRenamed("reject_reason", "outcome")
         return decided.unionByName(refused).select(*state.DECIDED_SCHEMA.names)
 

@@ -95,7 +95,7 @@ def waiting(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
     """The pages that wait after the last finished batch."""
     last = log(spark, store).filter(F.col("step") == DONE).agg(F.max("seq")).first()[0]
     if last is None:
-        return spark.createDataFrame([], schema)
+        return table_at(spark, f"{store}/_batches/waiting/seq=0", schema)
     return read_part(spark, store, "waiting", last, schema)
 
 
