@@ -14,24 +14,30 @@ from newsloom.sources.pages import loaded_pages, newest_per_url
 from newsloom.sources.staging import row_count, same_rows, stage_counted
 
 
-def amp_texts(targets: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The newest loaded page at each of the addresses ``targets.amp_href``, and cleaned paragraphs of pages.
+def newest_twins(targets: DataFrame, pages: DataFrame) -> DataFrame:
+    """The newest loaded page at each of the addresses ``targets.amp_href``; staged, as ``amp_href, twin_id``.
 
-    The former are staged (``amp_href, twin_id``). Addresses are compared as they are, without
-    normalisation.  Markup is parsed where it is read: a filter in the scan finds the pages,
-    and what it lets through by chance has no ``amp_href, twin_id`` of the former.
+    Addresses are compared as they are, without normalisation.
     """
     at = loaded_pages(pages).withColumnRenamed("url", "amp_href")
     narrow = at.drop("html").join(targets, "amp_href", "left_semi")
-    newest = stage_counted(newest_per_url(narrow, "amp_href").withColumnRenamed("page_id", "twin_id"), "amp-pages")
-    at = at.withColumnRenamed("page_id", "twin_id")
+    return stage_counted(newest_per_url(narrow, "amp_href").withColumnRenamed("page_id", "twin_id"), "amp-pages")
+
+
+def amp_texts(newest: DataFrame, pages: DataFrame) -> DataFrame:
+    """Cleaned paragraphs of the loaded pages named by ``newest`` (staged), and of few others.
+
+    Markup is parsed where it is read: a filter in the scan finds the pages, and what it
+    lets through by chance has no ``amp_href, twin_id`` of ``newest``.
+    """
+    at = loaded_pages(pages).withColumnsRenamed({"url": "amp_href", "page_id": "twin_id"})
     found = likely_members(at.select("amp_href", "twin_id", "html"), newest, "twin_id")
-    texts = clean_paragraphs(dom_nodes(found), "three", "twin_text").select("amp_href", "twin_id", "twin_text")
-    return newest, texts
+    return clean_paragraphs(dom_nodes(found), "three", "twin_text").select("amp_href", "twin_id", "twin_text")
 
 
 def twin_rows(
     needing: DataFrame,
+    newest: DataFrame,
     pages: DataFrame,
     text_col: str,
     id_col: str = "page_id",
@@ -40,9 +46,10 @@ def twin_rows(
 ) -> DataFrame:
     """All rows of ``needing``, with a strictly longer text of the AMP twin where there is one; staged.
 
-    Texts of twins are shuffled once, when they meet their rows.
+    ``newest`` (staged) names the twins as ``newest_twins`` does.  Their texts are shuffled
+    once, when they meet their rows.
     """
-    newest, texts = amp_texts(needing.select("amp_href").distinct(), pages)
+    texts = amp_texts(newest, pages)
     named = same_rows(spread_join(needing, newest, ["amp_href"], "left", [id_col], hot_rows=hot_rows), needing)
     joined = spread_join(named, texts, ["amp_href", "twin_id"], "left", [id_col], hot_rows=hot_rows)
     longer = F.when(
@@ -71,7 +78,8 @@ def with_amp_body(
     needing.staged_rows = row_count(needing)
     if not needing.staged_rows:
         return rows
-    replaced = twin_rows(needing, pages, text_col, id_col, hot_rows, derive)
+    newest = newest_twins(needing.select("amp_href").distinct(), pages)
+    replaced = twin_rows(needing, newest, pages, text_col, id_col, hot_rows, derive)
     return rows.filter(~short).unionByName(replaced)
 
 

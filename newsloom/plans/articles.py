@@ -1,5 +1,7 @@
 """Pages to article rows."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,9 @@ def own_articles(
     content_policy: str = "full",
     min_chars: int = MIN_BODY_CHARS,
     thin_chars: int = THIN_CHARS,
+    more: Sequence[Column] = (),
 ) -> DataFrame:
-    """``page_articles`` before AMP twins are looked up, with ``amp_href``; staged."""
+    """``page_articles`` before AMP twins are looked up, with ``amp_href`` and the columns ``more``; staged."""
     policies = [selector_policy] if isinstance(selector_policy, str) else selector_policy
     wanted = loaded_pages(pages).select("page_id", "url", "html")
     meta = with_metadata(dom_nodes(wanted))
@@ -32,7 +35,7 @@ def own_articles(
         meta = meta.withColumn("selector_policy", F.explode(F.array(*map(F.lit, policies))))
         policy = F.col("selector_policy")
     body = page_body(meta, content_policy, policy, min_chars, "content")
-    return stage_counted(judged(body.drop("request_url"), thin_chars), "pages")
+    return stage_counted(judged(body.drop("request_url"), thin_chars).select("*", *more), "pages")
 
 
 def judged(rows: DataFrame, thin_chars: int = THIN_CHARS) -> DataFrame:
@@ -54,8 +57,8 @@ def with_twins(
     return with_amp_body(rows, lookup, "content", min_chars=min_chars, derive=lambda df: judged(df, thin_chars))
 
 
-def read_twins(needing: DataFrame, lookup: DataFrame, thin_chars: int = THIN_CHARS) -> DataFrame:
-    """``own_articles`` with short texts, all of them, after the AMP twins in ``lookup`` were read; staged.
+def read_twins(needing: DataFrame, newest: DataFrame, lookup: DataFrame, thin_chars: int = THIN_CHARS) -> DataFrame:
+    """``own_articles`` with short texts, all of them, after their AMP twins ``newest`` in ``lookup`` were read; staged.
 
     The text itself is only kept of rows with ``keep``.
     """
@@ -63,7 +66,7 @@ def read_twins(needing: DataFrame, lookup: DataFrame, thin_chars: int = THIN_CHA
     def derive(df: DataFrame) -> DataFrame:
         return judged(df, thin_chars).withColumn("content", F.when(F.col("keep"), F.col("content")))
 
-    return twin_rows(needing, lookup, "content", derive=derive)
+    return twin_rows(needing, newest, lookup, "content", derive=derive)
 
 
 def page_articles(

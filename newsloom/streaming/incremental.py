@@ -139,13 +139,14 @@ class _Batches:
         All is settled on narrow columns; texts stay where they are and are picked by their places.
         """
         spark, store = loaded.sparkSession, self.store
-        own = located(own_articles(loaded.drop("file"), **self.page_options, **self.limits))
-        rows = self._store_shaped(own)
         few = (F.length("content") < self.limits["min_chars"]) & F.col("amp_href").isNotNull()
         open_to_text = F.col("reject_reason").isNull() | (F.col("reject_reason") == "thin")
         few, asks = (F.coalesce(x, F.lit(False)) for x in (few, open_to_text & few))
-        named = self._named(rows, few.alias("few"), asks.alias("asks")).unionByName(
-            self._named(held, few.alias("few"), F.col("amp_href").isNotNull().alias("asks"))
+        marks = [few.alias("few"), asks.alias("asks")]
+        own = located(own_articles(loaded.drop("file"), **self.page_options, **self.limits, more=marks))
+        rows = self._store_shaped(own)
+        named = self._named(self._store_shaped(own, "few", "asks"), "few", "asks").unionByName(
+            self._named(held, marks[0], F.col("amp_href").isNotNull().alias("asks"))
         )
         named = stage_counted(named, "named")
         asking = stage_counted(named.filter("asks"), "asking")
@@ -158,8 +159,9 @@ class _Batches:
         files = state.files_of(found)
         if files:
             lookup = spark.read.schema(self.pages_schema).parquet(*files)
-            twins = located(read_twins(self._needing(tables, answered), lookup, self.limits["thin_chars"]))
-            twins = twins.select(*_WAITING.names, *PLACE)
+            newest = same_rows(found.select("amp_href", F.col("page_id").alias("twin_id")), found)
+            twins = read_twins(self._needing(tables, answered), newest, lookup, self.limits["thin_chars"])
+            twins = located(twins).select(*_WAITING.names, *PLACE)
             tables, judged = [*tables, twins], judged.unionByName(self._named(twins), allowMissingColumns=True)
         # What the store has already need not wait to be refused.
         patient = asked.filter("NOT found AND NOT stored")
@@ -194,12 +196,12 @@ class _Batches:
         needing.staged_rows = answered.count()
         return needing
 
-    def _store_shaped(self, own: DataFrame) -> DataFrame:
-        carry = ("page_id", "norm_url", "amp_href", "reject_reason", *PLACE)
-        return as_store_rows(own, **self.row_options, carry=carry).select(*_WAITING.names, *PLACE)
+    def _store_shaped(self, own: DataFrame, *more: str) -> DataFrame:
+        carry = ("page_id", "norm_url", "amp_href", "reject_reason", *PLACE, *more)
+        return as_store_rows(own, **self.row_options, carry=carry).select(*_WAITING.names, *PLACE, *more)
 
     @staticmethod
-    def _named(rows: DataFrame, *more: Column) -> DataFrame:
+    def _named(rows: DataFrame, *more: Column | str) -> DataFrame:
         """Narrow columns of located rows."""
         order = entry_order(F.col("feed_ord"), F.col("entry_ord")).alias("ord")
         names = [order, F.col("id_article").alias("id"), F.col("content_hash").alias("hash")]
@@ -210,10 +212,8 @@ class _Batches:
         """Outcome of every narrow row, the store being as it is now."""
         named = ready.select("category", *_NAME, "reject_reason")
         good = stage_counted(named.filter(F.col("reject_reason").isNull()).drop("reject_reason"), "good")
-        keys = same_rows(good.drop("category"), good)
-        hits = known_keys(keys, self.store)
-        outcomes = key_outcomes(keys, accept(keys, hits), hits)
-        decided = good.distinct().join(outcomes.distinct(), _NAME)
+        hits = known_keys(good, self.store)
+        decided = key_outcomes(good, accept(good, hits), hits).distinct()
         refused = named.filter(F.col("reject_reason").isNotNull()).withColumnRenamed("reject_reason", "outcome")
         return decided.unionByName(refused).select(*state.DECIDED_SCHEMA.names)
 

@@ -1,5 +1,7 @@
 """Streams: late AMP twins, batches that end half-way, outcomes."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from newsloom import extract_articles, ingest, ingest_stream, open_store, run_re
 from newsloom.plans.articles import page_articles
 from newsloom.plans.ingest import page_outcomes
 from newsloom.sources import store as store_source
+from newsloom.sources.staging import staging_root
 from newsloom.streaming import incremental, state
 from newsloom.streaming.incremental import settle_waiting, stream_outcomes
 
@@ -140,6 +143,25 @@ def test_outcomes_of_a_stream_are_those_of_one_batch(spark, tmp_path):
     assert sorted(map(repr, run_report(stream_outcomes(spark, store)).collect())) == sorted(map(repr, run_report(one).collect()))
 
 
+def test_a_batch_leaves_no_staged_tables_and_shuffles_no_texts(spark, tmp_path, monkeypatch):
+    landing, store = str(tmp_path / "landing"), str(tmp_path / "store")
+    root = Path(staging_root(spark))
+    land(spark, landing, *PAGES.values())
+    before, chosen = set(root.iterdir()), []
+
+    def seen(articles, path):
+        chosen.append(articles._jdf.queryExecution().executedPlan().toString())
+        append(articles, path)
+
+    append = incremental.append_articles
+    monkeypatch.setattr(incremental, "append_articles", seen)
+    run(spark, landing, store, tmp_path / "c")
+    settle_waiting(spark, store, **OPTIONS)
+    assert set(root.iterdir()) == before
+    assert len(chosen) == 2 and not any("Exchange hashpartitioning" in plan for plan in chosen)
+    assert {n for n, _, _ in rows(spark, store)} == {1, 2, 4, 5, 11, 12}
+
+
 def test_custom_extraction_and_an_empty_store(spark, tmp_path):
     landing, store = str(tmp_path / "landing"), str(tmp_path / "store")
     assert stream_outcomes(spark, store).collect() == []
